@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from envhealth import operators as op
 from envhealth import sinks, sources
 from envhealth.checkpoints import scratch_path
-from envhealth.functions import in_years, nan_to_null, on_day, parse_rate, to_day
+from envhealth.functions import nan_to_null, on_day, parse_rate, to_day
 from envhealth.plans import Lake, run_daily
 from envhealth.schemas import DOCUMENT, ENVELOPE
 
@@ -261,8 +261,8 @@ def distinct_years(spark, sf_dir):
 
 @query
 def common_years(spark, sf_dir):
-    days = b.daily(spark, sf_dir).where(in_years("date", 2000, 2027))
-    return op.common_keys(op.yearly_stats(days), b.indicators(spark, sf_dir))
+    yearly = op.year_window(op.yearly_stats(b.daily(spark, sf_dir)), b.RUN_DATE)
+    return op.common_keys(yearly, b.indicators(spark, sf_dir))
 
 
 @query

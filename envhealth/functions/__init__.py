@@ -1,6 +1,7 @@
 """Column -> Column expressions. All of them are built-in JVM expressions, no UDFs."""
 
-from .dates import as_date, in_years, on_day, to_day, year_of
+from .dates import as_date, on_day, to_day, year_of
+from .evaluate import once
 from .numbers import coerce_double, nan_to_null, parse_rate, to_double, to_int
 from .payload import is_json, is_object_with, is_record_list
 from .text import clean_text
@@ -9,12 +10,12 @@ __all__ = [
     "as_date",
     "clean_text",
     "coerce_double",
-    "in_years",
     "is_json",
     "is_object_with",
     "is_record_list",
     "nan_to_null",
     "on_day",
+    "once",
     "parse_rate",
     "to_day",
     "to_double",

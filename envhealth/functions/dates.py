@@ -5,6 +5,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import clean_text
+
 
 def as_date(value: dt.date | str) -> dt.date:
     if isinstance(value, dt.datetime):
@@ -17,8 +19,13 @@ def _col(column: Column | str) -> Column:
 
 
 def to_day(column: Column | str) -> Column:
-    """Date of an ISO date or date-time text; NULL for any other text."""
-    return _col(column).try_cast("date")
+    """Date of an ISO date or date-time text; NULL for any other text.
+
+    The date is that of the cleaned text. Text that needs no cleaning, nearly all of it,
+    is read as it is.
+    """
+    c = _col(column)
+    return F.coalesce(c.try_cast("date"), clean_text(c).try_cast("date"))
 
 
 def year_of(column: Column | str) -> Column:
@@ -30,9 +37,3 @@ def on_day(column: Column | str, day: dt.date | str) -> Column:
     day = as_date(day)
     c = _col(column)
     return (c >= F.lit(day)) & (c < F.lit(day + dt.timedelta(days=1)))
-
-
-def in_years(column: Column | str, first: int, last: int) -> Column:
-    """first <= year(column) <= last, as a date range so that it reaches the scan."""
-    c = _col(column)
-    return (c >= F.lit(dt.date(first, 1, 1))) & (c < F.lit(dt.date(last + 1, 1, 1)))

@@ -5,6 +5,11 @@ from pyspark.sql import functions as F
 
 from ..constants import RATE_PATTERN
 
+NUMBER = (
+    r"^\s*[+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?"
+    r"|(?i:inf|infinity|nan))\s*$"
+)
+
 
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -22,10 +27,13 @@ def to_double(column: Column | str) -> Column:
 
 
 def coerce_double(column: Column | str) -> Column:
-    """Text to double, NULL on failure; a Java type suffix ("5d", "5f") is a failure too."""
-    c = _col(column)
-    suffixed = c.cast("string").rlike(r"[0-9.][dDfF]\s*$")
-    return F.when(~suffixed, c.try_cast("double"))
+    """Text to double, NULL for anything that is not a decimal number, infinity or NaN.
+
+    The pattern keeps out what only Java reads as a number ("5d", "0x1p3"). It is also
+    much cheaper than a failed cast, so use this where most of the text is not numeric.
+    """
+    c = _col(column).cast("string")
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def parse_rate(column: Column | str) -> Column:

@@ -8,4 +8,7 @@ from ..constants import LINE_BREAKS
 
 def clean_text(column: Column | str) -> Column:
     """Turn each CR, LF and TAB into one space, then trim spaces; inner runs are kept."""
-    return F.trim(F.translate(column, LINE_BREAKS, " " * len(LINE_BREAKS)))
+    text = F.col(column) if isinstance(column, str) else column
+    for character in LINE_BREAKS:
+        text = F.replace(text, F.lit(character), F.lit(" "))
+    return F.trim(text)

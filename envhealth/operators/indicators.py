@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import INDICATOR_TEXT_COLUMNS, MIN_YEAR
-from ..functions import clean_text, parse_rate, to_int
+from ..functions import clean_text, coerce_double, once, parse_rate, to_int
 from ..schemas import INDICATOR
 
 
@@ -35,7 +35,8 @@ def clean_indicators(
     The rate is parsed from the untrimmed text: " 5" is not a rate, although the
     published `percentage` is trimmed afterwards.
     """
-    parsed = project_indicators(raw).withColumn("asthma_rate", parse_rate("percentage"))
+    texts = [c for c in INDICATOR.names if c != "year"]
+    parsed = raw.select(*texts, once(year=to_int("year"), asthma_rate=parse_rate("percentage")))
     valid = normalize_columns(parsed, INDICATOR_TEXT_COLUMNS).where(
         (F.col("year") >= min_year) & (F.col("asthma_rate") >= 0)
     )
@@ -44,7 +45,7 @@ def clean_indicators(
 
 def rate_summary(df: DataFrame, column: str = "percentage") -> DataFrame:
     """Numeric minimum, maximum and mean of a rate kept as text."""
-    rate = F.col(column).try_cast("double")
+    rate = coerce_double(column)
     return df.agg(
         F.count(rate).alias("rates"),
         F.min(rate).alias("min_rate"),

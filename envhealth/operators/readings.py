@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ACCEPTED_STATUS, PM25_HIGH, PM25_LOW
-from ..functions import clean_text, to_day, to_double
+from ..functions import clean_text, once, to_day, to_double
 
 
 def accept_status(envelopes: DataFrame, status: str = ACCEPTED_STATUS) -> DataFrame:
@@ -23,25 +23,22 @@ def extract_readings(envelopes: DataFrame) -> DataFrame:
 
 
 def normalize_readings(extracted: DataFrame) -> DataFrame:
-    when = clean_text("utc_datetime")
     return extracted.select(
-        when.alias("utc_datetime"),
+        clean_text("utc_datetime").alias("utc_datetime"),
         clean_text("city").alias("city"),
         to_double("pm25_raw").alias("pm25"),
-        to_day(when).alias("date"),
+        once(date=to_day("utc_datetime")),
     )
 
 
 def filter_readings(
     readings: DataFrame, low: float = PM25_LOW, high: float = PM25_HIGH
 ) -> DataFrame:
-    """Keep readings with a time, a date and a value in [low, high]; NaN is out of bounds."""
-    return readings.where(
-        F.col("utc_datetime").isNotNull()
-        & F.col("date").isNotNull()
-        & F.col("pm25").isNotNull()
-        & F.col("pm25").between(low, high)
-    )
+    """Keep readings with a date, which implies a time, and a value in [low, high].
+
+    A comparison with NULL is not true, and NaN is above every bound.
+    """
+    return readings.where(F.col("pm25").between(low, high) & F.col("date").isNotNull())
 
 
 def clean_readings(extracted: DataFrame) -> DataFrame:

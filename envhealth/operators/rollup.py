@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_YEAR, YEAR, YEARS_AHEAD
-from ..functions import as_date, in_years, year_of
+from ..functions import as_date, year_of
 from ..schemas import YEARLY
 
 # A broadcast side may have at most this many rows; wider year windows join by shuffle.
@@ -50,12 +50,12 @@ def combine(
 ) -> DataFrame:
     """Inner join of the yearly figures with every indicator row of the same year.
 
-    The year window also bounds the yearly side: it cannot have more rows than the
-    window has years, so the broadcast size is known before the job starts. The
-    indicator side, however large or skewed to one year, is never shuffled.
+    The year window bounds the yearly side too: it cannot have more rows than the window
+    has years, so the broadcast size is known before the job starts. The indicator side,
+    however large or skewed to one year, is never shuffled.
     """
     first, last = year_bounds(run_date, min_year)
-    yearly = yearly_stats(daily.where(in_years("date", first, last)))
+    yearly = year_window(yearly_stats(daily), run_date, min_year)
     if last - first + 1 <= MAX_BROADCAST_YEARS:
         yearly = F.broadcast(yearly)
     right = year_window(indicators, run_date, min_year)

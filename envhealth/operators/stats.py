@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ANCHOR, NUMERIC_TYPES, YEAR
+from ..functions import coerce_double
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -40,7 +41,8 @@ def profile(df: DataFrame) -> DataFrame:
     aggs: list[Column] = []
     for i, field in enumerate(fields):
         c = F.col(f"`{field.name}`")
-        number = c.try_cast("double")
+        is_text = field.dataType.simpleString() == "string"
+        number = coerce_double(c) if is_text else c.cast("double")
         values = [
             F.count(c),
             F.avg(number),
