@@ -162,7 +162,7 @@ SELECT utc_datetime, city, pm25_raw FROM parsed WHERE utc_datetime IS NOT NULL""
     # A list element is a record of its own, so only the truncated payloads are broken.
     "json_landing_report": f"""WITH {PAYLOADS}
 SELECT count(*) AS records, count(*) FILTER (WHERE NOT json_valid(payload)) AS corrupt,
-       0 AS accepted
+       count(*) FILTER (WHERE event_type = 'view') AS with_data, 0 AS accepted
 FROM payloads""",
     "roundtrip_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "json_wellformed": f"""WITH {PAYLOADS},

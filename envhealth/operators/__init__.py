@@ -20,6 +20,7 @@ from .keys import common_keys, coverage, distinct_keys, metric_stats, sorted_pre
 from .quality import (
     attrition,
     drop_critical_nulls,
+    figures,
     missing_columns,
     observed,
     payload_report,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -90,8 +91,19 @@ def observed(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, Ob
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *named), observation
 
 
+def figures(observation: Observation) -> dict[str, int]:
+    """The observed figures after the action; none at all when nothing passed by.
+
+    Spark drops the observation of a plan that turns out to be empty while it runs.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {"rows": 0}
+
+
 def require_rows(observation: Observation, what: str) -> int:
-    rows = observation.get["rows"]
+    rows = figures(observation)["rows"]
     if not rows:
         raise ValueError(f"{what}: no rows")
     return rows

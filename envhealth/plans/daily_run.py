@@ -25,6 +25,7 @@ from ..operators import (
     combine,
     daily_stats,
     extract_readings,
+    figures,
     merge_daily,
     observed,
     require_columns,
@@ -88,16 +89,15 @@ def readings_job(
     )
     daily, written = observed(daily_stats(readings), f"days {run_date}")
     write_table(daily, lake.daily, run_date)
-    require_rows(valid, f"valid readings of {path}")
-    audit(spark, lake.daily, require_rows(written, "daily statistics"), run_date)
-    rejected = seen.get["corrupt"]
+    audit(spark, lake.daily, require_rows(written, f"daily statistics of {path}"), run_date)
+    rejected = figures(seen)["corrupt"]
     if rejected:
         _write_rejects(read_envelopes(spark, path, multi_line), lake, run_date)
     return {
-        "readings": seen.get["rows"],
+        "readings": figures(seen)["rows"],
         "rejected_envelopes": rejected,
-        "valid_readings": valid.get["rows"],
-        "days": written.get["rows"],
+        "valid_readings": figures(valid)["rows"],
+        "days": figures(written)["rows"],
     }
 
 
@@ -132,7 +132,7 @@ def indicators_job(
     write_table(cleaned, lake.indicators, dt.date(run_date.year, 1, 1), "ingest_year")
     rows = require_rows(written, f"valid indicators of {path}")
     audit(spark, lake.indicators, rows, dt.date(run_date.year, 1, 1), "ingest_year")
-    return {"indicators": seen.get["rows"], "valid_indicators": rows}
+    return {"indicators": figures(seen)["rows"], "valid_indicators": rows}
 
 
 def combine_job(
@@ -181,7 +181,7 @@ def publish_job(
     count = require_rows(written, "documents")
     if published_count(spark, lake.documents) != count:
         raise ValueError(f"{lake.documents}: expected {count} documents")
-    return {"replaced": before, "documents": count, "dropped": seen.get["rows"] - count}
+    return {"replaced": before, "documents": count, "dropped": figures(seen)["rows"] - count}
 
 
 def run_daily(

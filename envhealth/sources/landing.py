@@ -80,10 +80,15 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def landing_report(envelopes: DataFrame) -> DataFrame:
-    """Landed records, those that did not parse, and those with the accepted status."""
+    """Landed records, those that did not parse, those with data, and those accepted.
+
+    Only columns that a query uses are parsed, so a record counts as corrupt for a wrong
+    `data` only because `data` is counted here too.
+    """
     return envelopes.agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
+        F.count("data").alias("with_data"),
         F.count_if(F.col("status") == ACCEPTED_STATUS).alias("accepted"),
     )
 

@@ -1,0 +1,79 @@
+"""Shape of the physical plans: what is read, what is shuffled, what is broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
+
+# Their result is a single row or a few, made from one partial row per task.
+GLOBAL = {
+    "attrition_report", "corr_combined", "corr_vs_anchor", "describe_long", "json_landing_report",
+    "null_profile", "overall_metric_stats", "rate_summary", "required_fields", "search_total",
+    "stage_counts", "validate_combined", "year_coverage",
+}
+# A window over one row per file or per partition.
+OFFSETS = {"document_ids", "document_positions"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.fixture(scope="module")
+def plans(spark, sf_dir):
+    return {name: plan_of(QUERIES[name](spark, sf_dir)) for name in ORACLE}
+
+
+def test_flagship_plan(plans):
+    plan = plans["combine_yearly"]
+    assert "BroadcastHashJoin Inner BuildLeft" in plan
+    assert "ReadSchema: struct<l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+    # Only the two aggregations of the readings side are shuffled.
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 2
+    assert "SinglePartition" not in plan
+    # The text date is parsed in one place, below the filters on it.
+    assert plan.count("try_cast(utc_datetime") == 1
+
+
+def test_no_python_rows(plans):
+    for name, plan in plans.items():
+        assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonUDF", plan), name
+
+
+def test_no_cross_joins(plans):
+    for name, plan in plans.items():
+        assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), name
+
+
+def test_single_partition_only_for_global_aggregates(plans):
+    for name, plan in plans.items():
+        if name not in GLOBAL | OFFSETS:
+            assert "SinglePartition" not in plan, name
+
+
+def test_filters_reach_the_scan(plans):
+    assert "GreaterThanOrEqual(ts," in plans["scan_run_date"]
+    assert "EqualTo(o_orderpriority,1-URGENT)" in plans["landing_query"]
+
+
+def test_top_k_is_not_a_global_sort(plans):
+    for name in ("landing_query", "search_documents", "sorted_preview", "terms_topk", "search_facets"):
+        assert "TakeOrderedAndProject" in plans[name], name
+
+
+def test_keys_are_distinct_before_they_are_compared(plans):
+    plan = plans["common_years"]
+    assert len(re.findall(r"^\(\d+\) HashAggregate", plan, re.M)) >= 6
+
+
+def test_positions_do_not_shuffle_rows(plans):
+    plan = plans["document_ids"]
+    assert "ReadSchema: struct<>" in plan
+    shuffles = re.findall(r"Arguments: hashpartitioning\((.*?)#", plan)
+    assert shuffles == ["_file"]
