@@ -68,11 +68,11 @@ YEARLY_COLUMNS = f"""year, pm25_avg_yearly, {_narrow("pm25_min_yearly")} AS pm25
 COMBINED_COLUMNS = f"""{YEARLY_COLUMNS},
        percentage, "group", outcome_or_indicator, confidence_interval"""
 
-DOCUMENT_COLUMNS = """year, CAST(pm25_avg_yearly AS FLOAT) AS pm25_avg_yearly,
-       CAST(pm25_min_yearly AS FLOAT) AS pm25_min_yearly,
-       CAST(pm25_max_yearly AS FLOAT) AS pm25_max_yearly,
+DOCUMENT_COLUMNS = f"""year, {_narrow("pm25_avg_yearly")} AS pm25_avg_yearly,
+       {_narrow("pm25_min_yearly")} AS pm25_min_yearly,
+       {_narrow("pm25_max_yearly")} AS pm25_max_yearly,
        CAST(pm25_measurements_count AS INTEGER) AS pm25_measurements_count,
-       CAST(daily_measurements_avg AS FLOAT) AS daily_measurements_avg,
+       {_narrow("daily_measurements_avg")} AS daily_measurements_avg,
        percentage, "group", outcome_or_indicator, confidence_interval,
        '2026-01-01 06:30:00' AS indexed_at, 'combined_2026-01-01' AS data_source,
        '2026-01-01' AS processing_date"""
@@ -162,7 +162,7 @@ SELECT utc_datetime, city, pm25_raw FROM parsed WHERE utc_datetime IS NOT NULL""
     # A list element is a record of its own, so only the truncated payloads are broken.
     "json_landing_report": f"""WITH {PAYLOADS}
 SELECT count(*) AS records, count(*) FILTER (WHERE NOT json_valid(payload)) AS corrupt,
-       count(*) FILTER (WHERE event_type = 'view') AS with_data, 0 AS accepted
+       count(*) FILTER (WHERE event_type = 'view') AS with_data, CAST(0 AS BIGINT) AS accepted
 FROM payloads""",
     "roundtrip_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "json_wellformed": f"""WITH {PAYLOADS},
@@ -277,7 +277,7 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_extendedprice / 100 BETWEEN 0 A
             _corr("l_tax", "l_extendedprice", "l_tax", "lineitem"),
             _corr("l_linenumber", "l_extendedprice", "l_linenumber", "lineitem"),
             _corr("discount", "l_extendedprice", "nullif(l_discount, 0)", "lineitem"),
-            """SELECT 'absent' AS column_name, 0 AS pairs, CAST(NULL AS DOUBLE) AS corr""",
+            """SELECT 'absent' AS column_name, CAST(0 AS BIGINT) AS pairs, CAST(NULL AS DOUBLE) AS corr""",
             """SELECT 'flat' AS column_name, count(*) AS pairs, CAST(NULL AS DOUBLE) AS corr
 FROM lineitem""",
         ]
@@ -304,10 +304,10 @@ UNION ALL
 SELECT 'max_year', max(year) <= 2027, CAST(max(year) AS BIGINT) FROM combined""",
     "lineage_columns": """SELECT event_id, event_type, '2026-01-01 06:30:00' AS indexed_at,
        'combined_2026-01-01' AS data_source, '2026-01-01' AS processing_date FROM events""",
-    "conform_schema": """SELECT CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS INTEGER) END AS year,
-       CAST(value AS FLOAT) AS pm25_avg_yearly, CAST(NULL AS FLOAT) AS pm25_min_yearly,
-       CAST(NULL AS FLOAT) AS pm25_max_yearly, CAST(event_id AS INTEGER) AS pm25_measurements_count,
-       CAST(NULL AS FLOAT) AS daily_measurements_avg, CAST(user_id AS VARCHAR) AS percentage,
+    "conform_schema": f"""SELECT CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS INTEGER) END AS year,
+       {_narrow("value")} AS pm25_avg_yearly, CAST(NULL AS DOUBLE) AS pm25_min_yearly,
+       CAST(NULL AS DOUBLE) AS pm25_max_yearly, CAST(event_id AS INTEGER) AS pm25_measurements_count,
+       CAST(NULL AS DOUBLE) AS daily_measurements_avg, CAST(user_id AS VARCHAR) AS percentage,
        event_type AS "group", CAST(NULL AS VARCHAR) AS outcome_or_indicator,
        CAST(NULL AS VARCHAR) AS confidence_interval, CAST(NULL AS VARCHAR) AS indexed_at,
        CAST(NULL AS VARCHAR) AS data_source, CAST(CAST(ts AS DATE) AS VARCHAR) AS processing_date,

@@ -39,6 +39,12 @@ def _text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
+def _widen(df: DataFrame) -> DataFrame:
+    """32-bit columns as doubles, which print alike everywhere."""
+    floats = [f.name for f in df.schema.fields if f.dataType.simpleString() == "float"]
+    return df.withColumns({c: F.col(c).cast("double") for c in floats})
+
+
 YEARLY_DOUBLES = ("pm25_avg_yearly", "pm25_min_yearly", "pm25_max_yearly", "daily_measurements_avg")
 
 
@@ -371,7 +377,7 @@ def conform_schema(spark, sf_dir):
         F.col("ts").cast("date").cast("string").alias("processing_date"),
         F.col("props").alias("extra"),
     )
-    return _text(op.conform(events), "indexed_at", "processing_date")
+    return _widen(_text(op.conform(events), "indexed_at", "processing_date"))
 
 
 @query
@@ -397,7 +403,7 @@ def document_ndjson(spark, sf_dir):
     documents = op.to_documents(b.combined(spark, sf_dir), b.RUN_DATE, b.INDEXED_AT)
     schema = StructType([StructField("_id", StringType()), *DOCUMENT.fields])
     back = op.from_ndjson(op.to_ndjson(documents), schema)
-    dated = _text(back, "indexed_at", "processing_date")
+    dated = _widen(_text(back, "indexed_at", "processing_date"))
     return dated.withColumn("_id", F.substring("_id", 1, 10)).withColumnRenamed("_id", "id_date")
 
 
@@ -442,4 +448,4 @@ def daily_run_documents(spark, sf_dir):
     b.raw_indicators(spark, sf_dir).write.json(lake.raw_indicators(b.RUN_DATE.year))
     run_daily(spark, root, b.RUN_DATE, b.INDEXED_AT, multi_line=False)
     documents = sources.read_documents(spark, lake.documents)
-    return _text(documents.drop("_id"), "indexed_at", "processing_date")
+    return _widen(_text(documents.drop("_id"), "indexed_at", "processing_date"))

@@ -11,16 +11,11 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 from ..checkpoints import checkpointed
 from ..constants import METRIC_COLUMNS
 from ..functions import as_date, coerce_double, nan_to_null, to_int
-from ..schemas import DOCUMENT
+from ..schemas import DOCUMENT, JSON_OPTIONS
 from .quality import drop_critical_nulls
 
 ID = "_id"
 POSITION = "_position"
-JSON_OPTIONS = {
-    "ignoreNullFields": "false",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "dateFormat": "yyyy-MM-dd",
-}
 # A content with more copies than this is spread over several tasks to be numbered.
 COPIES_PER_TASK = 1 << 20
 

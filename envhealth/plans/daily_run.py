@@ -35,7 +35,7 @@ from ..operators import (
 )
 from ..operators.quality import REASON
 from ..schemas import INDICATOR
-from ..sinks import audit, published_count, write_ndjson, write_table
+from ..sinks import audit, published_count, write_documents, write_table
 from ..sources import read_envelopes, read_positioned, read_records, read_table, require_input
 
 
@@ -166,20 +166,21 @@ def publish_job(
     lake: Lake,
     run_date: dt.date | str,
     indexed_at: dt.datetime | str | None = None,
+    form: str = "parquet",
 ) -> dict[str, int]:
     """Replace the published documents by those of the run date."""
     run_date = as_date(run_date)
     indexed_at = indexed_at or f"{run_date.isoformat()} 00:00:00"
     source = f"{lake.combined}/run_date={run_date.isoformat()}"
     require_input(spark, source)
-    before = published_count(spark, lake.documents)
+    before = published_count(spark, lake.documents, form)
     rows, seen = observed(read_positioned(spark, source), f"documents read {run_date}")
     documents, written = observed(
         to_documents(rows, run_date, indexed_at, position="_position"), f"documents {run_date}"
     )
-    write_ndjson(documents, lake.documents)
+    write_documents(documents, lake.documents, form)
     count = require_rows(written, "documents")
-    if published_count(spark, lake.documents) != count:
+    if published_count(spark, lake.documents, form) != count:
         raise ValueError(f"{lake.documents}: expected {count} documents")
     return {"replaced": before, "documents": count, "dropped": figures(seen)["rows"] - count}
 

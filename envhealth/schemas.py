@@ -85,3 +85,10 @@ DOCUMENT = struct(
     data_source=TEXT,
     processing_date=DATE,
 )
+
+# How documents are written as JSON: NULL fields stay, times keep microseconds.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "dateFormat": "yyyy-MM-dd",
+}

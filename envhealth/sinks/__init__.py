@@ -1,6 +1,6 @@
 """Writers. Executors write in parallel; nothing is merged into one file."""
 
-from .documents import publish, published_count, write_bulk, write_ndjson
+from .documents import publish, published_count, write_bulk, write_documents
 from .tables import audit, write_raw_json, write_table
 
 __all__ = [
@@ -8,7 +8,7 @@ __all__ = [
     "publish",
     "published_count",
     "write_bulk",
-    "write_ndjson",
+    "write_documents",
     "write_raw_json",
     "write_table",
 ]

@@ -1,4 +1,4 @@
-"""Document sinks: JSON lines, bulk-load files, delivery through a caller's sender."""
+"""Document sinks: Parquet or JSON lines, bulk-load files, delivery through a caller's sender."""
 
 from __future__ import annotations
 
@@ -11,21 +11,31 @@ from pyspark.sql import functions as F
 
 from ..constants import BULK_BYTES, BULK_DOCS
 from ..operators.documents import to_bulk, to_ndjson
+from ..sources import read_documents
 
 
-def published_count(spark: SparkSession, path: str) -> int:
-    """Documents published at a path; 0 when there are none yet."""
+def published_count(spark: SparkSession, path: str, form: str = "parquet") -> int:
+    """Documents published at a path; 0 when there are none yet. Parquet counts from footers."""
     try:
-        return spark.read.text(path).count()
+        return read_documents(spark, path, form).count()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return 0
 
 
-def write_ndjson(documents: DataFrame, path: str) -> None:
-    """Publish as JSON lines. The published set is replaced as a whole."""
-    to_ndjson(documents).write.mode("overwrite").text(path)
+def write_documents(documents: DataFrame, path: str, form: str = "parquet") -> None:
+    """Publish documents; the published set is replaced as a whole.
+
+    Parquet is the form to search: columns and predicates are pruned at the scan. JSON
+    lines are the form to hand over.
+    """
+    if form == "parquet":
+        documents.write.mode("overwrite").parquet(path)
+    elif form == "json":
+        to_ndjson(documents).write.mode("overwrite").text(path)
+    else:
+        raise ValueError(f"unknown document form: {form!r}")
 
 
 def write_bulk(documents: DataFrame, path: str, index: str, max_docs: int = BULK_DOCS) -> None:

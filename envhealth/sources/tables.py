@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import as_date
-from ..schemas import DOCUMENT
+from ..schemas import DOCUMENT, JSON_OPTIONS
 
 # Beyond this many files the per-file offsets are joined by shuffle instead of broadcast.
 MAX_BROADCAST_FILES = 100_000
@@ -55,7 +55,13 @@ def read_positioned(spark: SparkSession, path: str, position: str = "_position")
     )
 
 
-def read_documents(spark: SparkSession, path: str, extra: StructType | None = None) -> DataFrame:
-    """The published JSON lines under the document schema, `_id` first."""
+def read_documents(
+    spark: SparkSession, path: str, form: str = "parquet", extra: StructType | None = None
+) -> DataFrame:
+    """The published documents; JSON lines are read under the document schema plus `extra`."""
+    if form == "parquet":
+        return spark.read.parquet(path)
+    if form != "json":
+        raise ValueError(f"unknown document form: {form!r}")
     fields = [StructField("_id", StringType()), *DOCUMENT.fields, *(extra or StructType()).fields]
-    return spark.read.schema(StructType(fields)).json(path)
+    return spark.read.schema(StructType(fields)).options(**JSON_OPTIONS).json(path)

@@ -39,14 +39,24 @@ def test_raw_json_landing(spark, tmp_path):
     assert [r["group"] for r in back.collect()] == ["é"]
 
 
-def test_published_documents_are_replaced(spark, tmp_path):
+@pytest.mark.parametrize("form", ["parquet", "json"])
+def test_published_documents_are_replaced(spark, tmp_path, form):
     path = str(tmp_path / "docs")
-    assert sinks.published_count(spark, path) == 0
-    sinks.write_ndjson(documents(spark, 20), path)
-    assert sinks.published_count(spark, path) == 20
-    sinks.write_ndjson(documents(spark, 7), path)
-    assert sinks.published_count(spark, path) == 7
-    assert sources.read_documents(spark, path).where(F.col("year").isNull()).count() == 0
+    assert sinks.published_count(spark, path, form) == 0
+    sinks.write_documents(documents(spark, 20), path, form)
+    assert sinks.published_count(spark, path, form) == 20
+    sinks.write_documents(documents(spark, 7), path, form)
+    assert sinks.published_count(spark, path, form) == 7
+    back = sources.read_documents(spark, path, form)
+    assert sorted(r["_id"] for r in back.collect()) == [f"d_{i:03d}" for i in range(7)]
+    assert back.where(F.col("year").isNull()).count() == 0
+
+
+def test_unknown_form(spark, tmp_path):
+    with pytest.raises(ValueError, match="form"):
+        sinks.write_documents(documents(spark, 1), str(tmp_path / "d"), "xml")
+    with pytest.raises(ValueError, match="form"):
+        sources.read_documents(spark, str(tmp_path / "d"), "xml")
 
 
 def test_bulk_files_hold_few_documents(spark, tmp_path):
