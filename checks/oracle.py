@@ -191,14 +191,14 @@ SELECT utc_datetime, trim(regexp_replace(city, '[\\r\\n\\t]', ' ', 'g')) AS city
        TRY_CAST(pm25_raw AS DOUBLE) AS pm25, substr(utc_datetime, 1, 10) AS date
 FROM parsed
 WHERE utc_datetime IS NOT NULL AND TRY_CAST(pm25_raw AS DOUBLE) BETWEEN 0 AND 1000""",
-    "parse_rates": f"WITH {DIRTY_RATES} SELECT c_custkey, percentage, rate FROM parsed",
+    "parse_rate": f"WITH {DIRTY_RATES} SELECT c_custkey, percentage, rate FROM parsed",
     "normalize_text": """SELECT doc_id, trim(regexp_replace(text, '[\\r\\n\\t]', ' ', 'g')) AS text
 FROM documents""",
     "coerce_numeric": """SELECT c_custkey, c_acctbal,
        CASE WHEN c_mktsegment = 'BUILDING' THEN TRY_CAST(c_name AS DOUBLE)
             ELSE c_acctbal END AS pm25_avg_yearly
 FROM customer""",
-    "nan_values_to_null": """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value
+    "nan_to_null": """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value
 FROM events""",
     "drop_critical_nulls": """SELECT event_id, event_type, CAST(year(ts) AS INTEGER) AS year
 FROM events WHERE event_type <> 'view'""",

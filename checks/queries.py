@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from envhealth import functions as fn
 from envhealth import operators as op
 from envhealth import sinks, sources
 from envhealth.checkpoints import scratch_path
-from envhealth.functions import nan_to_null, on_day, parse_rate, to_day
 from envhealth.plans import Lake, run_daily
 from envhealth.schemas import DOCUMENT, ENVELOPE
 
@@ -61,7 +61,7 @@ def scan_parquet(spark, sf_dir):
 @query
 def scan_run_date(spark, sf_dir):
     day = dt.date(2024, 1, 16) - dt.timedelta(days=1)
-    events = sources.read_table(spark, f"{sf_dir}/events.parquet").where(on_day("ts", day))
+    events = sources.read_table(spark, f"{sf_dir}/events.parquet").where(fn.on_day("ts", day))
     return events.select("event_id", "user_id", "event_type", "value")
 
 
@@ -162,9 +162,9 @@ def clean_envelopes(spark, sf_dir):
 
 
 @query
-def parse_rates(spark, sf_dir):
+def parse_rate(spark, sf_dir):
     rates = b.dirty_rates(spark, sf_dir)
-    return rates.select("c_custkey", "percentage", parse_rate("percentage").alias("rate"))
+    return rates.select("c_custkey", "percentage", fn.parse_rate("percentage").alias("rate"))
 
 
 @query
@@ -184,10 +184,10 @@ def coerce_numeric(spark, sf_dir):
 
 
 @query
-def nan_values_to_null(spark, sf_dir):
+def nan_to_null(spark, sf_dir):
     value = F.when(F.col("event_type") == "error", float("nan")).otherwise(F.col("value"))
     events = b.table(spark, sf_dir, "events").select("event_id", value.alias("value"))
-    return events.select("event_id", nan_to_null("value").alias("value"))
+    return events.select("event_id", fn.nan_to_null("value").alias("value"))
 
 
 @query
@@ -200,7 +200,7 @@ def drop_critical_nulls(spark, sf_dir):
 @query
 def to_date_year(spark, sf_dir):
     text = F.when(F.col("event_type") == "error", "garbage").otherwise(F.col("ts").cast("string"))
-    events = b.table(spark, sf_dir, "events").select("event_id", to_day(text).alias("date"))
+    events = b.table(spark, sf_dir, "events").select("event_id", fn.to_day(text).alias("date"))
     return _text(events.withColumn("year", F.year("date")), "date")
 
 
@@ -223,7 +223,7 @@ def filter_year_window(spark, sf_dir):
 @query
 def quarantine_split(spark, sf_dir):
     checks = {
-        "rate": parse_rate("percentage").isNotNull(),
+        "rate": fn.parse_rate("percentage").isNotNull(),
         "group": F.col("group") != "HOUSEHOLD",
     }
     return op.tag_rejects(b.dirty_rates(spark, sf_dir), checks)
@@ -231,7 +231,7 @@ def quarantine_split(spark, sf_dir):
 
 @query
 def attrition_report(spark, sf_dir):
-    return op.attrition(b.dirty_rates(spark, sf_dir), parse_rate("percentage").isNotNull())
+    return op.attrition(b.dirty_rates(spark, sf_dir), fn.parse_rate("percentage").isNotNull())
 
 
 # Aggregation and join

@@ -129,11 +129,21 @@ def stage_counts(readings: DataFrame, valid: Column, date: str = "date") -> Data
 
 
 def validate(
-    df: DataFrame, first_year: int, last_year: int, critical: Iterable[str] = (YEAR,)
+    df: DataFrame,
+    first_year: int,
+    last_year: int,
+    critical: Iterable[str] = (YEAR,),
+    watched: Iterable[str] = (),
 ) -> DataFrame:
-    """Table checks as (check_name, passed, value): rows, NULLs in critical columns, years."""
-    critical = list(critical)
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(critical)]
+    """Table checks as (check_name, passed, value), in one pass: rows, NULLs, year range.
+
+    NULLs fail the check of a critical column; those of watched columns are only reported.
+    """
+    critical, watched = list(critical), list(watched)
+    nulls = [
+        F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}")
+        for i, c in enumerate(critical + watched)
+    ]
     row = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         F.min(YEAR).cast("bigint").alias("_min"),
@@ -151,8 +161,8 @@ def validate(
     checks = [
         check("rows", F.col("_rows") > 0, F.col("_rows")),
         *[
-            check(f"nulls_{c}", F.col(f"_{i}") == 0, F.col(f"_{i}"))
-            for i, c in enumerate(critical)
+            check(f"nulls_{c}", F.lit(c in watched) | (F.col(f"_{i}") == 0), F.col(f"_{i}"))
+            for i, c in enumerate(critical + watched)
         ],
         check("min_year", F.col("_min") >= first_year, F.col("_min")),
         check("max_year", F.col("_max") <= last_year, F.col("_max")),

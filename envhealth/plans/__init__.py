@@ -8,5 +8,22 @@ from .daily_run import (
     readings_job,
     run_daily,
 )
+from .validators import (
+    validate_combined,
+    validate_daily,
+    validate_indicators,
+    validate_published,
+)
 
-__all__ = ["Lake", "combine_job", "indicators_job", "publish_job", "readings_job", "run_daily"]
+__all__ = [
+    "Lake",
+    "combine_job",
+    "indicators_job",
+    "publish_job",
+    "readings_job",
+    "run_daily",
+    "validate_combined",
+    "validate_daily",
+    "validate_indicators",
+    "validate_published",
+]

@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from envhealth import operators as op
 from envhealth import sources
-from envhealth.plans import Lake, combine_job, indicators_job, readings_job, run_daily
+from envhealth.plans import (
+    Lake,
+    combine_job,
+    indicators_job,
+    readings_job,
+    run_daily,
+    validate_combined,
+    validate_daily,
+    validate_indicators,
+    validate_published,
+)
 
 
 def land(root, day, values, time=None, name="waqi"):
@@ -111,3 +121,25 @@ def test_published_documents_can_be_searched(spark, lake):
     ]
     checks = op.validate(docs, *op.year_bounds("2024-06-01")).collect()
     assert all(r["passed"] for r in checks)
+
+
+def test_validators(spark, lake):
+    paths = Lake(str(lake))
+    calls = [
+        lambda: validate_daily(spark, paths, "2024-06-01"),
+        lambda: validate_indicators(spark, paths, 2024),
+        lambda: validate_combined(spark, paths, "2024-06-01"),
+        lambda: validate_published(spark, paths, "2024-06-01"),
+    ]
+    for call in calls:
+        assert [tuple(r) for r in call().collect()] == [("exists", False, 0)]
+    run_daily(spark, str(lake), "2024-06-01")
+    reports = [{r["check_name"]: r["value"] for r in call().where("passed").collect()} for call in calls]
+    assert reports[0] == {"exists": 1, "days": 1}
+    assert reports[1] == {"exists": 1, "rows": 3, "numeric_rates": 3}
+    assert reports[2]["rows"] == 2 and reports[2]["min_year"] == 2024 and reports[2]["nulls_group"] == 0
+    assert reports[3]["documents"] == 2 and reports[3]["other_dates"] == 0 and reports[3]["bytes"] > 0
+    other = validate_daily(spark, paths, "2024-07-07").collect()
+    assert [(r["check_name"], r["passed"]) for r in other] == [("exists", True), ("days", False)]
+    foreign = validate_published(spark, paths, "2024-07-07").where("not passed").collect()
+    assert [(r["check_name"], r["value"]) for r in foreign] == [("other_dates", 2)]
