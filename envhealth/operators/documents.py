@@ -17,7 +17,7 @@ from .quality import drop_critical_nulls
 ID = "_id"
 POSITION = "_position"
 # A content with more copies than this is spread over several tasks to be numbered.
-COPIES_PER_TASK = 1 << 20
+COPIES_PER_TASK = 1 << 18
 
 
 def coerce_numeric(
@@ -77,39 +77,36 @@ def content_hash(columns: list[str]) -> Column:
     return F.sha2(F.to_json(row, JSON_OPTIONS), 256)
 
 
-def number_copies(df: DataFrame, copy: str = "_copy") -> DataFrame:
+def number_copies(df: DataFrame, copy: str = "_copy", **derived: Column) -> DataFrame:
     """Number equal rows 0, 1, 2, ... without ever gathering them.
 
     Copies are counted (map-side first) instead of collected, and written out again
     from the count. A content with very many copies is first cut into runs that are
-    spread over all tasks.
+    spread over all tasks. `derived` columns are computed once per content.
     """
-    columns = df.columns
-    counted = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
-    few = counted.where(F.col("_copies") <= COPIES_PER_TASK).withColumn("_first", F.lit(0).cast("bigint"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumns(derived)
+    copies, run = F.col("_copies"), F.lit(COPIES_PER_TASK).cast("bigint")
+    zero = F.lit(0).cast("bigint")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = counted.where(copies <= run).withColumn("_first", zero)
     many = (
-        counted.where(F.col("_copies") > COPIES_PER_TASK)
-        .withColumn(
-            "_first",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(COPIES_PER_TASK).cast("bigint"))),
-        )
-        .repartition(tasks, "_first", *[F.col(f"`{c}`") for c in columns])
+        counted.where(copies > run)
+        .withColumn("_first", F.explode(F.sequence(zero, copies - 1, run)))
+        .repartition(tasks, "_first", *columns)
     )
-    last = F.least(F.col("_first") + COPIES_PER_TASK, F.col("_copies")) - 1
+    last = F.least(F.col("_first") + run, copies) - 1
     return few.unionByName(many).select(
-        *[F.col(f"`{c}`") for c in columns], F.explode(F.sequence("_first", last)).alias(copy)
+        *columns, *derived, F.explode(F.sequence("_first", last)).alias(copy)
     )
 
 
 def hash_ids(df: DataFrame, run_date: dt.date | str) -> DataFrame:
     """Identifier `<run_date>_<content hash>_<copy>`: unique, and the same on a re-run."""
-    columns = df.columns
-    parts = [F.lit(as_date(run_date).isoformat()), content_hash(columns), F.col("_copy")]
-    return number_copies(df).select(
-        F.concat_ws("_", *parts).alias(ID), *[F.col(f"`{c}`") for c in columns]
+    numbered = number_copies(df, _hash=content_hash(df.columns))
+    parts = [F.lit(as_date(run_date).isoformat()), F.col("_hash"), F.col("_copy")]
+    return numbered.select(
+        F.concat_ws("_", *parts).alias(ID), *[F.col(f"`{c}`") for c in df.columns]
     )
 
 
@@ -134,8 +131,7 @@ def ordered_positions(df: DataFrame, *keys: str, position: str = POSITION) -> Da
     order = [F.col(f"`{k}`") for k in keys] + [F.col("_hash"), F.col("_copy")]
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = checkpointed(
-        number_copies(df)
-        .withColumn("_hash", content_hash(columns))
+        number_copies(df, _hash=content_hash(columns))
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .drop("_hash", "_copy")

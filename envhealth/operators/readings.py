@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..constants import ACCEPTED_STATUS, PM25_HIGH, PM25_LOW
 from ..functions import clean_text, once, to_day, to_double
@@ -23,11 +24,17 @@ def extract_readings(envelopes: DataFrame) -> DataFrame:
 
 
 def normalize_readings(extracted: DataFrame) -> DataFrame:
+    """Clean texts, numeric value and date; what does not parse is NULL.
+
+    Texts are parsed once per row. A value that is a number already stays an ordinary
+    column, so that its bounds can reach the scan.
+    """
+    value, date = to_double("pm25_raw"), to_day("utc_datetime")
+    parse_value = isinstance(extracted.schema["pm25_raw"].dataType, StringType)
     return extracted.select(
         clean_text("utc_datetime").alias("utc_datetime"),
         clean_text("city").alias("city"),
-        to_double("pm25_raw").alias("pm25"),
-        once(date=to_day("utc_datetime")),
+        *([once(pm25=value, date=date)] if parse_value else [value.alias("pm25"), once(date=date)]),
     )
 
 
