@@ -1,6 +1,6 @@
 """Column -> Column expressions. All of them are built-in JVM expressions, no UDFs."""
 
-from .dates import as_date, on_day, to_day, year_of
+from .dates import as_date, on_day, partition_value, to_day, year_of
 from .evaluate import once
 from .numbers import coerce_double, nan_to_null, parse_rate, to_double, to_int
 from .payload import is_json, is_object_with, is_record_list
@@ -17,6 +17,7 @@ __all__ = [
     "on_day",
     "once",
     "parse_rate",
+    "partition_value",
     "to_day",
     "to_double",
     "to_int",

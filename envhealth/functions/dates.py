@@ -14,6 +14,11 @@ def as_date(value: dt.date | str) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 
+def partition_value(value: dt.date | str | int) -> dt.date | int:
+    """Value of a partition column: a date, or a year as a number."""
+    return value if isinstance(value, int) else as_date(value)
+
+
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 

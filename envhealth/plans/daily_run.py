@@ -129,9 +129,9 @@ def indicators_job(
     cleaned, written = observed(
         clean_indicators(landed, keep_rate=keep_rate), f"indicators {run_date}"
     )
-    write_table(cleaned, lake.indicators, dt.date(run_date.year, 1, 1), "ingest_year")
+    write_table(cleaned, lake.indicators, run_date.year, "ingest_year")
     rows = require_rows(written, f"valid indicators of {path}")
-    audit(spark, lake.indicators, rows, dt.date(run_date.year, 1, 1), "ingest_year")
+    audit(spark, lake.indicators, rows, run_date.year, "ingest_year")
     return {"indicators": figures(seen)["rows"], "valid_indicators": rows}
 
 
@@ -149,8 +149,7 @@ def combine_job(
     daily = read_table(spark, lake.daily, run_date, up_to=scope == "all").drop("run_date")
     if scope == "all":
         daily = merge_daily(daily)
-    year = dt.date(run_date.year, 1, 1)
-    indicators = read_table(spark, lake.indicators, year, "ingest_year").drop("ingest_year")
+    indicators = read_table(spark, lake.indicators, run_date.year, "ingest_year").drop("ingest_year")
     combined, written = observed(
         combine(daily, require_columns(indicators, INDICATOR.names), run_date),
         f"combined {run_date}",

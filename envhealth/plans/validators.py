@@ -44,7 +44,7 @@ def validate_daily(spark: SparkSession, lake: Lake, run_date: dt.date | str) ->
 def validate_indicators(spark: SparkSession, lake: Lake, year: int) -> DataFrame:
     """Indicator rows of an ingest year, and how many of them have a numeric rate."""
     try:
-        table = read_table(spark, lake.indicators, dt.date(year, 1, 1), "ingest_year")
+        table = read_table(spark, lake.indicators, year, "ingest_year")
     except AnalysisException as error:
         if not _missing(error):
             raise

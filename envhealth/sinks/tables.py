@@ -7,23 +7,23 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_date
+from ..functions import as_date, partition_value
 from ..sources import read_table
 
 
 def write_table(
     df: DataFrame,
     path: str,
-    run_date: dt.date | str,
+    run_date: dt.date | str | int,
     column: str = "run_date",
     rebalance: bool = False,
 ) -> None:
-    """Replace the partition of one run date; the other dates stay.
+    """Replace the partition of one run date, or year; the others stay.
 
     File sizes follow the tasks of the plan. `rebalance` adds a shuffle that evens them
     out, for plans that end in many small tasks.
     """
-    dated = df.withColumn(column, F.lit(as_date(run_date)))
+    dated = df.withColumn(column, F.lit(partition_value(run_date)))
     if rebalance:
         dated = dated.hint("rebalance")
     (
@@ -46,7 +46,7 @@ def audit(
     spark: SparkSession,
     path: str,
     expected: int,
-    run_date: dt.date | str | None = None,
+    run_date: dt.date | str | int | None = None,
     column: str = "run_date",
 ) -> int:
     """Count what was written, from the Parquet footers, and fail on a difference."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions import as_date
+from ..functions import partition_value
 from ..schemas import DOCUMENT, JSON_OPTIONS
 
 # Beyond this many files the per-file offsets are joined by shuffle instead of broadcast.
@@ -18,20 +18,19 @@ MAX_BROADCAST_FILES = 100_000
 def read_table(
     spark: SparkSession,
     path: str,
-    run_date: dt.date | str | None = None,
+    run_date: dt.date | str | int | None = None,
     column: str = "run_date",
     up_to: bool = False,
 ) -> DataFrame:
-    """A partitioned table: all of it, one run date, or every run `up_to` that date.
+    """A partitioned table: all of it, one run date or year, or every run `up_to` it.
 
     The predicate is on the partition column, so files of other partitions are not read.
     """
     table = spark.read.parquet(path)
     if run_date is None:
         return table
-    day = F.lit(as_date(run_date))
-    part = F.col(column).cast("date")
-    return table.where(part <= day if up_to else part == day)
+    value = F.lit(partition_value(run_date))
+    return table.where(F.col(column) <= value if up_to else F.col(column) == value)
 
 
 def read_positioned(spark: SparkSession, path: str, position: str = "_position") -> DataFrame:

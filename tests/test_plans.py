@@ -77,3 +77,43 @@ def test_positions_do_not_shuffle_rows(plans):
     assert "ReadSchema: struct<>" in plan
     shuffles = re.findall(r"Arguments: hashpartitioning\((.*?)#", plan)
     assert shuffles == ["_file"]
+
+
+def test_combine_of_tables_prunes_columns_partitions_and_rows(spark, tmp_path):
+    from envhealth import operators as op
+    from envhealth import schemas, sinks, sources
+
+    daily, indicators = str(tmp_path / "daily"), str(tmp_path / "indicators")
+    sinks.write_table(spark.createDataFrame([], schemas.DAILY), daily, "2024-01-01")
+    day = spark.sql("SELECT date'2024-01-01' AS date, 1D AS pm25, 1L AS measurements_count, 1D AS pm25_min, 1D AS pm25_max")
+    sinks.write_table(day, daily, "2024-01-02")
+    row = spark.createDataFrame([(2024, "5", "g", "o", "c")], schemas.INDICATOR)
+    sinks.write_table(row, indicators, 2024, "ingest_year")
+    df = op.combine(
+        sources.read_table(spark, daily, "2024-01-02").drop("run_date"),
+        sources.read_table(spark, indicators, 2024, "ingest_year").drop("ingest_year"),
+        "2024-01-02",
+    )
+    plan = plan_of(df)
+    assert "GreaterThanOrEqual(year,2000), LessThanOrEqual(year,2025)" in plan
+    assert "ReadSchema: struct<date:date,pm25:double,measurements_count:bigint>" in plan
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+    assert "PartitionFilters: [isnotnull(ingest_year" in plan
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
+    assert df.count() == 1
+
+
+def test_search_of_published_documents_prunes_at_the_scan(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from envhealth import operators as op
+    from envhealth import sinks, sources
+
+    path = str(tmp_path / "docs")
+    docs = spark.range(5).selectExpr("cast(id as string) _id", "cast(2000 + id as int) year", "'g' AS group", "1f AS pm25_avg_yearly")
+    sinks.write_documents(docs, path)
+    table = sources.read_documents(spark, path)
+    plan = plan_of(op.search_facets(table, where=F.col("group") == "g"))
+    assert "EqualTo(group,g)" in plan
+    assert "ReadSchema: struct<year:int,group:string,pm25_avg_yearly:float>" in plan
+    assert "TakeOrderedAndProject" in plan_of(op.search(table, F.col("year") > 2001))
