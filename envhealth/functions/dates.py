@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import as_column
 from .text import clean_text
 
 
@@ -19,17 +20,13 @@ def partition_value(value: dt.date | str | int) -> dt.date | int:
     return value if isinstance(value, int) else as_date(value)
 
 
-def _col(column: Column | str) -> Column:
-    return F.col(column) if isinstance(column, str) else column
-
-
 def to_day(column: Column | str) -> Column:
     """Date of an ISO date or date-time text; NULL for any other text.
 
     The date is that of the cleaned text. Text that needs no cleaning, nearly all of it,
     is read as it is.
     """
-    c = _col(column)
+    c = as_column(column)
     return F.coalesce(c.try_cast("date"), clean_text(c).try_cast("date"))
 
 
@@ -40,5 +37,5 @@ def year_of(column: Column | str) -> Column:
 def on_day(column: Column | str, day: dt.date | str) -> Column:
     """Rows of one calendar day, as a half-open range so that it reaches the scan."""
     day = as_date(day)
-    c = _col(column)
+    c = as_column(column)
     return (c >= F.lit(day)) & (c < F.lit(day + dt.timedelta(days=1)))

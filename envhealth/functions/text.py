@@ -4,11 +4,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import LINE_BREAKS
+from .columns import as_column
 
 
 def clean_text(column: Column | str) -> Column:
     """Turn each CR, LF and TAB into one space, then trim spaces; inner runs are kept."""
-    text = F.col(column) if isinstance(column, str) else column
+    text = as_column(column)
     for character in LINE_BREAKS:
         text = F.replace(text, F.lit(character), F.lit(" "))
     return F.trim(text)

@@ -45,4 +45,60 @@ from .rollup import combine, year_bounds, year_window, yearly_stats
 from .search import search, search_facets, search_total, terms_topk
 from .stats import corr_vs_anchor, null_profile, numeric_columns, pearson, profile
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "accept_status",
+    "add_lineage",
+    "attrition",
+    "clean_indicators",
+    "clean_readings",
+    "coerce_numeric",
+    "combine",
+    "common_keys",
+    "conform",
+    "content_hash",
+    "corr_vs_anchor",
+    "coverage",
+    "daily_stats",
+    "distinct_keys",
+    "drop_critical_nulls",
+    "extract_readings",
+    "figures",
+    "filter_readings",
+    "from_ndjson",
+    "hash_ids",
+    "merge_daily",
+    "metric_stats",
+    "missing_columns",
+    "normalize_columns",
+    "normalize_readings",
+    "null_profile",
+    "nulls_for_nan",
+    "number_copies",
+    "numeric_columns",
+    "observed",
+    "ordered_positions",
+    "payload_report",
+    "pearson",
+    "position_ids",
+    "profile",
+    "project_indicators",
+    "rate_summary",
+    "require_columns",
+    "require_rows",
+    "required_fields",
+    "search",
+    "search_facets",
+    "search_total",
+    "sorted_preview",
+    "split_rejects",
+    "stage_counts",
+    "tag_rejects",
+    "terms_topk",
+    "to_bulk",
+    "to_documents",
+    "to_ndjson",
+    "validate",
+    "year_bounds",
+    "year_window",
+    "yearly_stats",
+]

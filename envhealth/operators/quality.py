@@ -27,19 +27,17 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 
 def required_fields(df: DataFrame, payload: str, fields: Iterable[str]) -> DataFrame:
-    """How many JSON payloads lack each required top-level field, in one pass."""
+    """How many JSON payloads lack each required top-level field, each parsed once."""
     fields = list(fields)
-    absent = [F.count_if(F.get_json_object(payload, f"$.{f}").isNull()) for f in fields]
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[a.alias(f"_{i}") for i, a in enumerate(absent)]
+    names = [f"_{i}" for i in range(len(fields))]
+    counted = df.select(F.json_tuple(payload, *fields).alias(*names)).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(n).isNull()).alias(n) for n in names]
     )
     cells = [
         F.struct(
-            F.lit(f).alias("field"),
-            F.col("_rows").alias("records"),
-            F.col(f"_{i}").alias("missing"),
+            F.lit(f).alias("field"), F.col("_rows").alias("records"), F.col(n).alias("missing")
         )
-        for i, f in enumerate(fields)
+        for f, n in zip(fields, names)
     ]
     return counted.select(F.inline(F.array(*cells)))
 

@@ -80,7 +80,7 @@ def corr_vs_anchor(
     """Correlation of `anchor` with every other numeric column, as (column_name, pairs, corr)."""
     others = [c for c in numeric_columns(df) if c != anchor and c not in skip]
     if not others:
-        raise ValueError(f"no numeric column to correlate with {anchor!r}")
+        return df.sparkSession.createDataFrame([], "column_name STRING, pairs BIGINT, corr DOUBLE")
     left = F.col(f"`{anchor}`").cast("double")
     aggs: list[Column] = []
     for i, name in enumerate(others):

@@ -41,15 +41,18 @@ from ..sources import read_envelopes, read_positioned, read_records, read_table,
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables live. Raw landings are partitioned by date and by year."""
+    """Where the tables live. The raw folders are patterns over `{day}` and `{year}`."""
 
     root: str
+    readings_folder: str = "raw/air_quality/date={day}"
+    indicators_folder: str = "raw/hospitalizations/year={year}"
+    files: str = "*.json*"
 
     def raw_readings(self, day: dt.date) -> str:
-        return f"{self.root}/raw/air_quality/date={day.isoformat()}"
+        return f"{self.root}/{self.readings_folder.format(day=day.isoformat())}"
 
     def raw_indicators(self, year: int) -> str:
-        return f"{self.root}/raw/hospitalizations/year={year}"
+        return f"{self.root}/{self.indicators_folder.format(year=year)}"
 
     @property
     def daily(self) -> str:
@@ -79,8 +82,9 @@ def readings_job(
     run_date = as_date(run_date)
     path = lake.raw_readings(run_date - dt.timedelta(days=1))
     require_input(spark, path)
+    envelopes = read_envelopes(spark, path, multi_line, files=lake.files)
     landed, seen = observed(
-        read_envelopes(spark, path, multi_line),
+        envelopes,
         f"readings landed {run_date}",
         corrupt=F.count_if(F.col(CORRUPT).isNotNull() | ~F.col("status").eqNullSafe(ACCEPTED_STATUS)),
     )
@@ -92,7 +96,7 @@ def readings_job(
     audit(spark, lake.daily, require_rows(written, f"daily statistics of {path}"), run_date)
     rejected = figures(seen)["corrupt"]
     if rejected:
-        _write_rejects(read_envelopes(spark, path, multi_line), lake, run_date)
+        _write_rejects(envelopes, lake, run_date)
     return {
         "readings": figures(seen)["rows"],
         "rejected_envelopes": rejected,
@@ -124,15 +128,23 @@ def indicators_job(
     run_date = as_date(run_date)
     path = lake.raw_indicators(run_date.year)
     require_input(spark, path)
-    raw = require_columns(read_records(spark, path, multi_line=multi_line), REQUIRED_INDICATOR_COLUMNS)
-    landed, seen = observed(raw, f"indicators landed {run_date}")
+    records = read_records(spark, path, multi_line=multi_line, files=lake.files)
+    landed, seen = observed(
+        require_columns(records, REQUIRED_INDICATOR_COLUMNS),
+        f"indicators landed {run_date}",
+        corrupt=F.count_if(F.col(CORRUPT).isNotNull()),
+    )
     cleaned, written = observed(
         clean_indicators(landed, keep_rate=keep_rate), f"indicators {run_date}"
     )
     write_table(cleaned, lake.indicators, run_date.year, "ingest_year")
     rows = require_rows(written, f"valid indicators of {path}")
     audit(spark, lake.indicators, rows, run_date.year, "ingest_year")
-    return {"indicators": figures(seen)["rows"], "valid_indicators": rows}
+    return {
+        "indicators": figures(seen)["rows"],
+        "corrupt_indicators": figures(seen)["corrupt"],
+        "valid_indicators": rows,
+    }
 
 
 def combine_job(
@@ -186,14 +198,14 @@ def publish_job(
 
 def run_daily(
     spark: SparkSession,
-    root: str,
+    lake: Lake | str,
     run_date: dt.date | str,
     indexed_at: dt.datetime | str | None = None,
     scope: str = "all",
     multi_line: bool = True,
 ) -> dict[str, int]:
     """All jobs of one date in dependency order; returns the row counts of every stage."""
-    lake = Lake(root)
+    lake = Lake(lake) if isinstance(lake, str) else lake
     with ThreadPoolExecutor(max_workers=2) as pool:
         first = [
             pool.submit(readings_job, spark, lake, run_date, multi_line),

@@ -14,9 +14,16 @@ from ..schemas import ENVELOPE, INDICATOR_RAW, LANDING
 
 
 def _read_json(
-    spark: SparkSession, path: str | list[str], schema: StructType, multi_line: bool, strict: bool
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    multi_line: bool,
+    strict: bool,
+    files: str | None,
 ) -> DataFrame:
     reader = spark.read.option("multiLine", multi_line)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if strict:
         return reader.option("mode", "FAILFAST").schema(schema).json(path)
     with_corrupt = StructType([*schema.fields]).add(CORRUPT, StringType())
@@ -25,14 +32,18 @@ def _read_json(
 
 
 def read_envelopes(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, strict: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = True,
+    strict: bool = False,
+    files: str | None = None,
 ) -> DataFrame:
     """Air-quality envelopes, one object per file, or one per line without `multi_line`.
 
     A record that does not parse is kept as text in `_corrupt_record`; with `strict` it
-    fails the job instead.
+    fails the job instead. `files` is a pattern of file names to read.
     """
-    return _read_json(spark, path, ENVELOPE, multi_line, strict)
+    return _read_json(spark, path, ENVELOPE, multi_line, strict, files)
 
 
 def read_records(
@@ -41,10 +52,11 @@ def read_records(
     schema: StructType = INDICATOR_RAW,
     multi_line: bool = True,
     strict: bool = False,
+    files: str | None = None,
 ) -> DataFrame:
     """Flat records, one row per array element. Large landings should use one record per
     line and `multi_line=False`, which makes the files splittable."""
-    return _read_json(spark, path, schema, multi_line, strict)
+    return _read_json(spark, path, schema, multi_line, strict, files)
 
 
 def read_csv_drop(

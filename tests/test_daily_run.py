@@ -53,7 +53,7 @@ def test_two_dates_and_a_rerun(spark, lake, rows):
     root = str(lake)
     first = run_daily(spark, root, "2024-06-01", scope="day")
     assert first == {
-        "readings": 2, "rejected_envelopes": 0, "valid_readings": 2, "days": 1, "indicators": 3,
+        "readings": 2, "rejected_envelopes": 0, "valid_readings": 2, "days": 1, "indicators": 3, "corrupt_indicators": 0,
         "valid_indicators": 3, "combined": 2, "replaced": 0, "documents": 2, "dropped": 0,
     }
     assert {r["pm25_avg_yearly"] for r in published(spark, lake).collect()} == {15.0}
@@ -143,3 +143,23 @@ def test_validators(spark, lake):
     assert [(r["check_name"], r["passed"]) for r in other] == [("exists", True), ("days", False)]
     foreign = validate_published(spark, paths, "2024-07-07").where("not passed").collect()
     assert [(r["check_name"], r["value"]) for r in foreign] == [("other_dates", 2)]
+
+
+def test_plain_folders_with_other_files(spark, tmp_path):
+    land(tmp_path, "2024-05-31", [10.0])
+    land_indicators(tmp_path, 2024, [2024])
+    raw = tmp_path / "raw"
+    (raw / "air_quality" / "date=2024-05-31").rename(raw / "air_quality" / "2024-05-31")
+    (raw / "hospitalizations" / "year=2024").rename(raw / "hospitalizations" / "2024")
+    (raw / "hospitalizations" / "2024" / "asthma_data.csv").write_text("year,percentage\n2024,7\n")
+    plain = Lake(str(tmp_path), "raw/air_quality/{day}", "raw/hospitalizations/{year}")
+    report = run_daily(spark, plain, "2024-06-01")
+    assert report["indicators"] == 1 and report["corrupt_indicators"] == 0
+    assert report["documents"] == 1
+
+
+def test_broken_indicator_file_does_not_stop_the_run(spark, lake):
+    folder = lake / "raw" / "hospitalizations" / "year=2024"
+    (folder / "broken.json").write_text('[{"year": "2024"')
+    report = run_daily(spark, str(lake), "2024-06-01")
+    assert report["corrupt_indicators"] == 1 and report["valid_indicators"] == 3
