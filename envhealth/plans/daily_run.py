@@ -36,7 +36,14 @@ from ..operators import (
 from ..operators.quality import REASON
 from ..schemas import INDICATOR
 from ..sinks import audit, published_count, write_documents, write_table
-from ..sources import read_envelopes, read_positioned, read_records, read_table, require_input
+from ..sources import (
+    partition_path,
+    read_envelopes,
+    read_positioned,
+    read_records,
+    read_table,
+    require_input,
+)
 
 
 @dataclass(frozen=True)
@@ -182,7 +189,7 @@ def publish_job(
     """Replace the published documents by those of the run date."""
     run_date = as_date(run_date)
     indexed_at = indexed_at or f"{run_date.isoformat()} 00:00:00"
-    source = f"{lake.combined}/run_date={run_date.isoformat()}"
+    source = partition_path(lake.combined, run_date)
     require_input(spark, source)
     before = published_count(spark, lake.documents, form)
     rows, seen = observed(read_positioned(spark, source), f"documents read {run_date}")

@@ -9,12 +9,13 @@ from .landing import (
     read_records,
     split_corrupt,
 )
-from .tables import read_documents, read_positioned, read_table
+from .tables import partition_path, read_documents, read_positioned, read_table
 
 __all__ = [
     "footprint",
     "landing_query",
     "landing_report",
+    "partition_path",
     "read_csv_drop",
     "read_documents",
     "read_envelopes",

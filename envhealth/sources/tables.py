@@ -15,6 +15,10 @@ from ..schemas import DOCUMENT, JSON_OPTIONS
 MAX_BROADCAST_FILES = 100_000
 
 
+def partition_path(path: str, value: dt.date | str | int, column: str = "run_date") -> str:
+    return f"{path}/{column}={partition_value(value)}"
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -24,13 +28,16 @@ def read_table(
 ) -> DataFrame:
     """A partitioned table: all of it, one run date or year, or every run `up_to` it.
 
-    The predicate is on the partition column, so files of other partitions are not read.
+    One partition is read by its path, so a long history is not even listed; that it does
+    not exist is an error. `up_to` is a predicate on the partition column, so files of
+    later partitions are listed but not read.
     """
-    table = spark.read.parquet(path)
     if run_date is None:
-        return table
-    value = F.lit(partition_value(run_date))
-    return table.where(F.col(column) <= value if up_to else F.col(column) == value)
+        return spark.read.parquet(path)
+    if up_to:
+        return spark.read.parquet(path).where(F.col(column) <= F.lit(partition_value(run_date)))
+    one = partition_path(path, run_date, column)
+    return spark.read.option("basePath", path).parquet(one)
 
 
 def read_positioned(spark: SparkSession, path: str, position: str = "_position") -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from envhealth import operators as op
@@ -91,9 +92,14 @@ def test_read_table_prunes_partitions(spark, tmp_path):
     df.write.partitionBy("run_date").parquet(path)
     day = sources.read_table(spark, path, "2024-01-02")
     assert sorted(r["id"] for r in day.collect()) == [1, 4]
-    assert "PartitionFilters: [isnotnull(run_date" in day._jdf.queryExecution().toString()
-    assert sources.read_table(spark, path, "2024-01-02", up_to=True).count() == 4
+    assert day.schema == spark.read.parquet(path).schema
+    assert {f.split("/")[-2] for f in day.inputFiles()} == {"run_date=2024-01-02"}
+    before = sources.read_table(spark, path, "2024-01-02", up_to=True)
+    assert "PartitionFilters: [isnotnull(run_date" in before._jdf.queryExecution().toString()
+    assert before.count() == 4
     assert sources.read_table(spark, path).count() == 6
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        sources.read_table(spark, path, "2024-01-09")
 
 
 def test_landing_query_text_comparison_and_limit(spark):
