@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as contract
@@ -32,6 +34,11 @@ def test_rows_only_query(spark, sf_dir, name):
     assert contract.queries()[name](spark, sf_dir).count() > 0
 
 
+def test_source_footprint_is_that_of_the_file(spark, sf_dir):
+    row = contract.queries()["source_footprint"](spark, sf_dir).first()
+    assert tuple(row) == (1, os.path.getsize(f"{sf_dir}/orders.parquet"))
+
+
 def test_entry(spark, sf_dir):
     df = contract.entry(spark)
     assert df.columns[:2] == ["year", "pm25_avg_yearly"]
