@@ -82,10 +82,10 @@ def split_rejects(
     return good, tagged.where(F.col(REASON).isNotNull())
 
 
-def observed(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Observation]:
     """Count rows while they pass by: the figures are ready after the one action on `df`."""
     observation = Observation(name)
-    named = [figure.alias(alias) for alias, figure in figures.items()]
+    named = [figure.alias(alias) for alias, figure in more.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *named), observation
 
 

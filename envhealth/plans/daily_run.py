@@ -102,8 +102,7 @@ def readings_job(
     write_table(daily, lake.daily, run_date)
     audit(spark, lake.daily, require_rows(written, f"daily statistics of {path}"), run_date)
     rejected = figures(seen)["corrupt"]
-    if rejected:
-        _write_rejects(envelopes, lake, run_date)
+    _write_rejects(envelopes if rejected else envelopes.limit(0), lake, run_date)
     return {
         "readings": figures(seen)["rows"],
         "rejected_envelopes": rejected,
@@ -113,7 +112,8 @@ def readings_job(
 
 
 def _write_rejects(envelopes: DataFrame, lake: Lake, run_date: dt.date) -> None:
-    """Second pass over the landing, made only when the first one saw rejects."""
+    """Replace the rejects of the run date. The landing is read for it a second time, but
+    only when the first pass saw rejects; otherwise the input is known to be empty."""
     tagged = tag_rejects(
         envelopes,
         {
@@ -121,7 +121,7 @@ def _write_rejects(envelopes: DataFrame, lake: Lake, run_date: dt.date) -> None:
             "status": F.col("status").eqNullSafe(ACCEPTED_STATUS),
         },
     ).where(F.col(REASON).isNotNull())
-    write_table(tagged, lake.rejects, run_date)
+    tagged.write.mode("overwrite").parquet(partition_path(lake.rejects, run_date))
 
 
 def indicators_job(

@@ -69,9 +69,13 @@ def test_two_dates_and_a_rerun(spark, lake, rows):
     rejects = spark.read.parquet(Lake(root).rejects)
     assert sorted(r["reject_reason"] for r in rejects.collect()) == ["malformed", "status"]
 
+    (lake / "raw" / "air_quality" / "date=2024-06-01" / "waqi_2.json").unlink()
+    (lake / "raw" / "air_quality" / "date=2024-06-01" / "waqi_1.json").unlink()
+    second = {**second, "readings": 1, "rejected_envelopes": 0}
     before = rows(after)
     assert run_daily(spark, root, "2024-06-02") == {**second, "replaced": 2}
     assert rows(published(spark, lake)) == before
+    assert spark.read.parquet(Lake(root).rejects).isEmpty()
 
 
 def test_scope_day_uses_only_the_day_before(spark, lake):
