@@ -110,6 +110,12 @@ EVENT_READINGS = """parsed AS (
                          ELSE CAST(value AS VARCHAR) END AS pm25_raw
   FROM events)"""
 
+CLEAN_ENVELOPES = f"""WITH {EVENT_READINGS}
+SELECT utc_datetime, trim(regexp_replace(city, '[\\r\\n\\t]', ' ', 'g')) AS city,
+       TRY_CAST(pm25_raw AS DOUBLE) AS pm25, substr(utc_datetime, 1, 10) AS date
+FROM parsed
+WHERE utc_datetime IS NOT NULL AND TRY_CAST(pm25_raw AS DOUBLE) BETWEEN 0 AND 1000"""
+
 DOCUMENT_HASH = """hashed AS (
   SELECT year, "group", outcome_or_indicator,
          sha256('{"year":' || CAST(year AS VARCHAR) || ',"group":"' || "group"
@@ -186,11 +192,8 @@ FROM lineitem WHERE l_returnflag <> 'R'""",
     "project_cast": f"WITH {RAW_INDICATORS} SELECT {PROJECTED} FROM raw_indicators",
     "filter_valid_readings": f"""WITH {READINGS}
 SELECT utc_datetime, city, pm25, CAST(date AS VARCHAR) AS date FROM readings""",
-    "clean_envelopes": f"""WITH {EVENT_READINGS}
-SELECT utc_datetime, trim(regexp_replace(city, '[\\r\\n\\t]', ' ', 'g')) AS city,
-       TRY_CAST(pm25_raw AS DOUBLE) AS pm25, substr(utc_datetime, 1, 10) AS date
-FROM parsed
-WHERE utc_datetime IS NOT NULL AND TRY_CAST(pm25_raw AS DOUBLE) BETWEEN 0 AND 1000""",
+    "clean_envelopes": CLEAN_ENVELOPES,
+    "stream_clean_landing": CLEAN_ENVELOPES,
     "parse_rate": f"WITH {DIRTY_RATES} SELECT c_custkey, percentage, rate FROM parsed",
     "normalize_text": """SELECT doc_id, trim(regexp_replace(text, '[\\r\\n\\t]', ' ', 'g')) AS text
 FROM documents""",
@@ -328,6 +331,8 @@ SELECT year, "group", outcome_or_indicator,
        row_number() OVER (ORDER BY year, "group", h) - 1 AS _position
 FROM hashed""",
     "document_ndjson": f"{COMBINED}SELECT '2026-01-01' AS id_date, {DOCUMENT_COLUMNS} FROM combined",
+    "bulk_delivery": f"""{COMBINED}SELECT count(*) FILTER (WHERE "group" <> '5-LOW') AS indexed,
+       count(*) FILTER (WHERE "group" = '5-LOW') AS failed FROM combined""",
     "search_documents": f"""{COMBINED}SELECT {COMBINED_COLUMNS} FROM combined
 WHERE "group" IN ('1-URGENT', '2-HIGH') AND year BETWEEN 2000 AND 2001
 ORDER BY year DESC, confidence_interval LIMIT 10""",

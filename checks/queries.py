@@ -18,7 +18,8 @@ from envhealth import operators as op
 from envhealth import sinks, sources
 from envhealth.checkpoints import scratch_path
 from envhealth.plans import Lake, run_daily
-from envhealth.schemas import DOCUMENT, ENVELOPE
+from envhealth.schemas import DOCUMENT, ENVELOPE, READING
+from envhealth.streaming import clean_landing
 
 from . import bindings as b
 
@@ -105,6 +106,28 @@ def json_landing_report(spark, sf_dir):
     return sources.landing_report(sources.read_envelopes(spark, path, multi_line=False))
 
 
+@query
+def stream_clean_landing(spark, sf_dir):
+    """The envelope landing cleaned as an available-now stream."""
+    path, table = scratch_path(spark, "landing"), scratch_path(spark, "readings")
+    b.envelope_texts(spark, sf_dir).select("value").write.text(path)
+    stream = clean_landing(spark, path, table, scratch_path(spark, "state"), multi_line=False)
+    stream.awaitTermination()
+    return _text(spark.read.schema(READING).parquet(table), "date")
+
+
+@query
+def bulk_delivery(spark, sf_dir):
+    """Every document handed to a sender that refuses those of one group."""
+    documents = op.to_documents(b.combined(spark, sf_dir), b.RUN_DATE, b.INDEXED_AT)
+
+    def send(texts):
+        return sum('"group":"5-LOW"' not in text for text in texts)
+
+    counts = sinks.publish(documents, "air", send)
+    return spark.createDataFrame([counts], "indexed BIGINT, failed BIGINT")
+
+
 @query
 def roundtrip_parquet(spark, sf_dir):
     path = scratch_path(spark, "orders")
