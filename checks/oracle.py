@@ -207,7 +207,7 @@ FROM events""",
 FROM events WHERE event_type <> 'view'""",
     "to_date_year": """SELECT event_id,
        CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date,
-       CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS INTEGER) END AS year
+       CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS VARCHAR) END AS year
 FROM events""",
     "clean_indicators": f"""WITH {INDICATORS}
 SELECT year, percentage, "group", outcome_or_indicator, confidence_interval FROM indicators""",
@@ -307,7 +307,7 @@ UNION ALL
 SELECT 'max_year', max(year) <= 2027, CAST(max(year) AS BIGINT) FROM combined""",
     "lineage_columns": """SELECT event_id, event_type, '2026-01-01 06:30:00' AS indexed_at,
        'combined_2026-01-01' AS data_source, '2026-01-01' AS processing_date FROM events""",
-    "conform_schema": f"""SELECT CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS INTEGER) END AS year,
+    "conform_schema": f"""SELECT CASE WHEN event_type <> 'error' THEN CAST(year(ts) AS VARCHAR) END AS year,
        {_narrow("value")} AS pm25_avg_yearly, CAST(NULL AS DOUBLE) AS pm25_min_yearly,
        CAST(NULL AS DOUBLE) AS pm25_max_yearly, CAST(event_id AS INTEGER) AS pm25_measurements_count,
        CAST(NULL AS DOUBLE) AS daily_measurements_avg, CAST(user_id AS VARCHAR) AS percentage,

@@ -1,7 +1,8 @@
 """Registered queries: one per operator, over whole tables.
 
-Dates are returned as text. Averages keep the precision of a 32-bit float: engines add in
-different orders, and unlike decimal rounding this has no ties near exact means.
+Dates, and years that can be NULL, are returned as text. Averages keep the precision of a
+32-bit float: engines add in different orders, and unlike decimal rounding this has no ties
+near exact means.
 """
 
 from __future__ import annotations
@@ -224,7 +225,7 @@ def drop_critical_nulls(spark, sf_dir):
 def to_date_year(spark, sf_dir):
     text = F.when(F.col("event_type") == "error", "garbage").otherwise(F.col("ts").cast("string"))
     events = b.table(spark, sf_dir, "events").select("event_id", fn.to_day(text).alias("date"))
-    return _text(events.withColumn("year", F.year("date")), "date")
+    return _text(events.withColumn("year", fn.year_of("date")), "date", "year")
 
 
 @query
@@ -400,7 +401,7 @@ def conform_schema(spark, sf_dir):
         F.col("ts").cast("date").cast("string").alias("processing_date"),
         F.col("props").alias("extra"),
     )
-    return _widen(_text(op.conform(events), "indexed_at", "processing_date"))
+    return _widen(_text(op.conform(events), "year", "indexed_at", "processing_date"))
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..constants import INDICATOR_TEXT_COLUMNS, MIN_YEAR
 from ..functions import clean_text, coerce_double, once, parse_rate, to_int
@@ -33,10 +34,15 @@ def clean_indicators(
     """Valid indicator rows; `keep_rate` adds the parsed rate as the last column.
 
     The rate is parsed from the untrimmed text: " 5" is not a rate, although the
-    published `percentage` is trimmed afterwards.
+    published `percentage` is trimmed afterwards. A year that is a number already stays an
+    ordinary column, so that the bound on it can reach the scan.
     """
     texts = [c for c in INDICATOR.names if c != "year"]
-    parsed = raw.select(*texts, once(year=to_int("year"), asthma_rate=parse_rate("percentage")))
+    rate = parse_rate("percentage")
+    if isinstance(raw.schema["year"].dataType, StringType):
+        parsed = raw.select(*texts, once(year=to_int("year"), asthma_rate=rate))
+    else:
+        parsed = raw.select(*texts, F.col("year").try_cast("int"), once(asthma_rate=rate))
     valid = normalize_columns(parsed, INDICATOR_TEXT_COLUMNS).where(
         (F.col("year") >= min_year) & (F.col("asthma_rate") >= 0)
     )

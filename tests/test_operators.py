@@ -102,6 +102,18 @@ def test_clean_indicators(spark, rows):
     assert [r["asthma_rate"] for r in op.clean_indicators(raw, keep_rate=True).orderBy("year").collect()] == [5.0, 12.5]
 
 
+def test_clean_indicators_with_numeric_years(spark, rows, tmp_path):
+    data = [(1999, "5"), (2000, "5."), (2001, "x"), (None, "5")]
+    raw = spark.createDataFrame(data, "year int, percentage string").withColumns(
+        {c: F.lit("t") for c in ("confidence_interval", "description", "group", "outcome_or_indicator")}
+    )
+    raw.write.parquet(str(tmp_path / "raw"))
+    df = op.clean_indicators(spark.read.parquet(str(tmp_path / "raw")))
+    assert df.schema == schemas.INDICATOR
+    assert rows(df) == [(2000, "5.", "t", "t", "t")]
+    assert "GreaterThanOrEqual(year,2000)" in df._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("limit", [10_000, 0])
 def test_combine_fans_out_and_drops_unmatched_years(spark, monkeypatch, limit):
     monkeypatch.setattr(rollup, "MAX_BROADCAST_YEARS", limit)
