@@ -71,6 +71,13 @@ def test_csv_columns_by_name(spark, tmp_path, rows):
     ]
 
 
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("year,percentage\n2020,5.5\n")
+    (tmp_path / "b.csv").write_text("percentage,year\n6.5,2021\n")
+    with pytest.raises(Exception, match="header|HEADER"):
+        sources.read_csv_drop(spark, str(tmp_path)).collect()
+
+
 def test_footprint_and_gate(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
