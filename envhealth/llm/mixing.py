@@ -25,7 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 #: Documents that meet in one block, on average at most, and blocks that meet in the next level.
-BLOCK, FAN_IN = 128, 32
+BLOCK, FAN_IN = 1024, 32
 ROUND_OFF = 1e-9
 
 
