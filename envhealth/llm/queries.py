@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash
+from ..checkpoints import scratch_path
+from . import decontaminate, language, mixing, quality, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,11 +31,44 @@ def op1_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+@query
+def op2_token_counts(spark, sf_dir):
+    return token_counts.document_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"))
+
+
+ORACLE["op2_token_counts"] = r"""
+SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+FROM documents
+"""
+
+
 @query
 def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def ratings(labels: DataFrame) -> DataFrame:
+    """Grades 0 to 2: one point for quality, one for not being toxic."""
+    return labels.select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
+
+
+@query
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(ratings(table(spark, sf_dir, "labels")), docs, grades=3)
+    graded = quality.grade(docs, model)
+    return graded.withColumn("kept", F.col("tail_probability") >= 0.5)
+
+
+@query
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = (language.fold("doc_id", 3) == 1).alias("held_out")
+    model = language.train(docs.where(~F.coalesce(language.fold("doc_id", 3) == 1, F.lit(False))))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @query
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -72,3 +106,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+
+@query
+def op9_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
