@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import scratch_path
-from . import decontaminate, language, mixing, quality, simhash, token_counts, url_filter
+from . import decontaminate, language, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,6 +69,15 @@ def op5_language(spark, sf_dir):
     return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    spans = suffix_dedup.repeated_spans(docs)
+    keyed = docs.select("doc_id", suffix_dedup.row_key("doc_id", "text").alias("key"))
+    words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["hi"] - s["lo"])
+    return keyed.join(spans, "key").select("doc_id", words.alias("n_repeated"), "spans", "first_doc_ids")
+
+
 @query
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
