@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import scratch_path
-from . import decontaminate, language, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
+from . import decontaminate, embedding_dedup, language, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +78,11 @@ def op6_suffix_dedup(spark, sf_dir):
     return keyed.join(spans, "key").select("doc_id", words.alias("n_repeated"), "spans", "first_doc_ids")
 
 
+@query
+def op7_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
