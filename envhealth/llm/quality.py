@@ -200,3 +200,17 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = f"doc_id {id_type}, expected_grade double, tail_probability double"
     return docs.select("doc_id", "text").mapInArrow(partial(_graded, model=shared), schema)
+
+
+def _selected(batches: Iterator[pa.RecordBatch], model, text_at: int, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pair = pa.RecordBatch.from_arrays([batch.column(text_at)] * 2, names=["doc_id", "text"])
+        for graded in _graded(iter([pair]), model):
+            yield batch.filter(pa.array(graded.column(2).to_numpy() >= least))
+
+
+def selected(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of `docs` whose probability of the highest grade is at least `least`, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    run = partial(_selected, model=shared, text_at=docs.columns.index("text"), least=least)
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import scratch_path
-from . import decontaminate, embedding_dedup, language, mixing, quality, simhash, suffix_dedup, token_counts, url_filter
+from . import decontaminate, embedding_dedup, language, mixing, ngram_lm, quality, simhash, suffix_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,8 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 @query
 def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_lm_score(spark, sf_dir):
+    return ngram_lm.score(table(spark, sf_dir, "documents"), language.fold("doc_id", 7) == 2)

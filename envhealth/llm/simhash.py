@@ -10,6 +10,7 @@ come from dynamic programming over estimated candidate counts; both only steer c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 from math import comb
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import saved, shuffle_tasks
-from .words import mixed
+from .words import NOT_SPACE, find_words, gram_hashes, mixed, pieces
 
 BITS = 64
 SEED = 42
@@ -32,7 +33,9 @@ PROBE_COST, COMPARE_COST = 1.0, 0.002
 #: Shingles hashed together.
 RUN = 1 << 16
 #: Groups up to this size are compared by shifting; larger ones around leaders.
-SMALL_GROUP = 32
+SMALL_GROUP = 64
+#: Similar documents: words of a shingle, least share of common shingles, bits searched.
+SHINGLE, SIMILARITY, SIMILAR_BITS = 5, 0.8, 10
 
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -92,7 +95,7 @@ def part_mask(bits: list[int] | tuple[int, ...]) -> int:
     return sum(1 << i for i in bits)
 
 
-def part_costs(sample: np.ndarray, part: list[int], n: int, most: int) -> list[float]:
+def part_costs(sample: np.ndarray, part: list[int], n: int, most: int, pairs: float) -> list[float]:
     """Estimated cost of thresholds -1, 0, ... most for one part among n fingerprints."""
     own = sample & np.uint64(part_mask(part))
     seen = np.zeros(len(part) + 1)
@@ -106,13 +109,16 @@ def part_costs(sample: np.ndarray, part: list[int], n: int, most: int) -> list[f
     likely = np.maximum(seen, chance)
     costs = [0.0]
     for t in range(most + 1):
-        pairs = sum(likely[d] * comb(len(part) - d, t - d) for d in range(min(t, len(part)) + 1))
-        costs.append(PROBE_COST * n * comb(len(part), t) + COMPARE_COST * n * n / 2 * pairs)
+        meet = sum(likely[d] * comb(len(part) - d, t - d) for d in range(min(t, len(part)) + 1))
+        costs.append(PROBE_COST * n * comb(len(part), t) + COMPARE_COST * pairs * meet)
     return costs
 
 
-def probe_masks(sample: np.ndarray, n: int, max_bits: int) -> list[int]:
-    """Masks under which any two of n fingerprints within `max_bits` bits agree at least once."""
+def probe_masks(sample: np.ndarray, n: int, max_bits: int, pairs: float | None = None) -> list[int]:
+    """Masks under which any two of n fingerprints within `max_bits` bits agree at least once.
+
+    `pairs` is the number of pairs that may be compared at all, by default all of them.
+    """
     best: tuple[float, list[int]] | None = None
     for m in range(1, min(max_bits + 1, 6) + 1):
         parts = parts_of_bits(sample, m)
@@ -120,7 +126,7 @@ def probe_masks(sample: np.ndarray, n: int, max_bits: int) -> list[int]:
         # plans[s]: cheapest cost and thresholds of the parts so far with sum(t + 1) = s
         plans: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
         for part in parts:
-            costs, nxt = part_costs(sample, part, n, most), {}
+            costs, nxt = part_costs(sample, part, n, most, pairs or n * n / 2), {}
             for s, (cost, chosen) in plans.items():
                 for t in range(-1, most + 1):
                     total = (cost + costs[t + 1], [*chosen, t])
@@ -210,9 +216,14 @@ def _probes(masks: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
+            bands = [batch.column(i).to_numpy().astype(np.uint64) for i in range(1, batch.num_columns)]
+            # With bands, a value is probed in its own and in the next, where the next one's also are.
+            shifts = [mixed(bands[0] + np.uint64(i)) for i in (0, 1)] if bands else [np.uint64(0)]
             for mask in masks:
-                key = mixed(mixed(fp & np.uint64(mask)) ^ np.uint64(mask)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0)], names=["key", "fp"])
+                value = mixed(fp & np.uint64(mask)) ^ np.uint64(mask)
+                for shift in shifts:
+                    key = mixed(value ^ shift).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0)], names=["key", "fp"])
 
     return run
 
@@ -221,13 +232,19 @@ def near_links(values: DataFrame, max_bits: int) -> DataFrame:
     """Links `(a, b)` between values of `values(fp)`, all distinct, that connect what is within `max_bits`.
 
     One task sees the distinct values under one probe, eight bytes each; equal fingerprints of
-    any number of documents are one value, and no group's pairs are written out.
+    any number of documents are one value, and no group's pairs are written out. With a second
+    column `band` only values whose bands differ by one at most are linked.
     """
     spark = values.sparkSession
     n = values.count()
-    rows = values.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
+    rows = values.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    masks = probe_masks(sample, n, max_bits)
+    pairs = None
+    if "band" in values.columns:
+        n *= 2
+        sizes = values.groupBy("band").count()
+        pairs = float(sizes.agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] or 0) * 2
+    masks = probe_masks(sample, n, max_bits, pairs)
     probes = values.mapInArrow(_probes(masks), "key long, fp long")
     grouped = probes.repartition(shuffle_tasks(spark), "key").sortWithinPartitions("key", "fp")
     return grouped.mapInArrow(_linked(max_bits), "a long, b long").distinct()
@@ -252,3 +269,76 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFr
     return found.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """`(key, grams)`: sorted distinct hashes of the shingles of each text."""
+    for batch in batches:
+        found = []
+        for texts in pieces(batch.column(1)):
+            words = find_words(texts, NOT_SPACE)
+            for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
+                own = words.hashes[a:b]
+                found.append(np.unique(gram_hashes(own, min(size, max(1, len(own))))).view(np.int64))
+        grams = pa.array(found, pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), grams], names=["key", "grams"])
+
+
+def similar_documents(
+    docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, max_bits: int = SIMILAR_BITS
+) -> DataFrame:
+    """`(key, root)` of the texts of `docs(key, text)` that are much like another text.
+
+    `key` names a text, a long; equal texts may share it or not. Candidates are texts whose
+    fingerprints over `size`-word shingles differ in at most `max_bits` bits and whose numbers of
+    shingles are within a quarter; links are those whose common share of distinct shingles is at
+    least `similarity`. A group of candidates is checked against leaders; what fails there and
+    is linked to nothing meets again until nothing more links. Texts without a link are absent.
+    A null or empty text is like other such texts. No rows, no result rows.
+    """
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, bands = [], []
+            for text in batch.column(1).cast(pa.binary()):
+                words = (text.as_py() or b"").lower().split()
+                fps.append(fingerprint(words, size))
+                bands.append(int(np.log(max(1, len(words) - size + 1)) / np.log(1.25)))
+            columns = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(bands, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "fp", "band"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                common = len(x) + len(y) - len(np.union1d(x, y))
+                fits.append(common >= similarity * (len(x) + len(y) - common))
+            columns = [batch.column(0), batch.column(1), pa.array(fits, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "fits"])
+
+    texts = docs.select("key", "text")
+    found = saved(texts.mapInArrow(marks, "key long, fp long, band long"), "marks")
+    left, links = found, None
+    while True:
+        classes = left.groupBy("fp", "band").agg(F.min("key").alias("first"))
+        classes = saved(classes, "classes")
+        near = near_links(classes.select("fp", "band"), max_bits)
+        heads = classes.groupBy("fp").agg(F.min("first").alias("head"))
+        pairs = near.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a")
+        pairs = pairs.join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
+        same = left.join(heads, "fp").select(F.col("head").alias("x"), F.col("key").alias("y")).where("x <> y")
+        pairs = saved(pairs.union(same).distinct(), "pairs")
+        asked = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
+        grams = texts.join(asked, "key", "left_semi").mapInArrow(partial(_shingled, size=size), "key long, grams array<long>")
+        grams = saved(grams.dropDuplicates(["key"]), "shingles")
+        both = pairs.join(grams.select(F.col("key").alias("x"), F.col("grams").alias("gx")), "x")
+        both = both.join(grams.select(F.col("key").alias("y"), F.col("grams").alias("gy")), "y")
+        tried = saved(both.select("x", "y", "gx", "gy").mapInArrow(alike, "a long, b long, fits boolean"), "tried")
+        new = tried.where("fits").select("a", "b")
+        links = new if links is None else links.union(new)
+        linked = links.select(F.col("a").alias("key")).union(links.select("b")).distinct()
+        failed = tried.where("not fits").select(F.col("a").alias("key")).union(tried.where("not fits").select("b")).distinct()
+        left = saved(left.join(failed.join(linked, "key", "left_anti"), "key", "left_semi"), "left")
+        if new.isEmpty() or left.isEmpty():
+            return components(links).withColumnRenamed("node", "key")

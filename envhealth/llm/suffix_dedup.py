@@ -26,7 +26,7 @@ from .words import NOT_SPACE, find_words, mixed, pieces, powers
 MATCH, GRAM = 50, 10
 SIDE = MATCH - GRAM
 #: Suffixes of one gram that are extended together; more are taken in turn.
-CHUNK = 20_000
+CHUNK = 8_000
 
 _LEFT, _RIGHT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 

@@ -10,6 +10,8 @@ import pyarrow as pa
 
 #: Bytes of text that are looked at together; a single longer text is still one piece.
 PIECE_BYTES = 2 << 20
+#: Bytes of words that are hashed together.
+HASH_BYTES = 512 << 10
 
 _SEED = np.random.default_rng(20240229)
 _BYTE_CODES = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,12 +70,12 @@ def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def pieces(column: pa.Array, lower: bool = True) -> Iterator[Texts]:
-    """The texts of a column in runs of about PIECE_BYTES."""
+def pieces(column: pa.Array, lower: bool = True, size: int = PIECE_BYTES) -> Iterator[Texts]:
+    """The texts of a column in runs of about `size` bytes."""
     data, at = byte_column(column)
     i, n = 0, len(at) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + PIECE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, at[i] + size, "right")) - 1)
         part = data[at[i] : at[j]]
         yield Texts(i, LOWER[part] if lower else part, at[i : j + 1] - at[i])
         i = j
@@ -101,12 +103,19 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.zeros(0, np.uint64)
     sizes = ends - starts
-    firsts = np.zeros(len(starts), np.int64)
-    np.cumsum(sizes[:-1], out=firsts[1:])
-    place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
-    codes = _BYTE_CODES[data[place + np.repeat(starts, sizes)]]
-    codes *= powers(_BYTE_STEP, int(sizes.max()))[place]
-    return mixed(np.add.reduceat(codes, firsts) + sizes.astype(np.uint64))
+    steps = powers(_BYTE_STEP, int(sizes.max()))
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):  # bounded runs of words, so that only single bytes are held at full length
+        j = max(i + 1, int(np.searchsorted(total, total[i] + HASH_BYTES, "right")) - 1)
+        n, firsts = sizes[i:j], total[i:j] - total[i]
+        place = np.arange(total[j] - total[i]) - np.repeat(firsts, n)
+        codes = _BYTE_CODES[data[place + np.repeat(starts[i:j], n)]]
+        codes *= steps[place]
+        out[i:j] = np.add.reduceat(codes, firsts)
+        i = j
+    return mixed(out + sizes.astype(np.uint64))
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
