@@ -151,8 +151,8 @@ class PairTrie:
         contexts, starts = np.unique(context[new], return_index=True)
         words, number = np.unique(word[new], return_inverse=True)
         owner = np.repeat(np.arange(len(contexts)), np.diff(np.append(starts, len(total))))
-        lasts = number[np.append(starts[1:], len(total)) - 1] + 1
-        raised = np.concatenate([[0], np.cumsum(lasts)[:-1]]) if len(lasts) else lasts
+        lasts = number[np.append(starts[1:], len(total)) - 1] + 1 if len(total) else number
+        raised = np.cumsum(lasts) - lasts
         codes = np.round(np.log2(np.maximum(total, 1)) * STEPS).astype(np.uint16) + np.uint16(1)
         np.save(path / "codes.npy", codes)
         levels = {

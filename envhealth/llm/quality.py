@@ -54,8 +54,9 @@ def text_features(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         total = max(1, b - a + d - c)
         slots = np.concatenate([present, runs, [BIAS, LOUD, TWICE, AGAIN]])
         loud = np.count_nonzero(in_capitals[a:b])
-        twice = np.count_nonzero(words.hashes[a + 1 : b] == words.hashes[a : b - 1])
-        triples = gram_hashes(words.hashes[a:b], 3)
+        own = words.hashes[a:b]
+        twice = np.count_nonzero(own[1:] == own[:-1])
+        triples = gram_hashes(own, 3)
         again = len(triples) - len(np.unique(triples))
         shares = np.concatenate([counts, [loud, twice, again]]) * (SHARE_WEIGHT / total)
         values = np.concatenate([np.ones(len(present)), shares[: len(runs)], [1.0], shares[len(runs) :]])

@@ -17,3 +17,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until `df` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -12,6 +12,7 @@ but its first occurrence, in the order of documents and positions, are repeats.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import winnowed
-from .scratch import saved, shuffle_tasks
+from .scratch import free_name, saved, shuffle_tasks
 from .words import NOT_SPACE, find_words, mixed, pieces, powers
 
 #: Words of the shortest repeat, and of the gram that a suffix begins with.
@@ -117,7 +118,7 @@ def _bounded(side: str, name: str):
     return run
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """Repeated words `(key, lo, hi, first_doc_id)` of suffixes sorted by gram, document, position."""
     seen: dict[str, np.ndarray] | None = None  # windows of the gram that the last chunk ended in
 
@@ -166,7 +167,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             held.append(pa.Table.from_batches([batch]))
             size += batch.num_rows
-            if size >= CHUNK:
+            if size >= chunk:
                 yield extend(pa.concat_tables(held))
                 held, size = [], 0
     if held:
@@ -188,7 +189,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """`(key, spans, first_doc_ids)` of the `docs(doc_id, text)` that hold repeats.
 
     `key` is `row_key("doc_id", "text")`. `spans` are ranges `lo <= word < hi` in order, apart from
@@ -213,7 +214,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     both = left.mapInArrow(_bounded("left", "left_most"), f"{suffix}, right_most int, left_most int")
     able = both.where(F.col("left_most") + F.col("right_most") >= SIDE)
     ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
-    spans = ordered.mapInArrow(_extended, f"key long, lo int, hi int, first_doc_id {id_type}")
+    spans = ordered.mapInArrow(partial(_extended, chunk=chunk), f"key long, lo int, hi int, first_doc_id {id_type}")
     per_doc = spans.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"),
         F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),
@@ -222,9 +223,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return saved(per_doc.mapInArrow(_merged, schema), "spans")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text_at: int, keep_emptied: bool) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their spans and the white space after each."""
     for batch in batches:
+        stays = np.ones(batch.num_rows, bool)
         out = batch.column(text_at).to_pylist()
         spans = batch.column(batch.num_columns - 1).to_pylist()
         for texts in pieces(batch.column(text_at), lower=False):
@@ -239,19 +241,23 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordB
                     kept.append(texts.data[at : starts[s["lo"]]].tobytes())
                     at = int(starts[s["hi"]]) if s["hi"] < len(starts) else end
                 kept.append(texts.data[at:end].tobytes())
+                stays[texts.first + i] = keep_emptied or bool(b"".join(kept).strip())
                 out[texts.first + i] = b"".join(kept).decode()
         columns = batch.columns[:-1]
         columns[text_at] = pa.array(out, batch.schema.field(text_at).type)
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+        cut = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+        yield cut if stays.all() else cut.filter(pa.array(stays))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, keep_emptied: bool = True) -> DataFrame:
     """`docs` with repeats cut out of `text`; every other column, and texts without repeats, stay.
 
-    A document that is one long repeat is left with an empty text. See `repeated_spans`.
+    A document that is one long repeat is left with an empty text, or goes without `keep_emptied`.
+    See `repeated_spans`.
     """
-    spans = repeated_spans(docs).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    keyed = docs.withColumn("_key", row_key("doc_id", "text"))
-    whole = keyed.join(spans, "_key", "left").drop("_key")
+    found, spans = repeated_spans(docs), free_name(docs, "spans")
+    packed = docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key"))
+    whole = packed.join(found.select("key", F.col("spans").alias("cuts")), "key", "left")
     text_at = docs.columns.index("text")
-    return whole.mapInArrow(lambda batches: _cut(batches, text_at), docs.schema)
+    run = partial(_cut, text_at=text_at, keep_emptied=keep_emptied)
+    return whole.select("doc.*", F.col("cuts").alias(spans)).mapInArrow(run, docs.schema)

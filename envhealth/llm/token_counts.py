@@ -78,7 +78,7 @@ def write_token_files(docs: DataFrame, path: str, encode: Callable[[pa.Array], l
     return docs.select("doc_id", dealt).select("file", (F.row_number().over(order) - 1).alias("place"), "doc_id")
 
 
-def _separators(batches: Iterator[pa.RecordBatch], token: str, eod: int) -> Iterator[pa.RecordBatch]:
+def _separators(batches: Iterator[pa.RecordBatch], token: str, eod: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """`(path, block, first, tokens, ends)`: token positions of the separators in each block."""
     width = np.dtype(token).itemsize
     for batch in batches:
@@ -88,11 +88,13 @@ def _separators(batches: Iterator[pa.RecordBatch], token: str, eod: int) -> Iter
                 tokens = np.frombuffer(f.read_at(size, start), token)
             first = start // width
             ends = np.flatnonzero(tokens == eod) + first
-            rows = [[path], [start // BLOCK_BYTES], [first], [len(tokens)], [ends]]
+            rows = [[path], [start // block_bytes], [first], [len(tokens)], [ends]]
             yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["path", "block", "first", "tokens", "ends"])
 
 
-def count_tokens(spark: SparkSession, path: str, token: str = TOKEN, eod: int = EOD) -> DataFrame:
+def count_tokens(
+    spark: SparkSession, path: str, token: str = TOKEN, eod: int = EOD, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """`(path, place, start, n_tokens)`: every document of the flat files below `path`.
 
     `place` counts a file's documents from 0, `start` is the position of the first token. Tokens
@@ -103,11 +105,12 @@ def count_tokens(spark: SparkSession, path: str, token: str = TOKEN, eod: int =
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     whole = (F.col("length") / width).cast("long") * width
     sized = files.select("path", whole.alias("whole")).where("whole > 0")
-    blocks = sized.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1, F.lit(BLOCK_BYTES).cast("long"))))
-    blocks = blocks.select("path", "start", F.least(F.lit(BLOCK_BYTES).cast("long"), F.col("whole") - F.col("start")).alias("size"))
+    step, zero = F.lit(block_bytes // width * width).cast("long"), F.lit(0).cast("long")
+    blocks = sized.withColumn("start", F.explode(F.sequence(zero, F.col("whole") - 1, step)))
+    blocks = blocks.select("path", "start", F.least(step, F.col("whole") - F.col("start")).alias("size"))
     blocks = blocks.repartition(shuffle_tasks(spark), "path", "start")
     schema = "path string, block long, first long, tokens long, ends array<long>"
-    found = saved(blocks.mapInArrow(partial(_separators, token=token, eod=eod), schema), "separators")
+    found = saved(blocks.mapInArrow(partial(_separators, token=token, eod=eod, block_bytes=block_bytes // width * width), schema), "separators")
     # Prefix scan: within runs of blocks, then over the runs.
     last = F.try_element_at("ends", F.lit(-1))
     sums = found.select(
