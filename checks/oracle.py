@@ -152,7 +152,8 @@ def _union(parts: list[str]) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "scan_parquet": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
+    "source_footprint": "SELECT CAST(sum(strlen(text)) + count(*) AS BIGINT) AS bytes FROM documents",
     "scan_run_date": """SELECT event_id, user_id, event_type, value FROM events
 WHERE CAST(ts AS DATE) = DATE '2024-01-16' - 1""",
     "landing_query": """SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, o_orderpriority AS location_name,
@@ -170,7 +171,16 @@ SELECT utc_datetime, city, pm25_raw FROM parsed WHERE utc_datetime IS NOT NULL""
 SELECT count(*) AS records, count(*) FILTER (WHERE NOT json_valid(payload)) AS corrupt,
        count(*) FILTER (WHERE event_type = 'view') AS with_data, CAST(0 AS BIGINT) AS accepted
 FROM payloads""",
-    "roundtrip_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "roundtrip_parquet": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
+    "readings_rejects": """SELECT CASE WHEN event_type = 'error' THEN 'status'
+            WHEN event_type IN ('signup', 'view') THEN 'value'
+            WHEN value BETWEEN 0 AND 1000 THEN 'valid' ELSE 'bounds' END AS reason, count(*) AS records
+FROM events GROUP BY 1""",
+    "indicators_rejects": f"""WITH {RAW_INDICATORS}
+SELECT CASE WHEN year < 2000 THEN 'year'
+            WHEN NOT regexp_matches(percentage, '^[0-9]+\\.?[0-9]*$') THEN 'rate'
+            ELSE 'valid' END AS reason, count(*) AS records
+FROM raw_indicators GROUP BY 1""",
     "json_wellformed": f"""WITH {PAYLOADS},
 typed AS (
   SELECT event_type, CASE WHEN json_valid(payload) THEN payload END AS p FROM payloads)

@@ -55,9 +55,8 @@ YEARLY_DOUBLES = ("pm25_avg_yearly", "pm25_min_yearly", "pm25_max_yearly", "dail
 
 @query
 def scan_parquet(spark, sf_dir):
-    return sources.read_table(spark, f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
+    orders = sources.read_table(spark, f"{sf_dir}/orders.parquet")
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query
@@ -74,7 +73,10 @@ def landing_query(spark, sf_dir):
 
 @query
 def source_footprint(spark, sf_dir):
-    return sources.footprint(spark, f"{sf_dir}/orders.parquet")
+    """Bytes of the texts of all documents, landed as lines."""
+    path = scratch_path(spark, "lines")
+    b.table(spark, sf_dir, "documents").select("text").write.text(path)
+    return sources.footprint(spark, path).select("bytes")
 
 
 @query
@@ -139,6 +141,29 @@ def roundtrip_parquet(spark, sf_dir):
     return sources.read_table(spark, path, b.RUN_DATE).drop("run_date")
 
 
+# Rejects
+
+
+def _reasons(judged):
+    reason = F.coalesce("reject_reason", F.lit("valid")).alias("reason")
+    return judged.groupBy(reason).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def readings_rejects(spark, sf_dir):
+    """Landed envelopes by the reason that keeps them out; those without one are valid."""
+    path = scratch_path(spark, "envelopes")
+    b.envelope_texts(spark, sf_dir).select("value").write.text(path)
+    return _reasons(op.judge_readings(sources.read_envelopes(spark, path)))
+
+
+@query
+def indicators_rejects(spark, sf_dir):
+    path = scratch_path(spark, "records")
+    sinks.write_raw_json(b.raw_indicators(spark, sf_dir), path, b.RUN_DATE)
+    return _reasons(op.judge_indicators(sources.read_records(spark, path)))
+
+
 # Payload checks
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a local folder only where it is unset."""
+    """`spark.checkpoint.dir` of the session.
+
+    Where it is unset, a new local folder if the executors are in this process; on a
+    cluster each executor would write to its own disk, so that is an error.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="envhealth-")
         context.setCheckpointDir(named)
     return named

@@ -9,7 +9,4 @@ from .columns import as_column
 
 def clean_text(column: Column | str) -> Column:
     """Turn each CR, LF and TAB into one space, then trim spaces; inner runs are kept."""
-    text = as_column(column)
-    for character in LINE_BREAKS:
-        text = F.replace(text, F.lit(character), F.lit(" "))
-    return F.trim(text)
+    return F.trim(F.translate(as_column(column), LINE_BREAKS, " " * len(LINE_BREAKS)))

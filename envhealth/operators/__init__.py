@@ -15,7 +15,7 @@ from .documents import (
     to_documents,
     to_ndjson,
 )
-from .indicators import clean_indicators, normalize_columns, project_indicators, rate_summary
+from .indicators import clean_indicators, judge_indicators, normalize_columns, project_indicators, rate_summary
 from .keys import common_keys, coverage, distinct_keys, metric_stats, sorted_preview
 from .quality import (
     attrition,
@@ -38,6 +38,7 @@ from .readings import (
     daily_stats,
     extract_readings,
     filter_readings,
+    judge_readings,
     merge_daily,
     normalize_readings,
 )
@@ -63,6 +64,8 @@ __all__ = [
     "drop_critical_nulls",
     "extract_readings",
     "figures",
+    "judge_indicators",
+    "judge_readings",
     "filter_readings",
     "from_ndjson",
     "hash_ids",

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..constants import INDICATOR_TEXT_COLUMNS, MIN_YEAR
+from ..constants import CORRUPT, INDICATOR_TEXT_COLUMNS, MIN_YEAR
 from ..functions import clean_text, coerce_double, once, parse_rate, to_int
 from ..schemas import INDICATOR
+from .quality import tag_rejects
 
 
 def normalize_columns(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
@@ -49,6 +50,20 @@ def clean_indicators(
     return valid.select(*INDICATOR.names, *(["asthma_rate"] if keep_rate else []))
 
 
+def judge_indicators(raw: DataFrame, min_year: int = MIN_YEAR) -> DataFrame:
+    """Every landed record and, in `reject_reason`, why `clean_indicators` does not keep it.
+
+    A record that did not parse and is not valid is `malformed`; the other reasons are
+    `year` and `rate`.
+    """
+    landed = [F.col(f"`{c}`") for c in raw.columns]
+    rows = raw.select(*landed, once(_year=to_int("year"), _rate=parse_rate("percentage")))
+    year, rate = F.col("_year") >= min_year, F.col("_rate") >= 0
+    usable = F.coalesce(year & rate, F.lit(False))
+    checks = {"malformed": usable | F.col(CORRUPT).isNull(), "year": year, "rate": rate}
+    return tag_rejects(rows, checks).drop("_year", "_rate")
+
+
 def rate_summary(df: DataFrame, column: str = "percentage") -> DataFrame:
     """Numeric minimum, maximum and mean of a rate kept as text."""
     rate = coerce_double(column)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import YEAR
-from ..functions import is_json, is_object_with, is_record_list
+from ..functions import has_elements, has_field, is_json, once
 
 REASON = "reject_reason"
 
@@ -27,11 +27,16 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 
 def required_fields(df: DataFrame, payload: str, fields: Iterable[str]) -> DataFrame:
-    """How many JSON payloads lack each required top-level field, each parsed once."""
+    """How many JSON payloads lack each required top-level field, each parsed once.
+
+    A field whose value is null is there; what is not an object lacks every field.
+    """
     fields = list(fields)
     names = [f"_{i}" for i in range(len(fields))]
-    counted = df.select(F.json_tuple(payload, *fields).alias(*names)).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(n).isNull()).alias(n) for n in names]
+    keys = df.select(once(_keys=F.json_object_keys(payload)))
+    has = [F.coalesce(F.array_contains("_keys", f), F.lit(False)) for f in fields]
+    counted = keys.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(~h).alias(n) for h, n in zip(has, names)]
     )
     cells = [
         F.struct(
@@ -44,11 +49,13 @@ def required_fields(df: DataFrame, payload: str, fields: Iterable[str]) -> DataF
 
 def payload_report(df: DataFrame, payload: str, *by: str, field: str = "data") -> DataFrame:
     """Payloads that fail to parse, that are objects with `field`, that are record lists."""
-    return df.groupBy(*by).agg(
+    judged = df.select(*by, once(_payload=F.col(payload), _json=is_json(payload)))
+    envelope = has_field("_payload", field)
+    return judged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("payloads"),
-        F.count_if(~is_json(payload)).alias("malformed"),
-        F.count_if(is_object_with(payload, field)).alias("envelopes"),
-        F.count_if(is_record_list(payload)).alias("record_lists"),
+        F.count_if(~F.col("_json")).alias("malformed"),
+        F.count_if(F.col("_json") & envelope).alias("envelopes"),
+        F.count_if(F.col("_json") & has_elements("_payload")).alias("record_lists"),
     )
 
 
@@ -89,15 +96,25 @@ def observed(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Obser
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *named), observation
 
 
+class NoFigures(dict):
+    """Figures of an observation that saw nothing: every one is 0."""
+
+    def __missing__(self, name: str) -> int:
+        return 0
+
+
 def figures(observation: Observation) -> dict[str, int]:
     """The observed figures after the action; none at all when nothing passed by.
 
-    Spark drops the observation of a plan that turns out to be empty while it runs.
+    Spark drops the observation of a plan that turns out to be empty while it runs. Any
+    other failure is passed on.
     """
     try:
         return observation.get
-    except Py4JJavaError:
-        return {"rows": 0}
+    except Py4JJavaError as error:
+        if "NoSuchElementException" not in str(error.java_exception):
+            raise
+        return NoFigures(rows=0)
 
 
 def require_rows(observation: Observation, what: str) -> int:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..constants import ACCEPTED_STATUS, PM25_HIGH, PM25_LOW
+from ..constants import ACCEPTED_STATUS, CORRUPT, PM25_HIGH, PM25_LOW
 from ..functions import clean_text, once, to_day, to_double
+from .quality import REASON, tag_rejects
 
 
 def accept_status(envelopes: DataFrame, status: str = ACCEPTED_STATUS) -> DataFrame:
@@ -52,6 +53,34 @@ def clean_readings(extracted: DataFrame) -> DataFrame:
     return filter_readings(normalize_readings(extracted))
 
 
+def judge_readings(
+    envelopes: DataFrame, low: float = PM25_LOW, high: float = PM25_HIGH
+) -> DataFrame:
+    """Every landed envelope with its reading and, in `reject_reason`, why it is not valid.
+
+    A row without a reason is a valid reading, whatever else in its record did not parse:
+    the same rows that `clean_readings` keeps. A record that did not parse and gave no
+    valid reading is `malformed`; the other reasons are `status`, `value`, `date` and `bounds`.
+    """
+    value, date = to_double("data.iaqi.pm25.v"), to_day("data.time.s")
+    landed = [F.col(c) for c in envelopes.columns]
+    rows = envelopes.select(*landed, once(_value=value, _date=date))
+    accepted = F.col("status").eqNullSafe(ACCEPTED_STATUS)
+    valid = accepted & F.col("_value").between(low, high) & F.col("_date").isNotNull()
+    usable = F.coalesce(valid, F.lit(False))
+    return tag_rejects(
+        rows,
+        {
+            "status": accepted | F.col("status").isNull(),
+            "malformed": usable | F.col(CORRUPT).isNull(),
+            "none": accepted,
+            "value": F.col("_value").isNotNull(),
+            "date": F.col("_date").isNotNull(),
+            "bounds": F.col("_value").between(low, high),
+        },
+    ).withColumnsRenamed({"_value": "pm25", "_date": "date"}).replace("none", "status", REASON)
+
+
 def daily_stats(readings: DataFrame) -> DataFrame:
     """One row per date. The shuffle carries one partial row per task and date."""
     return readings.groupBy("date").agg(

@@ -47,8 +47,8 @@ def search_facets(
 ) -> DataFrame:
     """Total hits with the mean of `metric`, and the top terms of `field`, from one pass.
 
-    The rows (facet, term, doc_count, avg_metric) are 'all' once and 'term' up to `size`
-    times. The roll-up runs on one row per term, not on the hits.
+    The rows (facet, term, doc_count, avg_metric) are 'all' once, also without a hit, and
+    'term' up to `size` times. Totals are taken from one row per term, not from the hits.
     """
     per_term = (
         _hits(df, where)
@@ -59,19 +59,21 @@ def search_facets(
             F.count(metric).alias("_count"),
         )
     )
-    rolled = per_term.rollup(field).agg(
-        F.grouping(field).alias("_all"),
-        F.sum("_n").alias("doc_count"),
-        F.try_divide(F.sum("_sum"), F.sum("_count")).alias("_avg"),
+    total = per_term.agg(
+        F.lit("all").alias("facet"),
+        F.lit(None).cast("string").alias("term"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("doc_count"),
+        F.try_divide(F.sum("_sum"), F.sum("_count")).alias("avg_metric"),
     )
-    return (
-        rolled.where((F.col("_all") == 1) | F.col(field).isNotNull())
-        .orderBy(F.desc("_all"), F.desc("doc_count"), F.asc(field))
-        .limit(size + 1)
+    top = (
+        per_term.where(F.col(field).isNotNull())
+        .orderBy(F.desc("_n"), F.asc(field))
+        .limit(size)
         .select(
-            F.when(F.col("_all") == 1, "all").otherwise("term").alias("facet"),
+            F.lit("term").alias("facet"),
             F.col(field).cast("string").alias("term"),
-            "doc_count",
-            F.when(F.col("_all") == 1, F.col("_avg")).alias("avg_metric"),
+            F.col("_n").alias("doc_count"),
+            F.lit(None).cast("double").alias("avg_metric"),
         )
     )
+    return total.unionByName(top)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ACCEPTED_STATUS, CORRUPT, REQUIRED_INDICATOR_COLUMNS
+from ..constants import REQUIRED_INDICATOR_COLUMNS
 from ..functions import as_date
 from ..operators import (
     accept_status,
@@ -26,11 +26,12 @@ from ..operators import (
     daily_stats,
     extract_readings,
     figures,
+    judge_indicators,
+    judge_readings,
     merge_daily,
     observed,
     require_columns,
     require_rows,
-    tag_rejects,
     to_documents,
 )
 from ..operators.quality import REASON
@@ -81,75 +82,90 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.root}/rejects/air_quality"
 
+    @property
+    def indicator_rejects(self) -> str:
+        return f"{self.root}/rejects/hospitalizations"
+
 
 def readings_job(
-    spark: SparkSession, lake: Lake, run_date: dt.date | str, multi_line: bool = True
+    spark: SparkSession, lake: Lake, run_date: dt.date | str, multi_line: bool = False
 ) -> dict[str, int]:
-    """Clean the readings landed the day before and write their daily statistics."""
+    """Clean the readings landed the day before and write their daily statistics.
+
+    Every landed record is a valid reading or a reject with a reason; rejects are written
+    first, so that a day without a valid reading leaves them too.
+    """
     run_date = as_date(run_date)
     path = lake.raw_readings(run_date - dt.timedelta(days=1))
     require_input(spark, path)
     envelopes = read_envelopes(spark, path, multi_line, files=lake.files)
-    landed, seen = observed(
-        envelopes,
+    judged, seen = observed(
+        judge_readings(envelopes),
         f"readings landed {run_date}",
-        corrupt=F.count_if(F.col(CORRUPT).isNotNull() | ~F.col("status").eqNullSafe(ACCEPTED_STATUS)),
+        rejected=F.count_if(F.col(REASON).isNotNull()),
     )
-    readings, valid = observed(
-        clean_readings(extract_readings(accept_status(landed))), f"readings valid {run_date}"
+    _write_rejects(judged, partition_path(lake.rejects, run_date))
+    daily, written = observed(
+        daily_stats(clean_readings(extract_readings(accept_status(envelopes)))), f"days {run_date}"
     )
-    daily, written = observed(daily_stats(readings), f"days {run_date}")
+    landed = figures(seen)
+    if landed["rows"] == landed["rejected"]:
+        raise ValueError(f"daily statistics of {path}: no rows")
     write_table(daily, lake.daily, run_date)
     audit(spark, lake.daily, require_rows(written, f"daily statistics of {path}"), run_date)
-    rejected = figures(seen)["corrupt"]
-    _write_rejects(envelopes if rejected else envelopes.limit(0), lake, run_date)
     return {
-        "readings": figures(seen)["rows"],
-        "rejected_envelopes": rejected,
-        "valid_readings": figures(valid)["rows"],
+        "readings": landed["rows"],
+        "rejected_readings": landed["rejected"],
+        "valid_readings": landed["rows"] - landed["rejected"],
         "days": figures(written)["rows"],
     }
 
 
-def _write_rejects(envelopes: DataFrame, lake: Lake, run_date: dt.date) -> None:
-    """Replace the rejects of the run date. The landing is read for it a second time, but
-    only when the first pass saw rejects; otherwise the input is known to be empty."""
-    tagged = tag_rejects(
-        envelopes,
-        {
-            "malformed": F.col(CORRUPT).isNull() | F.col("status").isNotNull(),
-            "status": F.col("status").eqNullSafe(ACCEPTED_STATUS),
-        },
-    ).where(F.col(REASON).isNotNull())
-    tagged.write.mode("overwrite").parquet(partition_path(lake.rejects, run_date))
+def _write_rejects(judged: DataFrame, path: str) -> None:
+    """Replace the rejects of one landing."""
+    judged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(path)
 
 
 def indicators_job(
     spark: SparkSession,
     lake: Lake,
     run_date: dt.date | str,
-    multi_line: bool = True,
+    multi_line: bool = False,
     keep_rate: bool = False,
 ) -> dict[str, int]:
-    """Clean the indicator records landed in the year of the run."""
+    """Clean the indicator records landed in the year of the run.
+
+    Every landed record is a valid indicator or a reject with a reason; rejects are written
+    first. A required column that no record has is an error of its own.
+    """
     run_date = as_date(run_date)
     path = lake.raw_indicators(run_date.year)
     require_input(spark, path)
     records = read_records(spark, path, multi_line=multi_line, files=lake.files)
-    landed, seen = observed(
-        require_columns(records, REQUIRED_INDICATOR_COLUMNS),
+    judged, seen = observed(
+        judge_indicators(records),
         f"indicators landed {run_date}",
-        corrupt=F.count_if(F.col(CORRUPT).isNotNull()),
+        malformed=F.count_if(F.col(REASON).eqNullSafe("malformed")),
+        rejected=F.count_if(F.col(REASON).isNotNull()),
+        **{c: F.count(c) for c in REQUIRED_INDICATOR_COLUMNS},
     )
+    _write_rejects(judged, partition_path(lake.indicator_rejects, run_date.year, "ingest_year"))
+    landed = figures(seen)
+    missing = [c for c in REQUIRED_INDICATOR_COLUMNS if not landed[c]]
+    if landed["rows"] > landed["malformed"] and missing:
+        raise ValueError(f"missing columns: {missing} of {path}")
+    if landed["rows"] == landed["rejected"]:
+        raise ValueError(f"valid indicators of {path}: no rows")
     cleaned, written = observed(
-        clean_indicators(landed, keep_rate=keep_rate), f"indicators {run_date}"
+        clean_indicators(records, keep_rate=keep_rate), f"indicators {run_date}"
     )
     write_table(cleaned, lake.indicators, run_date.year, "ingest_year")
     rows = require_rows(written, f"valid indicators of {path}")
     audit(spark, lake.indicators, rows, run_date.year, "ingest_year")
     return {
-        "indicators": figures(seen)["rows"],
-        "corrupt_indicators": figures(seen)["corrupt"],
+        "indicators": landed["rows"],
+        "corrupt_indicators": landed["malformed"],
+        "rejected_indicators": landed["rejected"],
         "valid_indicators": rows,
     }
 
@@ -172,11 +188,19 @@ def combine_job(
     combined, written = observed(
         combine(daily, require_columns(indicators, INDICATOR.names), run_date),
         f"combined {run_date}",
+        first_year=F.min("year").cast("bigint"),
+        last_year=F.max("year").cast("bigint"),
     )
     write_table(combined, lake.combined, run_date)
-    rows = require_rows(written, "no common year: combined")
+    rows = figures(written)["rows"]
+    if not rows:
+        for what, table in (("daily readings", daily), ("indicators", indicators)):
+            if table.isEmpty():
+                raise ValueError(f"no rows: {what}")
+        raise ValueError("no common year: combined")
     audit(spark, lake.combined, rows, run_date)
-    return {"combined": rows}
+    seen = figures(written)
+    return {"combined": rows, "first_year": seen["first_year"], "last_year": seen["last_year"]}
 
 
 def publish_job(
@@ -209,7 +233,7 @@ def run_daily(
     run_date: dt.date | str,
     indexed_at: dt.datetime | str | None = None,
     scope: str = "all",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> dict[str, int]:
     """All jobs of one date in dependency order; returns the row counts of every stage."""
     lake = Lake(lake) if isinstance(lake, str) else lake

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import YEAR
-from ..functions import as_date
+from ..functions import as_date, coerce_double
 from ..operators import validate, year_bounds
 from ..sources import footprint, read_documents, read_table
 from .daily_run import Lake
@@ -21,9 +21,22 @@ def _exists(spark: SparkSession, found: bool) -> DataFrame:
     return spark.createDataFrame([("exists", found, int(found))], CHECK)
 
 
-def _check(df: DataFrame, name: str, value) -> DataFrame:
-    row = df.agg(value.alias("value"))
-    return row.select(F.lit(name).alias("check_name"), (F.col("value") > 0).alias("passed"), "value")
+def _checks(df: DataFrame, **values) -> DataFrame:
+    """One row per named figure, all from one pass: `name=(figure, passes)`."""
+    row = df.agg(*[figure.cast("bigint").alias(name) for name, (figure, _) in values.items()])
+    cells = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.coalesce(passes(F.col(name)), F.lit(False)).alias("passed"),
+            F.col(name).alias("value"),
+        )
+        for name, (_, passes) in values.items()
+    ]
+    return row.select(F.inline(F.array(*cells)))
+
+
+def _some(value):
+    return value > 0
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -38,7 +51,7 @@ def validate_daily(spark: SparkSession, lake: Lake, run_date: dt.date | str) ->
         if not _missing(error):
             raise
         return _exists(spark, False)
-    return _exists(spark, True).union(_check(table, "days", F.count(F.lit(1))))
+    return _exists(spark, True).union(_checks(table, days=(F.count(F.lit(1)), _some)))
 
 
 def validate_indicators(spark: SparkSession, lake: Lake, year: int) -> DataFrame:
@@ -49,11 +62,9 @@ def validate_indicators(spark: SparkSession, lake: Lake, year: int) -> DataFrame
         if not _missing(error):
             raise
         return _exists(spark, False)
-    numeric = F.count_if(F.col("percentage").try_cast("double").isNotNull())
-    return (
-        _exists(spark, True)
-        .union(_check(table, "rows", F.count(F.lit(1))))
-        .union(_check(table, "numeric_rates", numeric))
+    numeric = F.count_if(coerce_double("percentage").isNotNull())
+    return _exists(spark, True).union(
+        _checks(table, rows=(F.count(F.lit(1)), _some), numeric_rates=(numeric, _some))
     )
 
 
@@ -72,7 +83,7 @@ def validate_combined(spark: SparkSession, lake: Lake, run_date: dt.date | str)
 def validate_published(
     spark: SparkSession, lake: Lake, run_date: dt.date | str, form: str = "parquet"
 ) -> DataFrame:
-    """Documents, their bytes, and documents that come from another run date."""
+    """Documents in all and by year, their bytes, and those that come from another run date."""
     try:
         table = read_documents(spark, lake.documents, form)
     except AnalysisException as error:
@@ -80,13 +91,21 @@ def validate_published(
             raise
         return _exists(spark, False)
     foreign = F.count_if(~F.col("processing_date").eqNullSafe(F.lit(as_date(run_date))))
-    others = table.agg(foreign.alias("value")).select(
-        F.lit("other_dates").alias("check_name"), (F.col("value") == 0).alias("passed"), "value"
-    )
     size = footprint(spark, lake.documents).select(
         F.lit("bytes").alias("check_name"),
         (F.col("bytes") > 0).alias("passed"),
         F.col("bytes").alias("value"),
     )
-    counted = _check(table, "documents", F.count(F.lit(1)))
-    return _exists(spark, True).union(counted).union(size).union(others)
+    # Counts by year are taken first; the totals come from those few rows.
+    years = table.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n"), foreign.alias("others"))
+    per_year = years.select(
+        F.concat(F.lit("documents_"), F.coalesce(F.col(YEAR).cast("string"), F.lit("none"))),
+        F.col("n") > 0,
+        "n",
+    )
+    totals = _checks(
+        years,
+        documents=(F.coalesce(F.sum("n"), F.lit(0)), _some),
+        other_dates=(F.coalesce(F.sum("others"), F.lit(0)), lambda value: value == 0),
+    )
+    return _exists(spark, True).union(totals).union(size).union(per_year)

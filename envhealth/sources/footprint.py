@@ -6,14 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING_TASKS = 200
-
 
 def footprint(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Number of files with content and their bytes, as one row; scans skip empty files."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     # A scan plans one task per large file; without contents many files fit in one.
-    return listing.select("length").coalesce(LISTING_TASKS).agg(
+    tasks = spark.sparkContext.defaultParallelism
+    return listing.select("length").coalesce(tasks).agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
     )

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..constants import ACCEPTED_STATUS, CORRUPT, LANDING_LIMIT, LANDING_YEARS
 from ..functions import as_date
@@ -34,11 +34,11 @@ def _read_json(
 def read_envelopes(
     spark: SparkSession,
     path: str | list[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
     strict: bool = False,
     files: str | None = None,
 ) -> DataFrame:
-    """Air-quality envelopes, one object per file, or one per line without `multi_line`.
+    """Air-quality envelopes, one object per line, or one per file with `multi_line`.
 
     A record that does not parse is kept as text in `_corrupt_record`; with `strict` it
     fails the job instead. `files` is a pattern of file names to read.
@@ -50,12 +50,12 @@ def read_records(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType = INDICATOR_RAW,
-    multi_line: bool = True,
+    multi_line: bool = False,
     strict: bool = False,
     files: str | None = None,
 ) -> DataFrame:
-    """Flat records, one row per array element. Large landings should use one record per
-    line and `multi_line=False`, which makes the files splittable."""
+    """Flat records, one record or array per line. With `multi_line` a file is one record
+    or one array over several lines; such a file is not split, so that one task reads it."""
     return _read_json(spark, path, schema, multi_line, strict, files)
 
 
@@ -66,23 +66,28 @@ def read_csv_drop(
     multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header line. Columns are matched by name, all as text; those of the
-    schema that the file lacks are NULL. Files whose headers differ fail the read."""
-    rows = (
+    schema that the file lacks are NULL. Files whose headers differ fail the read. A line
+    with too few or too many fields is kept as text in `_corrupt_record`."""
+    reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
     )
-    present = set(rows.columns)
-    return rows.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
+    present = reader.csv(path).columns
+    as_text = StructType([StructField(c, StringType()) for c in [*present, CORRUPT]])
+    # Without pruning every line's fields are counted, whatever columns are used.
+    rows = (
+        reader.option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
+        .schema(as_text)
+        .csv(path)
     )
+    columns = [
+        (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return rows.select(*columns, CORRUPT)
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,9 +11,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions import partition_value
 from ..schemas import DOCUMENT, JSON_OPTIONS
 
-# Beyond this many files the per-file offsets are joined by shuffle instead of broadcast.
-MAX_BROADCAST_FILES = 100_000
-
 
 def partition_path(path: str, value: dt.date | str | int, column: str = "run_date") -> str:
     return f"{path}/{column}={partition_value(value)}"
@@ -44,18 +41,21 @@ def read_positioned(spark: SparkSession, path: str, position: str = "_position")
     """A Parquet table with the position of each row: files in path order, rows in file order.
 
     No row is shuffled: the position is the row index that the scan knows plus the number
-    of rows in earlier files. Those offsets have one row per file, fewer than the file
-    listing that the driver holds for the scan anyway, and come from the file footers.
+    of rows in earlier files. Those offsets are broadcast as 16 bytes per file, far less
+    than the file listing that the driver holds for the scan anyway; paths are named by
+    their hash, and two paths of one hash fail the read.
     """
     rows = spark.read.parquet(path)
     file = F.col("_metadata.file_path").alias("_file")
-    located = rows.select("*", file, F.col("_metadata.row_index").alias("_row"))
+    name = F.xxhash64("_metadata.file_path").alias("_name")
+    located = rows.select("*", name, F.col("_metadata.row_index").alias("_row"))
     sizes = rows.select(file).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    if len(rows.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    return located.join(offsets, "_file").select(
+    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+    offsets = sizes.select(F.xxhash64("_file").alias("_name"), offset).groupBy("_name")
+    clash = F.raise_error(F.lit("two files share a hash")).cast("bigint")
+    offsets = offsets.agg(F.when(F.count(F.lit(1)) > 1, clash).otherwise(F.min("_offset")).alias("_offset"))
+    return located.join(F.broadcast(offsets), "_name").select(
         *[F.col(f"`{c}`") for c in rows.columns],
         (F.col("_offset") + F.col("_row")).alias(position),
     )

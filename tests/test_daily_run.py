@@ -25,7 +25,7 @@ def land(root, day, values, time=None, name="waqi"):
     folder.mkdir(parents=True, exist_ok=True)
     for i, v in enumerate(values):
         body = {"status": "ok", "data": {"time": {"s": f"{time or day} 10:00:00"}, "city": {"name": "A"}, "iaqi": {"pm25": {"v": v}}}}
-        text = v if isinstance(v, str) else json.dumps(body, indent=1)
+        text = v if isinstance(v, str) else json.dumps(body)
         (folder / f"{name}_{i}.json").write_text(text)
 
 
@@ -34,7 +34,7 @@ def land_indicators(root, year, years, percentage="5.5"):
     folder.mkdir(parents=True, exist_ok=True)
     records = [{"year": str(y), "percentage": percentage, "group": f"g{i}", "outcome_or_indicator": "o",
                 "confidence_interval": "c", "description": "d"} for i, y in enumerate(years)]
-    (folder / "asthma_rate.json").write_text(json.dumps(records))
+    (folder / "asthma_rate.json").write_text("\n".join(map(json.dumps, records)))
 
 
 @pytest.fixture
@@ -53,13 +53,13 @@ def test_two_dates_and_a_rerun(spark, lake, rows):
     root = str(lake)
     first = run_daily(spark, root, "2024-06-01", scope="day")
     assert first == {
-        "readings": 2, "rejected_envelopes": 0, "valid_readings": 2, "days": 1, "indicators": 3, "corrupt_indicators": 0,
-        "valid_indicators": 3, "combined": 2, "replaced": 0, "documents": 2, "dropped": 0,
+        "readings": 2, "rejected_readings": 0, "valid_readings": 2, "days": 1, "indicators": 3, "corrupt_indicators": 0,
+        "rejected_indicators": 0, "valid_indicators": 3, "combined": 2, "first_year": 2024, "last_year": 2024, "replaced": 0, "documents": 2, "dropped": 0,
     }
     assert {r["pm25_avg_yearly"] for r in published(spark, lake).collect()} == {15.0}
 
     second = run_daily(spark, root, "2024-06-02")
-    assert second["rejected_envelopes"] == 2 and second["replaced"] == 2
+    assert second["rejected_readings"] == 2 and second["replaced"] == 2
     # Both days count once each: the mean of 15 and 40.
     after = published(spark, lake)
     assert {r["pm25_avg_yearly"] for r in after.collect()} == {27.5}
@@ -71,7 +71,7 @@ def test_two_dates_and_a_rerun(spark, lake, rows):
 
     (lake / "raw" / "air_quality" / "date=2024-06-01" / "waqi_2.json").unlink()
     (lake / "raw" / "air_quality" / "date=2024-06-01" / "waqi_1.json").unlink()
-    second = {**second, "readings": 1, "rejected_envelopes": 0}
+    second = {**second, "readings": 1, "rejected_readings": 0}
     before = rows(after)
     assert run_daily(spark, root, "2024-06-02") == {**second, "replaced": 2}
     assert rows(published(spark, lake)) == before
@@ -167,3 +167,60 @@ def test_broken_indicator_file_does_not_stop_the_run(spark, lake):
     (folder / "broken.json").write_text('[{"year": "2024"')
     report = run_daily(spark, str(lake), "2024-06-01")
     assert report["corrupt_indicators"] == 1 and report["valid_indicators"] == 3
+
+
+REJECTS = [
+    '{"status": "ok", "data": "text"}',
+    '{"status": "ok", "data": {"time": {"s": "2024-05-31 10:00:00"}, "city": "text", "iaqi": {"pm25": {"v": 5}}}}',
+    '{"status": "error", "data": "x"}',
+    '{"status": "ok", "data": {"time": {"s": "2024-05-31',
+    '{"status": "ok", "data": {"time": {"s": "never"}, "iaqi": {"pm25": {"v": 5}}}}',
+    '{"status": "ok", "data": {"time": {"s": "2024-05-31 10:00:00"}, "iaqi": {"pm25": {"v": "-"}}}}',
+    '{"status": "ok", "data": {"time": {"s": "2024-05-31 10:00:00"}, "iaqi": {"pm25": {"v": 1000.5}}}}',
+]
+
+
+@pytest.mark.parametrize("good", [0, 1])
+def test_every_landed_reading_is_valid_or_rejected(spark, tmp_path, good):
+    land(tmp_path, "2024-05-31", [10.0] * good + [r for r in REJECTS if good or '"city": "text"' not in r])
+    lake = Lake(str(tmp_path))
+    if good:
+        report = readings_job(spark, lake, "2024-06-01")
+        # The bad city costs nothing that is used.
+        assert (report["readings"], report["valid_readings"], report["rejected_readings"]) == (8, 2, 6)
+    else:
+        with pytest.raises(ValueError, match="no rows"):
+            readings_job(spark, lake, "2024-06-01")
+    rejects = spark.read.parquet(lake.rejects).groupBy("reject_reason").count().collect()
+    assert dict(map(tuple, rejects)) == {"malformed": 2, "status": 1, "date": 1, "value": 1, "bounds": 1}
+
+
+def test_every_landed_indicator_is_valid_or_rejected(spark, tmp_path):
+    land_indicators(tmp_path, 2024, [2024, 2023, 1999, "soon"])
+    folder = tmp_path / "raw" / "hospitalizations" / "year=2024"
+    (folder / "more.json").write_text('{"year": "2024", "percentage": "5%"}\n{"year": "2024"\n{"year": "2024"}')
+    lake = Lake(str(tmp_path))
+    report = indicators_job(spark, lake, "2024-06-01")
+    assert (report["indicators"], report["valid_indicators"], report["rejected_indicators"]) == (7, 2, 5)
+    rejects = spark.read.parquet(lake.indicator_rejects).groupBy("reject_reason").count().collect()
+    assert dict(map(tuple, rejects)) == {"malformed": 1, "year": 2, "rate": 2}
+
+
+def test_required_columns_that_no_record_has(spark, tmp_path):
+    folder = tmp_path / "raw" / "hospitalizations" / "year=2024"
+    folder.mkdir(parents=True)
+    (folder / "asthma_rate.json").write_text('{"year": "2024", "rate": "5"}\n{"year": "2023"}')
+    with pytest.raises(ValueError, match="missing columns: .'percentage'"):
+        indicators_job(spark, Lake(str(tmp_path)), "2024-06-01")
+
+
+def test_empty_tables_are_told_apart(spark, lake):
+    run_daily(spark, str(lake), "2024-06-01")
+    paths = Lake(str(lake))
+    for table, what in ((paths.daily, "daily readings"), (paths.indicators, "indicators")):
+        part = "run_date=2024-06-01" if what == "daily readings" else "ingest_year=2024"
+        full = spark.read.parquet(f"{table}/{part}")
+        full.where("false").write.mode("overwrite").parquet(f"{table}/{part}")
+        with pytest.raises(ValueError, match=f"no rows: {what}"):
+            combine_job(spark, paths, "2024-06-01", scope="day")
+        run_daily(spark, str(lake), "2024-06-01")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
-
-ROWS_ONLY = {"source_footprint"}
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,27 +17,12 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, sf_dir, connection, name):
     df = contract.queries()[name](spark, sf_dir)
     assert difference(df, connection, contract.oracle_sql()[name]) is None
-
-
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_rows_only_query(spark, sf_dir, name):
-    assert contract.queries()[name](spark, sf_dir).count() > 0
-
-
-def test_source_footprint_is_that_of_the_file(spark, sf_dir):
-    row = contract.queries()["source_footprint"](spark, sf_dir).first()
-    assert tuple(row) == (1, os.path.getsize(f"{sf_dir}/orders.parquet"))
-
-
-def test_entry(spark, sf_dir):
-    df = contract.entry(spark)
-    assert df.columns[:2] == ["year", "pm25_avg_yearly"]
-    assert df.count() > 0

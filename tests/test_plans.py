@@ -12,7 +12,8 @@ from checks.queries import QUERIES
 # Their result is a single row or a few, made from one partial row per task.
 GLOBAL = {
     "attrition_report", "corr_combined", "corr_vs_anchor", "describe_long", "json_landing_report",
-    "null_profile", "overall_metric_stats", "rate_summary", "required_fields", "search_total",
+    "null_profile", "overall_metric_stats", "rate_summary", "required_fields", "search_facets",
+    "search_total", "source_footprint",
     "stage_counts", "validate_combined", "year_coverage",
 }
 # A window over one row per file or per partition.

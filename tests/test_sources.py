@@ -31,7 +31,7 @@ def landing(tmp_path):
 
 
 def test_envelopes_one_object_per_file(spark, landing, rows):
-    landed = sources.read_envelopes(spark, landing)
+    landed = sources.read_envelopes(spark, landing, multi_line=True)
     assert landed.count() == 6
     readings = op.extract_readings(op.accept_status(landed))
     assert sorted(str(r["pm25_raw"]) for r in readings.collect()) == ["-", "17.5", "42", "None"]
@@ -40,13 +40,13 @@ def test_envelopes_one_object_per_file(spark, landing, rows):
 
 
 def test_landing_report(spark, landing):
-    row = sources.landing_report(sources.read_envelopes(spark, landing)).first()
+    row = sources.landing_report(sources.read_envelopes(spark, landing, multi_line=True)).first()
     assert row.asDict() == {"records": 6, "corrupt": 2, "with_data": 4, "accepted": 4}
 
 
 def test_strict_read_fails_on_broken_file(spark, landing):
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
-        sources.read_envelopes(spark, landing, strict=True).collect()
+        sources.read_envelopes(spark, landing, multi_line=True, strict=True).collect()
 
 
 def test_record_array(spark, tmp_path, rows):
@@ -71,6 +71,31 @@ def test_csv_columns_by_name(spark, tmp_path, rows):
     ]
 
 
+def test_csv_lines_with_other_numbers_of_fields(spark, tmp_path, rows):
+    lines = ["year,percentage,group", "2020,5.5,a", "2020,5.5,b,EXTRA", "2021", "", "2022,,c"]
+    (tmp_path / "drop.csv").write_text("\n".join(lines))
+    good, bad = sources.split_corrupt(sources.read_csv_drop(spark, str(tmp_path)))
+    assert rows(good.select("year", "group")) == [("2020", "a"), ("2022", "c")]
+    assert sorted(r["_corrupt_record"] for r in bad.select("year", "_corrupt_record").collect()) == ["2020,5.5,b,EXTRA", "2021"]
+    assert len(good.collect()) + len(bad.collect()) == 4
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from envhealth.checkpoints import shared_dir
+
+    def session(master, named=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: named))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_dir(session("local[8]")) and shared_dir(session("local"))
+
+
 def test_csv_files_with_other_headers_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("year,percentage\n2020,5.5\n")
     (tmp_path / "b.csv").write_text("percentage,year\n6.5,2021\n")
@@ -120,14 +145,12 @@ def test_landing_query_text_comparison_and_limit(spark):
     assert [r["value"] for r in sources.landing_query(df, "New York", "2024-06-01", limit=1).collect()] == ["2"]
 
 
-@pytest.mark.parametrize("broadcast_files", [100, 0])
-def test_positions_follow_files_and_rows(spark, tmp_path, monkeypatch, broadcast_files):
-    from envhealth.sources import tables
-
-    monkeypatch.setattr(tables, "MAX_BROADCAST_FILES", broadcast_files)
+def test_positions_follow_files_and_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 7).write.parquet(path)
     df = sources.read_positioned(spark, path)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     found = {r["_position"]: r["id"] for r in df.collect()}
     assert sorted(found) == list(range(1000))
     # Files of a range are in order, so positions are the values themselves.

@@ -9,7 +9,7 @@ from envhealth.streaming import clean_landing
 
 def land(folder, name, value, status="ok"):
     body = {"status": status, "data": {"time": {"s": "2024-05-01 10:00:00"}, "city": {"name": "A"}, "iaqi": {"pm25": {"v": value}}}}
-    (folder / f"{name}.json").write_text(json.dumps(body, indent=1))
+    (folder / f"{name}.json").write_text(json.dumps(body))
 
 
 def test_each_file_is_cleaned_once(spark, tmp_path, rows):
