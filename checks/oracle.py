@@ -117,14 +117,20 @@ FROM parsed
 WHERE utc_datetime IS NOT NULL AND TRY_CAST(pm25_raw AS DOUBLE) BETWEEN 0 AND 1000"""
 
 DOCUMENT_HASH = """hashed AS (
-  SELECT year, "group", outcome_or_indicator,
-         sha256('{"year":' || CAST(year AS VARCHAR) || ',"group":"' || "group"
-                || '","outcome_or_indicator":"' || outcome_or_indicator || '"}') AS h
+  SELECT year, percentage, "group", outcome_or_indicator, confidence_interval,
+         sha256('{"year":' || CAST(year AS VARCHAR) || ',"percentage":"' || percentage
+                || '","group":"' || "group" || '","outcome_or_indicator":"' || outcome_or_indicator
+                || '","confidence_interval":"' || confidence_interval || '"}') AS h
   FROM indicators)"""
 
 PROJECTED = """year, confidence_interval, description, "group", percentage, outcome_or_indicator"""
 
 
+LINEITEM_NUMBERS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax",
+)
+
+
 def _describe(name: str, expr: str, text: bool = False) -> str:
     number = f"TRY_CAST({expr} AS DOUBLE)"
     value = ("NULL", "NULL") if text else (f"min({expr})", f"max({expr})")
@@ -269,19 +275,17 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_extendedprice / 100 BETWEEN 0 A
       FROM lineitem)""",
     "describe_long": _union(
         [
-            _describe("l_linenumber", "l_linenumber"),
-            _describe("l_quantity", "l_quantity"),
-            _describe("l_extendedprice", "l_extendedprice"),
-            _describe("discount", "nullif(l_discount, 0)"),
-            _describe("l_returnflag", "l_returnflag", text=True),
+            *[_describe(c, c) for c in LINEITEM_NUMBERS],
+            _describe("l_discount", "nullif(l_discount, 0)"),
+            *[_describe(c, c, text=True) for c in ("l_returnflag", "l_linestatus")],
         ]
     ),
     "null_profile": _union(
         [
-            _nulls("l_orderkey", "l_orderkey"),
-            _nulls("discount", "nullif(l_discount, 0)"),
-            _nulls("tax", "nullif(l_tax, 0)"),
-            _nulls("returnflag", "nullif(l_returnflag, 'N')"),
+            *[_nulls(c, c) for c in (*LINEITEM_NUMBERS[:-1], "l_linestatus", "l_shipdate")],
+            _nulls("l_discount", "nullif(l_discount, 0)"),
+            _nulls("l_tax", "nullif(l_tax, 0)"),
+            _nulls("l_returnflag", "nullif(l_returnflag, 'N')"),
         ]
     ),
     "corr_vs_anchor": _union(
@@ -333,11 +337,11 @@ FROM orders""",
 {DOCUMENT_HASH}
 SELECT '2026-01-01_' || h || '_'
        || CAST(row_number() OVER (PARTITION BY h ORDER BY h) - 1 AS VARCHAR) AS _id,
-       year, "group", outcome_or_indicator
+       year, percentage, "group", outcome_or_indicator, confidence_interval
 FROM hashed""",
     "document_positions": f"""WITH {INDICATORS},
 {DOCUMENT_HASH}
-SELECT year, "group", outcome_or_indicator,
+SELECT year, percentage, "group", outcome_or_indicator, confidence_interval,
        row_number() OVER (ORDER BY year, "group", h) - 1 AS _position
 FROM hashed""",
     "document_ndjson": f"{COMBINED}SELECT '2026-01-01' AS id_date, {DOCUMENT_COLUMNS} FROM combined",

@@ -347,15 +347,10 @@ def stage_counts(spark, sf_dir):
 
 @query
 def describe_long(spark, sf_dir):
-    df = b.table(spark, sf_dir, "lineitem").select(
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        F.nullif("l_discount", F.lit(0.0)).alias("discount"),
-        "l_returnflag",
-    )
+    df = b.table(spark, sf_dir, "lineitem")
+    df = df.withColumn("l_discount", F.nullif("l_discount", F.lit(0.0)))
     long = _narrow(op.profile(df), "mean", "stddev")
-    text = F.col("column_name") == "l_returnflag"
+    text = F.col("column_name").isin("l_returnflag", "l_linestatus")
     return long.select(
         "column_name",
         "count",
@@ -370,12 +365,9 @@ def describe_long(spark, sf_dir):
 
 @query
 def null_profile(spark, sf_dir):
-    df = b.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.nullif("l_discount", F.lit(0.0)).alias("discount"),
-        F.nullif("l_tax", F.lit(0.0)).alias("tax"),
-        F.nullif("l_returnflag", F.lit("N")).alias("returnflag"),
-    )
+    zero = {c: F.nullif(c, F.lit(0.0)) for c in ("l_discount", "l_tax")}
+    flag = F.nullif("l_returnflag", F.lit("N"))
+    df = b.table(spark, sf_dir, "lineitem").withColumns({**zero, "l_returnflag": flag})
     return op.null_profile(df)
 
 
@@ -437,14 +429,12 @@ def document_ids(spark, sf_dir):
 
 @query
 def document_ids_hash(spark, sf_dir):
-    columns = ["year", "group", "outcome_or_indicator"]
-    return op.hash_ids(b.indicators(spark, sf_dir).select(*columns), b.RUN_DATE)
+    return op.hash_ids(b.indicators(spark, sf_dir), b.RUN_DATE)
 
 
 @query
 def document_positions(spark, sf_dir):
-    columns = ["year", "group", "outcome_or_indicator"]
-    return op.ordered_positions(b.indicators(spark, sf_dir).select(*columns), "year", "group")
+    return op.ordered_positions(b.indicators(spark, sf_dir), "year", "group")
 
 
 @query
