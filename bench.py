@@ -11,6 +11,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -61,6 +62,7 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
