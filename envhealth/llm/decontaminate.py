@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import saved
+from .scratch import saved, small_batches
 from .words import ALNUM, Texts, Words, find_words, gram_fits, gram_hashes, pieces
 
 SPAN, GRAM = 13, 7
@@ -160,6 +160,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     documents, no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     own = partial(_grams, key="item_id", short=None, bitmap=None, span=span, gram=gram)

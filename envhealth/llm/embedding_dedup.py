@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, forest
-from .scratch import saved, shuffle_tasks
+from .scratch import saved, shuffle_tasks, small_batches
 
 COSINE = 0.93
 #: Simulated share of pairs at the threshold itself that meet; nearer ones meet more often.
@@ -205,6 +205,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     no result rows.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     good = F.size("embedding") > 0
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     nonzero = F.exists("embedding", lambda x: x != 0)

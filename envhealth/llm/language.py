@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import small_batches
 from .words import mixed
 
 GRAM, TABLE_BITS, SMOOTHING = 3, 16, 0.3
@@ -135,6 +136,7 @@ def train(labelled: DataFrame) -> Model:
     The texts are chosen by a hash of doc_id; rows without a lang are left out. Its size is that
     of one table per language.
     """
+    small_batches(labelled.sparkSession)
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
     # Any number of spellings may occur; only the most frequent ones come to the driver.
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
@@ -249,6 +251,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, lang_pred string, score double, spans array<struct<lang:string,first:int,words:int>>"
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("doc_id", "text").mapInArrow(partial(_labelled, model=shared), schema)
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..checkpoints import scratch_path
 
+BATCH_BYTES = 4 << 20
+
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read back: computed once, lineage cut."""
@@ -15,6 +17,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """From now on rows come to Python in batches of about `size` bytes, however long texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import saved, shuffle_tasks
+from .scratch import saved, shuffle_tasks, small_batches
 from .words import NOT_SPACE, find_words, gram_hashes, mixed, pieces
 
 BITS = 64
@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
             values = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     ids = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, fp long")
 
@@ -317,6 +318,7 @@ def similar_documents(
             columns = [batch.column(0), batch.column(1), pa.array(fits, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "fits"])
 
+    small_batches(docs.sparkSession)
     texts = docs.select("key", "text")
     found = saved(texts.mapInArrow(marks, "key long, fp long, band long"), "marks")
     left, links = found, None

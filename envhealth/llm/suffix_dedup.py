@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import winnowed
-from .scratch import free_name, saved, shuffle_tasks
+from .scratch import free_name, saved, shuffle_tasks, small_batches
 from .words import NOT_SPACE, find_words, mixed, pieces, powers
 
 #: Words of the shortest repeat, and of the gram that a suffix begins with.
@@ -200,6 +200,7 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     do not repeat each other. Other columns are ignored; no rows, no result rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     grams = rows.select("key", "text").mapInArrow(_grams, "gram long, key long")
     again = grams.groupBy("gram").count().where("count > 1").select("gram")

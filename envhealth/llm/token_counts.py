@@ -17,7 +17,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import saved, shuffle_tasks
+from .scratch import saved, shuffle_tasks, small_batches
 from .words import NOT_SPACE, find_words, pieces
 
 TOKEN, EOD = "<u2", 0
@@ -59,6 +59,7 @@ def write_token_files(docs: DataFrame, path: str, encode: Callable[[pa.Array], l
     is the folder of one flat file and `place` counts its documents from 0. A null text is empty.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

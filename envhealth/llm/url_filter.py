@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import small_batches
 from .words import Texts, mixed, pieces, powers
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -151,6 +152,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     Repeated rows are judged alike. Other columns are ignored; no rows, no result rows.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     host, path = host_of("url"), path_of("url")
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", first_rule(F.col("host"), F.col("path"), rules))
