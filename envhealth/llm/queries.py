@@ -57,7 +57,7 @@ def op4_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.train(ratings(table(spark, sf_dir, "labels")), docs, grades=3)
     graded = quality.grade(docs, model)
-    return graded.withColumn("kept", F.col("tail_probability") >= 0.5)
+    return graded.withColumn("kept", F.col("tail_probability") >= quality.KEEP)
 
 
 @query

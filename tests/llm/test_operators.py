@@ -271,7 +271,7 @@ def test_quality_by_held_out_accuracy(spark, none):
     held = [i for i in got if i % 3 == 0]
     assert np.mean([(got[i].tail_probability >= 0.5) == (truth[i] == 2) for i in held]) > 0.95
     assert np.mean([round(got[i].expected_grade) == truth[i] for i in held]) > 0.9
-    kept = {r.doc_id for r in quality.selected(docs, model).collect()}
+    kept = {r.doc_id for r in quality.selected(docs, model, 0.5).collect()}
     assert kept == {i for i in got if got[i].tail_probability >= 0.5}
 
 
