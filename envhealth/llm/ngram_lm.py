@@ -30,7 +30,7 @@ from .words import NOT_SPACE, find_words, mixed, pieces
 #: Weight of the word's own probability, in occurrences of the context.
 PRIOR = 100.0
 #: Bytes of text in a block, and entries that one shard gets, about.
-BLOCK_BYTES, SHARD_ENTRIES = 12 << 20, 1_000_000
+BLOCK_BYTES, SHARD_ENTRIES = 8 << 20, 1_000_000
 #: Quantisation steps per doubling of a count.
 STEPS = 1024
 #: Hash of the token that ends each document; words are hashed to 64 bits.
@@ -366,7 +366,7 @@ def score(docs: DataFrame, held_out: Column, prior: float = PRIOR) -> DataFrame:
     """
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    small_batches(spark, 2 * BLOCK_BYTES)
+    small_batches(spark, 8 * BLOCK_BYTES)
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
     arrow_id = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
     blocks = rows.mapInArrow(partial(_blocks, id_type=arrow_id), BLOCK.format(id_type))
