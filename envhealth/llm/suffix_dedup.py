@@ -2,11 +2,11 @@
 
 Suffixes are kept only at word grams that content selects: any MATCH consecutive words keep at
 least one, the same one wherever they occur. Suffixes that begin with the same gram are sorted
-by what follows it and, reversed, by what precedes it. In either order the longest match of a
-suffix with any other is with a neighbour, so two comparisons bound how far its matches may
-extend right and left. Where both together reach MATCH words, matches are extended: every
-window of MATCH words around the gram within the bounds is looked up among the others, and all
-but its first occurrence, in the order of documents and positions, are repeats.
+by what follows it. In that order the longest match of a suffix with any other is with a
+neighbour, so two comparisons bound how far its matches may extend right. Where that and the
+words to the left reach MATCH words, matches are extended left and right: every window of MATCH
+words around the gram within the bound is looked up among the others, and all but its first
+occurrence, in the order of documents and positions, are repeats.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
         nonlocal seen
         gram, key, pos = (rows.column(c).to_numpy() for c in ("gram", "key", "pos"))
         doc = rows.column("doc_id").combine_chunks()
-        left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in ("left_most", "right_most"))
+        left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in ("left_words", "right_most"))
         sums = []
         for side, step in (("left", _LEFT), ("right", _RIGHT)):
             terms = _matrix(rows.column(side)).astype(np.uint64) * powers(step, SIDE)
@@ -209,11 +209,9 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     suffix = SUFFIX.format(id_type)
     found = rows.join(wanted, "key").select("key", "doc_id", "text", "wanted").mapInArrow(_suffixes, suffix)
     dealt = found.repartition(shuffle_tasks(spark), "gram")
-    # One gram's suffixes stay in one task for three sorts, which spill; none is held as a whole.
+    # One gram's suffixes stay in one task for two sorts, which spill; none is held as a whole.
     right = dealt.sortWithinPartitions("gram", "right").mapInArrow(_bounded("right", "right_most"), f"{suffix}, right_most int")
-    left = right.where("right_most >= 0").sortWithinPartitions("gram", "left")
-    both = left.mapInArrow(_bounded("left", "left_most"), f"{suffix}, right_most int, left_most int")
-    able = both.where(F.col("left_most") + F.col("right_most") >= SIDE)
+    able = right.where((F.col("right_most") >= 0) & (F.col("left_words") + F.col("right_most") >= SIDE))
     ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
     spans = ordered.mapInArrow(partial(_extended, chunk=chunk), f"key long, lo int, hi int, first_doc_id {id_type}")
     per_doc = spans.groupBy("key").agg(
