@@ -250,6 +250,55 @@ def test_similar_documents(spark):
     assert simhash.similar_documents(docs.where("false")).count() == 0
 
 
+def like_groups(rows, size=5, least=0.8):
+    """Smallest linked key of each linked text, comparing all pairs of shingle sets."""
+    sets = []
+    for _, text in rows:
+        w = split(text)
+        n = min(size, max(1, len(w)))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
+    root = {key: key for key, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    linked = set()
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common >= least * (len(sets[i]) + len(sets[j]) - common):
+                a, b = find(rows[i][0]), find(rows[j][0])
+                root[max(a, b)] = min(a, b)
+                linked |= {rows[i][0], rows[j][0]}
+    return {key: find(key) for key in linked}
+
+
+def variants(seed, n, words, edits):
+    """Texts of one base with random words replaced, in `edits` places each."""
+    rng = random.Random(seed)
+    base = prose(seed, words).split()
+    out = []
+    for i in range(n):
+        copy = list(base)
+        for j in rng.sample(range(words), rng.choice(edits)):
+            copy[j] = f"new{seed}x{i}x{j}"
+        out.append(" ".join(copy))
+    return out
+
+
+def similar(spark, texts):
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "key long, text string")
+    return dict(simhash.similar_documents(docs).select("key", "root").collect()), like_groups(rows)
+
+
+def test_similar_documents_of_one_large_group_equal_brute_force(spark):
+    got, expected = similar(spark, variants(7, 400, 200, (2, 3, 4, 5, 6, 8)))
+    assert got == expected and 100 < len(expected) < 400
+
+
 # 4 quality
 
 
