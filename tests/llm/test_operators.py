@@ -299,6 +299,16 @@ def test_similar_documents_of_one_large_group_equal_brute_force(spark):
     assert got == expected and 100 < len(expected) < 400
 
 
+def test_similar_documents_whatever_is_repeated(spark):
+    texts = []
+    for i in range(6):
+        text = prose(300 + i, 300)
+        footer = f"all rights of this page {i} are reserved by its owner "
+        texts += [text, f"{text} {text}", f"{text} {footer}", f"{text} {footer * 150}"]
+    got, expected = similar(spark, texts)
+    assert got == expected and len(expected) == len(texts)
+
+
 # 4 quality
 
 
