@@ -309,6 +309,12 @@ def test_similar_documents_whatever_is_repeated(spark):
     assert got == expected and len(expected) == len(texts)
 
 
+def test_similar_documents_recall_at_the_least_similarity(spark):
+    texts = [t for i in range(60) for t in variants(900 + i, 2, 150, (0, 1, 2, 3, 4))]
+    got, expected = similar(spark, [*texts, None, "", " \n", "one", "One"])
+    assert got == expected and len(expected) > 40
+
+
 # 4 quality
 
 
