@@ -62,7 +62,7 @@ def _context(texts: Texts, words: Words, text: int, at: int, n: int, around: int
     low, high = words.bounds[text], words.bounds[text + 1]
     i, j = max(low, at - around), min(high, at + n + around)
     raw = texts.data[words.starts[i] : words.ends[j - 1]].tobytes()
-    return int(at - low), int(at - i), " ".join(raw.translate(_AS_WORDS).decode().split(" ")).strip()
+    return int(at - low), int(at - i), raw.translate(_AS_WORDS).decode().strip(" ")
 
 
 GRAM_FIELDS = [("pos", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()), ("before", pa.int32()), ("words", pa.string())]
@@ -129,7 +129,8 @@ def _extended(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
         row, pos, n, before, words, item, item_before, item_words = (c.to_pylist() for c in batch.columns)
         out: list[tuple] = []
         for r, p, short, i, text, it, j, other in zip(row, pos, n, before, words, item, item_before, item_words, strict=True):
-            x, y = text.split(), other.split()
+            # Words hold no ASCII space, but may hold any other kind.
+            x, y = ([w for w in t.split(" ") if w] for t in (text, other))
             size = short or GRAM
             if x[i : i + size] != y[j : j + size]:
                 continue

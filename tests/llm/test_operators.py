@@ -543,6 +543,24 @@ def test_contamination_equals_brute_force(spark, odd, none):
     assert {r.n_hit for r in decontaminate.contamination(odd, bench.where("false")).collect()} == {0}
 
 
+def test_contamination_with_spaces_beyond_ascii(spark):
+    rng = random.Random(10)
+    spaces = ["\u0085", "\u00a0", "\u1680", "\u2003", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+    items = [(i, prose(700 + i, n)) for i, n in enumerate((5, 9, 13, 14, 30, 60))]
+    items += [(10 + i, f"{prose(720 + i, 8)}{s}{prose(740 + i, 8)} {s} {prose(760 + i, 3)}") for i, s in enumerate(spaces)]
+    rows = []
+    for d in range(120):
+        item, s = items[d % len(items)][1], spaces[d % len(spaces)]
+        w = prose(800 + d, 40).split()
+        w[rng.randrange(15, 20)] += rng.choice([s, f"{s} {s}", f" {s}x", f"{s}x{s}x"])
+        rows.append((d, " ".join([*w[:20], rng.choice([item, s + " " + item, item + " " + s]), *w[20:]]), "fr", "s"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(documents(spark, rows), bench).collect()
+    expected = [(r[0], *contaminated(r[1], items)) for r in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    assert sum(e[5] for e in expected) > 100
+
+
 # 9 URLs
 
 
