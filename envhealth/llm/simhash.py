@@ -10,9 +10,8 @@ come from dynamic programming over estimated candidate counts; both only steer c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 from itertools import combinations
-from math import ceil, comb, log2
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .decontaminate import _filter as filter_of
 from .scratch import saved, shuffle_tasks, small_batches
-from .words import NOT_SPACE, find_words, gram_hashes, mixed, pieces
+from .words import mixed
 
 BITS = 64
 SEED = 42
@@ -35,12 +33,6 @@ PROBE_COST, COMPARE_COST = 1.0, 0.002
 RUN = 1 << 16
 #: Groups up to this size are compared by shifting; larger ones around leaders.
 SMALL_GROUP = 64
-#: Similar documents: words of a shingle, least share of common shingles.
-SHINGLE, SIMILARITY = 5, 0.8
-#: Texts that frequent shingles are counted in, and the most that are told apart. Links do not depend on them.
-COMMON_SAMPLE, MOST_COMMON = 20_000, 500_000
-#: How many rows of a shingle compared texts are apart at most in the first round, and by what each round multiplies it.
-APART, WIDER = 2, 16
 
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -120,11 +112,8 @@ def part_costs(sample: np.ndarray, part: list[int], n: int, most: int, pairs: fl
     return costs
 
 
-def probe_masks(sample: np.ndarray, n: int, max_bits: int, pairs: float | None = None) -> list[int]:
-    """Masks under which any two of n fingerprints within `max_bits` bits agree at least once.
-
-    `pairs` is the number of pairs that may be compared at all, by default all of them.
-    """
+def probe_masks(sample: np.ndarray, n: int, max_bits: int) -> list[int]:
+    """Masks under which any two of n fingerprints within `max_bits` bits agree at least once."""
     best: tuple[float, list[int]] | None = None
     for m in range(1, min(max_bits + 1, 6) + 1):
         parts = parts_of_bits(sample, m)
@@ -132,7 +121,7 @@ def probe_masks(sample: np.ndarray, n: int, max_bits: int, pairs: float | None =
         # plans[s]: cheapest cost and thresholds of the parts so far with sum(t + 1) = s
         plans: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
         for part in parts:
-            costs, nxt = part_costs(sample, part, n, most, pairs or n * n / 2), {}
+            costs, nxt = part_costs(sample, part, n, most, n * n / 2), {}
             for s, (cost, chosen) in plans.items():
                 for t in range(-1, most + 1):
                     total = (cost + costs[t + 1], [*chosen, t])
@@ -222,14 +211,9 @@ def _probes(masks: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
-            bands = [batch.column(i).to_numpy().astype(np.uint64) for i in range(1, batch.num_columns)]
-            # With bands, a value is probed in its own and in the next, where the next one's also are.
-            shifts = [mixed(bands[0] + np.uint64(i)) for i in (0, 1)] if bands else [np.uint64(0)]
             for mask in masks:
-                value = mixed(fp & np.uint64(mask)) ^ np.uint64(mask)
-                for shift in shifts:
-                    key = mixed(value ^ shift).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0)], names=["key", "fp"])
+                key = mixed(mixed(fp & np.uint64(mask)) ^ np.uint64(mask)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0)], names=["key", "fp"])
 
     return run
 
@@ -238,20 +222,14 @@ def near_links(values: DataFrame, max_bits: int) -> DataFrame:
     """Links `(a, b)` between values of `values(fp)`, all distinct, that connect what is within `max_bits`.
 
     One task sees the distinct values under one probe, eight bytes each; equal fingerprints of
-    any number of documents are one value, and no group's pairs are written out. With a second
-    column `band` only values whose bands differ by one at most are linked.
+    any number of documents are one value, and no group's pairs are written out.
     """
     spark = values.sparkSession
     n = values.count()
     rows = values.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
     sample = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    pairs = None
-    if "band" in values.columns:
-        n *= 2
-        sizes = values.groupBy("band").count()
-        pairs = float(sizes.agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] or 0) * 2
-    masks = probe_masks(sample, n, max_bits, pairs)
-    probes = values.mapInArrow(_probes(masks), "key long, fp long")
+    masks = probe_masks(sample, n, max_bits)
+    probes = values.select("fp").mapInArrow(_probes(masks), "key long, fp long")
     grouped = probes.repartition(shuffle_tasks(spark), "key").sortWithinPartitions("key", "fp")
     return grouped.mapInArrow(_linked(max_bits), "a long, b long").distinct()
 
@@ -275,169 +253,3 @@ def near_duplicates(docs: DataFrame, size: int = 4, max_bits: int = 4) -> DataFr
     return found.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def _shingles(column: pa.Array, size: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of the shingles of each text."""
-    found = []
-    for texts in pieces(column):
-        words = find_words(texts, NOT_SPACE)
-        for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
-            own = words.hashes[a:b]
-            found.append(np.unique(gram_hashes(own, min(size, max(1, len(own))))).view(np.int64))
-    return found
-
-
-def _shingled(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """`(key, grams)`: the shingles of each text; a key once a batch."""
-    for batch in batches:
-        batch = batch.take(pa.array(np.unique(batch.column(0).to_numpy(), return_index=True)[1]))
-        grams = pa.array(_shingles(batch.column(1), size), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), grams], names=["key", "grams"])
-
-
-def _asked(batches: Iterator[pa.RecordBatch], bitmap) -> Iterator[pa.RecordBatch]:
-    """Rows `(key, text, hash)` whose hash may be in the filter."""
-    bits = np.frombuffer(bitmap.value, np.uint8)
-    for batch in batches:
-        slot = batch.column(2).to_numpy().view(np.uint64) >> np.uint64(64 - int(log2(len(bits) * 8)))
-        keep = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-        yield batch.filter(pa.array(keep == 1)).select([0, 1])
-
-
-def _common(texts: DataFrame, size: int):
-    """Shingles that are frequent in a sample, sorted, with their counts. They only order shingles."""
-    every = max(1, texts.count() // COMMON_SAMPLE)
-    sample = texts.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
-    grams = sample.mapInArrow(partial(_shingled, size=size), "key long, grams array<long>").select(F.explode("grams").alias("gram"))
-    often = grams.groupBy("gram").count().where("count > 2").orderBy(F.desc("count"), "gram").limit(MOST_COMMON).toArrow()
-    gram, count = (often.column(c).to_numpy() for c in ("gram", "count"))
-    order = np.argsort(gram)
-    return texts.sparkSession.sparkContext.broadcast((gram[order], count[order]))
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], size: int, similarity: float, common) -> Iterator[pa.RecordBatch]:
-    """Rows `(gram, key, n)` for the rarest of the n shingles of each text.
-
-    Two texts with a share of `similarity` have at least that share of either's shingles in common,
-    so that in any one order of all shingles they agree in one of the first n - ceil(share * n) + 1.
-    """
-    known, counts = common.value
-    for batch in _shingled(batches, size):
-        grams, keys, sizes = [], [], []
-        for key, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = own.values.to_numpy()
-            n = len(own)
-            first = n - ceil(similarity * n - 1e-9) + 1
-            if n and len(known):
-                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                rank = np.where(known[at] == own, counts[at], 0)
-                own = own[np.argsort(rank, kind="stable")]
-            grams.append(own[:first] if n else np.zeros(1, np.int64))  # no shingles: like each other
-            keys.append(key), sizes.append(n)
-        lengths = [len(g) for g in grams]
-        columns = [np.concatenate([np.zeros(0, np.int64), *grams]), np.repeat(np.array(keys, np.int64), lengths), np.repeat(np.array(sizes, np.int32), lengths)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "key", "n"])
-
-
-def _by_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of batches sorted by the first one, in runs that hold all rows of each value in it."""
-    held: list[list[np.ndarray]] = []
-    for batch in batches:
-        if batch.num_rows:
-            held.append([c.to_numpy() for c in batch.columns])
-            if held[-1][0][0] != held[-1][0][-1]:  # else the value goes on
-                whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-                stop = int(np.searchsorted(whole[0], whole[0][-1]))
-                held = [[x[stop:] for x in whole]]
-                if stop:
-                    yield [x[:stop] for x in whole]
-    if held:
-        yield [np.concatenate(x) for x in zip(*held, strict=True)]
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows `(gram, n, key)` once each, without shingles of a single key."""
-    for gram, n, key in _by_gram(batches):
-        once = np.concatenate([[True], (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])])
-        gram, n, key = gram[once], n[once], key[once]
-        edge = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1], [True]]))
-        keep = np.repeat(np.diff(edge) > 1, np.diff(edge))
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, n, key)], names=["gram", "n", "key"])
-
-
-def _candidates(batches: Iterator[pa.RecordBatch], low: int, high: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs `(x, y)` of sorted rows `(gram, n, key, root)` of one gram, `low` to `high` rows apart.
-
-    Only pairs that are not connected yet and whose numbers of shingles allow for `similarity`.
-    """
-    for gram, n, key, root in _by_gram(batches):
-        edge = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1], [True]]))
-        # Rows of a gram are in order of n, so what is too far for a row's n is too far for good.
-        end = np.repeat(edge[1:], np.diff(edge))
-        start = np.arange(len(gram))
-        for away in range(low, high + 1):
-            start = start[start + away < end[start]]
-            start = start[n[start] >= similarity * n[start + away] - 1e-9]
-            if not len(start):
-                break
-            pair = start[root[start] != root[start + away]]
-            if len(pair):
-                x, y = np.minimum(key[pair], key[pair + away]), np.maximum(key[pair], key[pair + away])
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
-
-
-def similar_documents(
-    docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, apart: int = APART
-) -> DataFrame:
-    """`(key, root)` of the texts of `docs(key, text)` that are much like another text.
-
-    `key` names a text, a long; equal texts may share it or not. Texts are linked when their common
-    share of distinct `size`-word shingles is at least `similarity`, and `root` is the smallest key
-    that links lead to. Candidates agree in one of their rarest shingles, which no linked pair
-    fails to do. They are compared in rounds, those near each other in order of their number
-    of shingles first (`apart` rows at most, then WIDER times as many), and pairs that earlier
-    rounds connected are left out; no other pair is. Texts without a link are absent. A null or
-    empty text is like other such texts. No rows, no result rows.
-    """
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fits = []
-            for x, y in zip(_shingles(batch.column(2), size), _shingles(batch.column(3), size), strict=True):
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                fits.append(common >= similarity * (len(x) + len(y) - common))
-            columns = [c.filter(pa.array(fits, pa.bool_())) for c in batch.columns[:2]]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
-
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select("key", "text")
-    prefixes = partial(_prefixes, size=size, similarity=similarity, common=_common(texts, size))
-    rows = texts.mapInArrow(prefixes, "gram long, key long, n int").select("gram", "n", "key")
-    dealt = rows.repartition(shuffle_tasks(spark), "gram").sortWithinPartitions("gram", "n", "key")
-    left = saved(dealt.mapInArrow(_shared, "gram long, n int, key long").withColumn("root", F.col("key")), "prefixes")
-    links, low, high = None, 1, apart
-    while True:
-        near = partial(_candidates, low=low, high=high, similarity=similarity)
-        ordered = left.repartition(shuffle_tasks(spark), "gram").sortWithinPartitions("gram", "n", "key")
-        pairs = saved(ordered.mapInArrow(near, "x long, y long").distinct(), "pairs")
-        # Texts are moved, not shingles, which are larger; keys that the filter lets through meet no pair.
-        asked = pairs.select(F.col("x").alias("key")).union(pairs.select("y")).distinct()
-        bitmap = spark.sparkContext.broadcast(filter_of(asked.select(F.xxhash64("key").alias("hash"))))
-        own = texts.select("key", "text", F.xxhash64("key").alias("hash"))
-        own = own.mapInArrow(partial(_asked, bitmap=bitmap), texts.schema)
-        own = saved(own.dropDuplicates(["key"]), "texts")
-        both = pairs.join(own.select(F.col("key").alias("x"), F.col("text").alias("tx")), "x")
-        both = both.join(own.select(F.col("key").alias("y"), F.col("text").alias("ty")), "y")
-        new = saved(both.select("x", "y", "tx", "ty").mapInArrow(alike, "a long, b long"), "alike")
-        links = new if links is None else links.union(new)
-        roots = components(links).withColumnRenamed("node", "key")
-        # A gram stays while rows of it are further apart than was compared, and not all connected.
-        now = left.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = now.groupBy("gram").agg(F.count("key").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
-        open_ = open_.where((F.col("rows") > high + 1) & (F.col("least") < F.col("most"))).select("gram")
-        left = saved(now.join(open_, "gram", "left_semi").select("gram", "n", "key", "root"), "prefixes")
-        if left.isEmpty():
-            return roots
-        low, high = high + 1, high * WIDER

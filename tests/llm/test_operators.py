@@ -232,49 +232,6 @@ def test_simhash_of_odd_rows(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_similar_documents(spark):
-    rows = []
-    for i in range(30):
-        base = prose(100 + i, 200).split()
-        for k in (0, 0, 1, 2, 25):
-            copy = list(base)
-            for j in range(k):
-                copy[(j * 8 + 3) % 200] = f"new{i}{j}"
-            rows.append((len(rows), " ".join(copy)))
-    docs = spark.createDataFrame(rows, "key long, text string")
-    got = dict(simhash.similar_documents(docs).select("key", "root").collect())
-    for i in range(30):
-        first = 5 * i
-        assert [got.get(first + k) for k in range(4)] == [first] * 4
-        assert first + 4 not in got
-    assert simhash.similar_documents(docs.where("false")).count() == 0
-
-
-def like_groups(rows, size=5, least=0.8):
-    """Smallest linked key of each linked text, comparing all pairs of shingle sets."""
-    sets = []
-    for _, text in rows:
-        w = split(text)
-        n = min(size, max(1, len(w)))
-        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
-    root = {key: key for key, _ in rows}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    linked = set()
-    for i in range(len(rows)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if common >= least * (len(sets[i]) + len(sets[j]) - common):
-                a, b = find(rows[i][0]), find(rows[j][0])
-                root[max(a, b)] = min(a, b)
-                linked |= {rows[i][0], rows[j][0]}
-    return {key: find(key) for key in linked}
-
-
 def variants(seed, n, words, edits):
     """Texts of one base with random words replaced, in `edits` places each."""
     rng = random.Random(seed)
@@ -288,31 +245,28 @@ def variants(seed, n, words, edits):
     return out
 
 
-def similar(spark, texts):
-    rows = list(enumerate(texts))
-    docs = spark.createDataFrame(rows, "key long, text string")
-    return dict(simhash.similar_documents(docs).select("key", "root").collect()), like_groups(rows)
-
-
-def test_similar_documents_of_one_large_group_equal_brute_force(spark):
-    got, expected = similar(spark, variants(7, 400, 200, (2, 3, 4, 5, 6, 8)))
-    assert got == expected and 100 < len(expected) < 400
-
-
-def test_similar_documents_whatever_is_repeated(spark):
-    texts = []
-    for i in range(6):
-        text = prose(300 + i, 300)
-        footer = f"all rights of this page {i} are reserved by its owner "
-        texts += [text, f"{text} {text}", f"{text} {footer}", f"{text} {footer * 150}"]
-    got, expected = similar(spark, texts)
-    assert got == expected and len(expected) == len(texts)
-
-
-def test_similar_documents_recall_at_the_least_similarity(spark):
-    texts = [t for i in range(60) for t in variants(900 + i, 2, 150, (0, 1, 2, 3, 4))]
-    got, expected = similar(spark, [*texts, None, "", " \n", "one", "One"])
-    assert got == expected and len(expected) > 40
+@pytest.mark.parametrize("n", [400, 1600])
+def test_links_of_one_family_grow_with_its_members(spark, n):
+    rows = [(i, t, "en", "s") for i, t in enumerate(variants(7, n, 200, (1, 2, 3, 4, 6)))]
+    values = simhash.fingerprints(documents(spark, rows)).select("fp").distinct().cache()
+    members = values.count()
+    links = [tuple(r) for r in simhash.near_links(values, 4).collect()]
+    assert len(links) < 20 * members
+    assert all((a ^ b).bit_count() <= 4 for a, b in ((a % 2**64, b % 2**64) for a, b in links))
+    got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
+    fps = {r.fp: r.fp % 2**64 for r in values.collect()}
+    assert {f: got.get(f, f) for f in fps} == classes(fps, 4)
+
+
+def test_recall_of_fingerprints_by_edited_words(spark):
+    """What one fingerprint finds: copies with one word in 400 changed mostly, with one in 20 hardly."""
+    found = {}
+    for edits in (0, 1, 20):
+        texts = [t for i in range(60) for t in (prose(500 + i, 400), *variants(500 + i, 1, 400, (edits,)))]
+        docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+        got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+        found[edits] = sum(got[2 * i] == got[2 * i + 1] for i in range(60)) / 60
+    assert found[0] == 1 and found[1] >= 0.8 and found[20] <= 0.2
 
 
 # 4 quality
