@@ -82,7 +82,7 @@ def test_stages_of_no_documents(spark, folder):
 def test_everything_is_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(entry.oracle_sql())
 
 
