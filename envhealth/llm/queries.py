@@ -20,6 +20,7 @@ from . import (
     simhash,
     suffix_dedup,
     token_counts,
+    toxicity,
     url_filter,
 )
 
@@ -203,6 +204,15 @@ FROM final LEFT JOIN ranked USING (rid)
 """
 
 
+@query
+def op12_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.held_out("doc_id")
+    model = toxicity.train(table(spark, sf_dir, "labels").where(~out), docs.where(~out))
+    found = toxicity.classify(docs, model)
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_merkle(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
