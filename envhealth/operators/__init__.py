@@ -17,6 +17,8 @@ from .documents import (
 )
 from .indicators import clean_indicators, judge_indicators, normalize_columns, project_indicators, rate_summary
 from .keys import common_keys, coverage, distinct_keys, metric_stats, sorted_preview
+from .moments import merge_moments, moments, moments_corr, moments_profile
+from .pages import search_page
 from .quality import (
     attrition,
     drop_critical_nulls,
@@ -70,8 +72,12 @@ __all__ = [
     "from_ndjson",
     "hash_ids",
     "merge_daily",
+    "merge_moments",
     "metric_stats",
     "missing_columns",
+    "moments",
+    "moments_corr",
+    "moments_profile",
     "normalize_columns",
     "normalize_readings",
     "null_profile",
@@ -91,6 +97,7 @@ __all__ = [
     "required_fields",
     "search",
     "search_facets",
+    "search_page",
     "search_total",
     "sorted_preview",
     "split_rejects",

@@ -178,9 +178,10 @@ def from_ndjson(lines: DataFrame, schema: StructType) -> DataFrame:
     return lines.select(parsed.alias("_doc")).select("_doc.*")
 
 
-def to_bulk(documents: DataFrame, index: str) -> DataFrame:
+def to_bulk(documents: DataFrame, index: str, keep_id: bool = False) -> DataFrame:
     """Bulk-load text in column `value`: an action line and a source line per document."""
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col(ID)).alias("index")))
     fields = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != ID])
     source = F.to_json(fields, JSON_OPTIONS)
-    return documents.select(F.concat_ws("\n", action, source).alias("value"))
+    name = [F.col(ID).cast("string").alias(ID)] if keep_id else []
+    return documents.select(*name, F.concat_ws("\n", action, source).alias("value"))

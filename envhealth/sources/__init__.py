@@ -1,5 +1,6 @@
 """Scans. Every reader takes a path or a glob of a directory and returns a DataFrame."""
 
+from .arrays import read_array_records, read_array_texts
 from .footprint import footprint, require_input
 from .landing import (
     landing_query,
@@ -16,6 +17,8 @@ __all__ = [
     "landing_query",
     "landing_report",
     "partition_path",
+    "read_array_records",
+    "read_array_texts",
     "read_csv_drop",
     "read_documents",
     "read_envelopes",
