@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,3 +116,52 @@ def envelope_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.when(kind == "error", F.lit('{"status": "error", "data": "no station"}')).otherwise(good)
     return table(spark, sf_dir, "events").select("event_id", text.alias("value"))
+
+
+def landed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope texts of the events; those of clicks are cut off."""
+    texts = envelope_texts(spark, sf_dir)
+    cut = F.expr("left(value, length(value) - 2)")
+    is_click = F.contains("value", F.lit('"name": "click"'))
+    return texts.select("event_id", F.when(is_click, cut).otherwise(F.col("value")).alias("value"))
+
+
+def supplier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An envelope over several lines for each supplier."""
+    lines = [
+        "{",
+        '  "status": "ok",',
+        '  "data": {',
+        '    "city": {"name": "%s"},',
+        '    "iaqi": {"pm25": {"v": %s}}',
+        "  }",
+        "}",
+    ]
+    text = F.format_string("\n".join(lines), F.col("s_name"), F.col("s_suppkey").cast("string"))
+    return table(spark, sf_dir, "supplier").select(text.alias("value"))
+
+
+def array_lines(records: DataFrame, files: int) -> DataFrame:
+    """Lines of `files` JSON arrays with a record a line, each array the rows of one task."""
+
+    def run(batches):
+        before = None
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                line = ("[" if before is None else "") + value
+                if before is not None:
+                    yield pa.RecordBatch.from_pydict({"value": [before + ","]})
+                before = line
+        if before is not None:
+            yield pa.RecordBatch.from_pydict({"value": [before + "]"]})
+
+    return records.select(F.to_json(F.struct("*")).alias("value")).repartition(files).mapInArrow(run, "value string")
+
+
+def orders_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a yearly run each, with the price as the anchor."""
+    orders = table(spark, sf_dir, "orders")
+    run = F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)).alias("run_date")
+    price = F.col("o_totalprice").alias("pm25_avg_yearly")
+    half = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("half")
+    return orders.select(run, price, "o_custkey", half, F.lit(None).cast("double").alias("absent"))

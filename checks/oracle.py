@@ -157,6 +157,14 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+RUN_COLUMNS = [
+    ("pm25_avg_yearly", "o_totalprice"),
+    ("o_custkey", "o_custkey"),
+    ("half", "CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END"),
+    ("absent", "CAST(NULL AS DOUBLE)"),
+]
+
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
     "source_footprint": "SELECT CAST(sum(strlen(text)) + count(*) AS BIGINT) AS bytes FROM documents",
@@ -364,4 +372,53 @@ ORDER BY year, percentage, "group", outcome_or_indicator, confidence_interval LI
         "WHERE l_shipdate IS NOT NULL AND", "WHERE l_returnflag <> 'R' AND"
     )
     + f"SELECT {DOCUMENT_COLUMNS} FROM combined",
+    "stream_landing_outcomes": """SELECT CASE WHEN event_type = 'error' THEN 'status'
+            WHEN event_type = 'click' THEN 'malformed'
+            WHEN event_type IN ('signup', 'view') THEN 'value'
+            WHEN value BETWEEN 0 AND 1000 THEN 'valid' ELSE 'bounds' END AS reason, count(*) AS records
+FROM events GROUP BY 1""",
+    "stream_landing_rejects": """SELECT '{"status": "ok", "data": {"time": {"s": "' || strftime(ts, '%Y-%m-%d %H:%M:%S')
+       || '"}, "city": {"name": "click"}, "iaqi": {"pm25": {"v": ' || CAST(value AS VARCHAR) || '}}' AS record
+FROM events WHERE event_type = 'click'""",
+    "delivery_refused": """SELECT _id, o_orderkey FROM (
+  SELECT '2026-01-01_' || CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS VARCHAR) AS _id,
+         o_orderkey, o_orderpriority
+  FROM orders)
+WHERE o_orderpriority = '5-LOW'""",
+    "delivery_counts": f"""WITH {INDICATORS}
+SELECT count(*) FILTER (WHERE "group" <> '5-LOW') AS indexed,
+       count(*) FILTER (WHERE "group" = '5-LOW') AS failed FROM indicators""",
+    "scan_json_array": f"WITH {RAW_INDICATORS} SELECT {PROJECTED} FROM raw_indicators",
+    "scan_envelope_files": """SELECT CAST(NULL AS VARCHAR) AS utc_datetime, s_name AS city,
+       CAST(s_suppkey AS VARCHAR) AS pm25_raw FROM supplier""",
+    "history_describe": _union(
+        [
+            f"""SELECT '{name}' AS column_name, count({expr}) AS count, {_narrow(f"avg({expr})")} AS mean,
+       {_narrow(f"stddev_samp({expr})")} AS stddev, CAST(min({expr}) AS DOUBLE) AS min_value,
+       CAST(max({expr}) AS DOUBLE) AS max_value FROM orders"""
+            for name, expr in RUN_COLUMNS
+        ]
+    ),
+    "history_correlation": _union(
+        [
+            f"""SELECT '{name}' AS column_name, count({expr}) AS pairs,
+       round(corr(o_totalprice, {expr}), 6) AS corr FROM orders"""
+            for name, expr in RUN_COLUMNS[1:]
+        ]
+    ),
+    "history_yearly": f"""WITH {YEARLY}
+SELECT {YEARLY_COLUMNS} FROM yearly""",
+    "refresh_documents": f"""WITH {INDICATORS}
+SELECT year, count(*) AS documents, (SELECT count(*) FROM indicators) AS replaced
+FROM indicators WHERE year = 2001 GROUP BY year""",
+    "search_page": f"""{COMBINED}SELECT count(*) OVER () AS total,
+       CAST(row_number() OVER (ORDER BY year DESC, confidence_interval) AS INTEGER) AS rank,
+       year, "group", percentage, confidence_interval FROM combined
+WHERE "group" IN ('1-URGENT', '2-HIGH') AND year BETWEEN 2000 AND 2001
+ORDER BY rank LIMIT 10""",
+    "run_ledger": f"""WITH {READINGS},
+{INDICATORS}
+SELECT 'readings' AS stage, CAST(1 AS INTEGER) AS attempt, 'done' AS state, count(*) AS count FROM readings
+UNION ALL SELECT 'indicators', 1, 'failed', NULL
+UNION ALL SELECT 'indicators', 2, 'done', count(*) FROM indicators""",
 }

@@ -18,9 +18,10 @@ from envhealth import functions as fn
 from envhealth import operators as op
 from envhealth import sinks, sources
 from envhealth.checkpoints import scratch_path
-from envhealth.plans import Lake, run_daily
+from envhealth.plans import Lake, Ledger, history_corr, history_profile, history_years, run_daily, run_stages
+from envhealth.plans.history import day_moments
 from envhealth.schemas import DOCUMENT, ENVELOPE, READING
-from envhealth.streaming import clean_landing
+from envhealth.streaming import clean_landing, land_readings, landed_readings, landed_rejects
 
 from . import bindings as b
 
@@ -486,5 +487,157 @@ def daily_run_documents(spark, sf_dir):
     b.envelopes(spark, sf_dir).write.json(landed)
     b.raw_indicators(spark, sf_dir).write.json(lake.raw_indicators(b.RUN_DATE.year))
     run_daily(spark, root, b.RUN_DATE, b.INDEXED_AT, multi_line=False)
-    documents = sources.read_documents(spark, lake.documents)
+    documents = sinks.read_current(spark, lake.documents)
     return _widen(_text(documents.drop("_id"), "indexed_at", "processing_date"))
+
+
+# Outcomes, arrays, history, refreshes, pages, runs
+
+
+@query
+def stream_landing_outcomes(spark, sf_dir):
+    """Every landed record of a stream by what became of it, after a second run without new files."""
+    path, table, state = (scratch_path(spark, name) for name in ("landing", "outcomes", "state"))
+    b.landed_texts(spark, sf_dir).select("value").write.text(path)
+    for _ in range(2):
+        land_readings(spark, path, table, state, files_per_batch=2).awaitTermination()
+    valid = landed_readings(spark, table).select(F.lit("valid").alias("reason"))
+    rejected = landed_rejects(spark, table).select(F.col("reject_reason").alias("reason"))
+    return valid.union(rejected).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def stream_landing_rejects(spark, sf_dir):
+    """The texts of the records that did not parse, as they were landed."""
+    path, table = scratch_path(spark, "landing"), scratch_path(spark, "outcomes")
+    b.landed_texts(spark, sf_dir).select("value").write.text(path)
+    land_readings(spark, path, table, scratch_path(spark, "state")).awaitTermination()
+    return landed_rejects(spark, table).where("reject_reason = 'malformed'").select("record")
+
+
+@query
+def delivery_refused(spark, sf_dir):
+    """Documents that a sender refused, by their whole identifiers, from the dead letters."""
+    orders = sources.read_positioned(spark, f"{sf_dir}/orders.parquet")
+    documents = op.position_ids(orders, b.RUN_DATE).select("_id", "o_orderkey", "o_orderpriority")
+
+    def send(texts):
+        return ['"o_orderpriority":"5-LOW"' not in text for text in texts]
+
+    outcomes = scratch_path(spark, "outcomes")
+    sinks.deliver(documents, "orders", send, outcomes, b.RUN_DATE)
+    source = F.split_part("value", F.lit("\n"), F.lit(2))
+    key = F.get_json_object(source, "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    return sinks.dead_letters(spark, outcomes, b.RUN_DATE).select("_id", key)
+
+
+@query
+def delivery_counts(spark, sf_dir):
+    """Accepted and refused documents of a delivery that was run twice for its date."""
+    documents = op.hash_ids(b.indicators(spark, sf_dir), b.RUN_DATE)
+    outcomes = scratch_path(spark, "outcomes")
+
+    def send(texts):
+        return ['"group":"5-LOW"' not in text for text in texts]
+
+    sinks.deliver(documents.where("year = 2000"), "air", send, outcomes, b.RUN_DATE)
+    counts = sinks.deliver(documents, "air", send, outcomes, b.RUN_DATE)
+    return spark.createDataFrame([counts], "indexed BIGINT, failed BIGINT")
+
+
+@query
+def scan_json_array(spark, sf_dir):
+    """Records landed as two arrays over many lines, read in splits."""
+    path = scratch_path(spark, "arrays")
+    b.array_lines(b.raw_indicators(spark, sf_dir), 2).write.text(path)
+    good, _ = sources.split_corrupt(sources.read_array_records(spark, path))
+    return op.project_indicators(good)
+
+
+@query
+def scan_envelope_files(spark, sf_dir):
+    """Envelopes landed as one object over several lines per file."""
+    path = scratch_path(spark, "files")
+    b.supplier_envelopes(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(path)
+    landed = sources.read_envelopes(spark, path, multi_line=True)
+    return op.extract_readings(op.accept_status(landed))
+
+
+def _stored_moments(spark, parts):
+    path = scratch_path(spark, "moments")
+    parts.write.partitionBy("run_date").parquet(path)
+    return path
+
+
+@query
+def history_describe(spark, sf_dir):
+    """The profile of all runs, merged from the moments that each has stored."""
+    stored = _stored_moments(spark, op.moments(b.orders_by_run(spark, sf_dir), "run_date"))
+    found = _narrow(history_profile(spark, stored), "mean", "stddev")
+    return found.withColumnsRenamed({"min": "min_value", "max": "max_value"})
+
+
+@query
+def history_correlation(spark, sf_dir):
+    stored = _stored_moments(spark, op.moments(b.orders_by_run(spark, sf_dir), "run_date"))
+    return history_corr(spark, stored).withColumn("corr", F.round("corr", 6))
+
+
+@query
+def history_yearly(spark, sf_dir):
+    """Yearly figures from stored moments of runs of a quarter; in even years, two runs share the days
+    of a quarter between them, so that these years are rolled up from their days."""
+    days = b.daily(spark, sf_dir)
+    quarter = F.last_day(F.add_months(F.date_trunc("quarter", "date"), 2))
+    late = (F.year("date") % 2 == 0) & (F.dayofmonth("date") % 2 == 0)
+    daily = scratch_path(spark, "daily")
+    runs = days.withColumn("run_date", F.date_add(quarter, late.cast("int")))
+    runs.repartition("run_date").write.partitionBy("run_date").parquet(daily)
+    stored = _stored_moments(spark, day_moments(sources.read_table(spark, daily), "run_date"))
+    return _narrow(history_years(spark, daily, stored), *YEARLY_DOUBLES[1:])
+
+
+@query
+def refresh_documents(spark, sf_dir):
+    """Documents of the published set, after it replaced one of all years."""
+    path = scratch_path(spark, "published")
+    documents = op.hash_ids(b.indicators(spark, sf_dir), b.RUN_DATE)
+    sinks.refresh(documents, path)
+    report = sinks.refresh(documents.where("year = 2001"), path)
+    found = sinks.read_current(spark, path).groupBy("year").agg(F.count(F.lit(1)).alias("documents"))
+    return found.withColumn("replaced", F.lit(report["replaced"]).cast("bigint"))
+
+
+@query
+def search_page(spark, sf_dir):
+    """Hits with their rank and the total of all hits, from one scan."""
+    page = op.search_page(
+        b.combined(spark, sf_dir),
+        where=F.col("group").isin("1-URGENT", "2-HIGH") & F.col("year").between(2000, 2001),
+        order=[("year", True), ("confidence_interval", False)],
+    )
+    fields = ["year", "group", "percentage", "confidence_interval"]
+    return page.select("total", "rank", *[F.col(f"hit.{f}").alias(f) for f in fields])
+
+
+@query
+def run_ledger(spark, sf_dir):
+    """Events of a run whose second stage failed once, and of one that resumed it."""
+    path = scratch_path(spark, "ledger")
+    lost = []
+
+    def readings():
+        return {"count": op.clean_readings(b.extracted_readings(spark, sf_dir)).count()}
+
+    def indicators():
+        if not lost:
+            lost.append(True)
+            raise RuntimeError("lost")
+        return {"count": b.indicators(spark, sf_dir).count()}
+
+    stages = {"readings": ((), readings), "indicators": (("readings",), indicators)}
+    run_stages(Ledger(spark, path, b.RUN_DATE), stages)
+    run_stages(Ledger(spark, path, b.RUN_DATE), stages)
+    events = Ledger(spark, path, b.RUN_DATE).events().where("stage <> 'claim'")
+    count = F.get_json_object(F.when(F.col("state") == "done", F.col("detail")), "$.count")
+    return events.select("stage", "attempt", "state", count.cast("bigint").alias("count"))

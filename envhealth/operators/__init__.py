@@ -44,7 +44,7 @@ from .readings import (
     merge_daily,
     normalize_readings,
 )
-from .rollup import combine, year_bounds, year_window, yearly_stats
+from .rollup import combine, combine_years, year_bounds, year_window, yearly_stats
 from .search import search, search_facets, search_total, terms_topk
 from .stats import corr_vs_anchor, null_profile, numeric_columns, pearson, profile
 
@@ -56,6 +56,7 @@ __all__ = [
     "clean_readings",
     "coerce_numeric",
     "combine",
+    "combine_years",
     "common_keys",
     "conform",
     "content_hash",

@@ -54,8 +54,15 @@ def combine(
     has years, so the broadcast size is known before the job starts. The indicator side,
     however large or skewed to one year, is never shuffled.
     """
+    return combine_years(yearly_stats(daily), indicators, run_date, min_year)
+
+
+def combine_years(
+    yearly: DataFrame, indicators: DataFrame, run_date: dt.date | str, min_year: int = MIN_YEAR
+) -> DataFrame:
+    """`combine` for yearly figures that are there already, one row a year."""
     first, last = year_bounds(run_date, min_year)
-    yearly = year_window(yearly_stats(daily), run_date, min_year)
+    yearly = year_window(yearly, run_date, min_year)
     if last - first + 1 <= MAX_BROADCAST_YEARS:
         yearly = F.broadcast(yearly)
     right = year_window(indicators, run_date, min_year)

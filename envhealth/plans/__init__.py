@@ -8,6 +8,8 @@ from .daily_run import (
     readings_job,
     run_daily,
 )
+from .history import crossing_years, history_corr, history_profile, history_years, store_days, store_rows
+from .ledger import Busy, Ledger, run_stages
 from .validators import (
     validate_combined,
     validate_daily,
@@ -16,12 +18,21 @@ from .validators import (
 )
 
 __all__ = [
+    "Busy",
     "Lake",
+    "Ledger",
     "combine_job",
+    "crossing_years",
+    "history_corr",
+    "history_profile",
+    "history_years",
     "indicators_job",
     "publish_job",
     "readings_job",
     "run_daily",
+    "run_stages",
+    "store_days",
+    "store_rows",
     "validate_combined",
     "validate_daily",
     "validate_indicators",

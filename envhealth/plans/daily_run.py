@@ -10,7 +10,6 @@ after a lost executor can be counted twice there, but not in the step that write
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from ..operators import (
     accept_status,
     clean_indicators,
     clean_readings,
-    combine,
+    combine_years,
     daily_stats,
     extract_readings,
     figures,
@@ -33,10 +32,11 @@ from ..operators import (
     require_columns,
     require_rows,
     to_documents,
+    yearly_stats,
 )
 from ..operators.quality import REASON
 from ..schemas import INDICATOR
-from ..sinks import audit, published_count, write_documents, write_table
+from ..sinks import audit, refresh, write_table
 from ..sources import (
     partition_path,
     read_envelopes,
@@ -46,6 +46,8 @@ from ..sources import (
     require_input,
 )
 
+from .history import history_years, store_days, store_rows
+from .ledger import ATTEMPTS, Ledger, run_stages
 
 @dataclass(frozen=True)
 class Lake:
@@ -74,6 +76,18 @@ class Lake:
     def combined(self) -> str:
         return f"{self.root}/final/combined"
 
+    @property
+    def day_moments(self) -> str:
+        return f"{self.root}/final/day_moments"
+
+    @property
+    def moments(self) -> str:
+        return f"{self.root}/final/combined_moments"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
     @property
     def documents(self) -> str:
         return f"{self.root}/published/air_asthma"
@@ -88,12 +102,17 @@ class Lake:
 
 
 def readings_job(
-    spark: SparkSession, lake: Lake, run_date: dt.date | str, multi_line: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    run_date: dt.date | str,
+    multi_line: bool = False,
+    keep_moments: bool = False,
 ) -> dict[str, int]:
     """Clean the readings landed the day before and write their daily statistics.
 
     Every landed record is a valid reading or a reject with a reason; rejects are written
-    first, so that a day without a valid reading leaves them too.
+    first, so that a day without a valid reading leaves them too. `keep_moments` stores what
+    `combine_job(scope="history")` needs of the run.
     """
     run_date = as_date(run_date)
     path = lake.raw_readings(run_date - dt.timedelta(days=1))
@@ -113,6 +132,8 @@ def readings_job(
         raise ValueError(f"daily statistics of {path}: no rows")
     write_table(daily, lake.daily, run_date)
     audit(spark, lake.daily, require_rows(written, f"daily statistics of {path}"), run_date)
+    if keep_moments:
+        store_days(spark, lake.daily, lake.day_moments, run_date)
     return {
         "readings": landed["rows"],
         "rejected_readings": landed["rejected"],
@@ -176,17 +197,23 @@ def combine_job(
     """Join the yearly figures with the indicators landed in the year of the run.
 
     `scope="all"` rolls up every daily row known at the run date; `scope="day"` only
-    those written by this run.
+    those written by this run. `scope="history"` gives the figures of "all" from the moments
+    that every run has stored, and stores those of the combined rows.
     """
-    if scope not in ("all", "day"):
+    if scope not in ("all", "day", "history"):
         raise ValueError(f"unknown scope: {scope!r}")
     run_date = as_date(run_date)
-    daily = read_table(spark, lake.daily, run_date, up_to=scope == "all").drop("run_date")
-    if scope == "all":
-        daily = merge_daily(daily)
+    if scope == "history":
+        daily = None
+        yearly = history_years(spark, lake.daily, lake.day_moments, run_date)
+    else:
+        daily = read_table(spark, lake.daily, run_date, up_to=scope == "all").drop("run_date")
+        if scope == "all":
+            daily = merge_daily(daily)
+        yearly = yearly_stats(daily)
     indicators = read_table(spark, lake.indicators, run_date.year, "ingest_year").drop("ingest_year")
     combined, written = observed(
-        combine(daily, require_columns(indicators, INDICATOR.names), run_date),
+        combine_years(yearly, require_columns(indicators, INDICATOR.names), run_date),
         f"combined {run_date}",
         first_year=F.min("year").cast("bigint"),
         last_year=F.max("year").cast("bigint"),
@@ -194,11 +221,14 @@ def combine_job(
     write_table(combined, lake.combined, run_date)
     rows = figures(written)["rows"]
     if not rows:
-        for what, table in (("daily readings", daily), ("indicators", indicators)):
+        source = yearly if daily is None else daily
+        for what, table in (("daily readings", source), ("indicators", indicators)):
             if table.isEmpty():
                 raise ValueError(f"no rows: {what}")
         raise ValueError("no common year: combined")
     audit(spark, lake.combined, rows, run_date)
+    if scope == "history":
+        store_rows(spark, lake.combined, lake.moments, run_date)
     seen = figures(written)
     return {"combined": rows, "first_year": seen["first_year"], "last_year": seen["last_year"]}
 
@@ -210,21 +240,20 @@ def publish_job(
     indexed_at: dt.datetime | str | None = None,
     form: str = "parquet",
 ) -> dict[str, int]:
-    """Replace the published documents by those of the run date."""
+    """Replace the published documents by those of the run date.
+
+    Readers get the old set, by `sinks.read_current`, until the new one is complete and counted.
+    """
     run_date = as_date(run_date)
     indexed_at = indexed_at or f"{run_date.isoformat()} 00:00:00"
     source = partition_path(lake.combined, run_date)
     require_input(spark, source)
-    before = published_count(spark, lake.documents, form)
     rows, seen = observed(read_positioned(spark, source), f"documents read {run_date}")
     documents, written = observed(
         to_documents(rows, run_date, indexed_at, position="_position"), f"documents {run_date}"
     )
-    write_documents(documents, lake.documents, form)
-    count = require_rows(written, "documents")
-    if published_count(spark, lake.documents, form) != count:
-        raise ValueError(f"{lake.documents}: expected {count} documents")
-    return {"replaced": before, "documents": count, "dropped": figures(seen)["rows"] - count}
+    report = refresh(documents, lake.documents, form, expected=lambda: require_rows(written, "documents"))
+    return report | {"dropped": figures(seen)["rows"] - report["documents"]}
 
 
 def run_daily(
@@ -234,14 +263,21 @@ def run_daily(
     indexed_at: dt.datetime | str | None = None,
     scope: str = "all",
     multi_line: bool = False,
+    resume: bool = False,
+    attempts: int = ATTEMPTS,
 ) -> dict[str, int]:
-    """All jobs of one date in dependency order; returns the row counts of every stage."""
+    """All jobs of one date in dependency order; returns the row counts of every stage.
+
+    A job that fails is tried once more. The ledger of the lake notes every attempt; with
+    `resume` the jobs that it has as finished are not run again, and their counts are those of
+    then. Another run of the same date meanwhile is refused.
+    """
     lake = Lake(lake) if isinstance(lake, str) else lake
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        first = [
-            pool.submit(readings_job, spark, lake, run_date, multi_line),
-            pool.submit(indicators_job, spark, lake, run_date, multi_line),
-        ]
-        report = {k: v for job in first for k, v in job.result().items()}
-    report |= combine_job(spark, lake, run_date, scope)
-    return report | publish_job(spark, lake, run_date, indexed_at)
+    keep = scope == "history"
+    stages = {
+        "readings": ((), lambda: readings_job(spark, lake, run_date, multi_line, keep)),
+        "indicators": ((), lambda: indicators_job(spark, lake, run_date, multi_line)),
+        "combine": (("readings", "indicators"), lambda: combine_job(spark, lake, run_date, scope)),
+        "publish": (("combine",), lambda: publish_job(spark, lake, run_date, indexed_at)),
+    }
+    return run_stages(Ledger(spark, lake.ledger, run_date), stages, attempts, again=not resume)

@@ -1,7 +1,7 @@
 """A ledger of the runs of each date: what was claimed, finished, failed, and with which counts.
 
-Every event is a row of its own, appended, so that nothing is ever rewritten. The state of a
-date is read from its rows.
+Every event is a row in a folder of its own, so that nothing is ever rewritten and writers do not
+meet. The state of a date is read from its rows.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_date, partition_value
@@ -59,17 +60,23 @@ class Ledger:
 
     def note(self, stage: str, attempt: int, state: str, detail: str | None = None) -> None:
         row = [(self.owner, stage, attempt, state, detail, self.clock())]
-        self.spark.createDataFrame(row, EVENT).coalesce(1).write.mode("append").parquet(self.folder)
+        made = self.spark.createDataFrame(row, EVENT).coalesce(1)
+        made.write.parquet(f"{self.folder}/event={uuid.uuid4().hex}")
 
     def holder(self) -> str | None:
         """Who holds the date: the earliest owner whose claim is neither released nor void."""
-        claims = self.events().where(F.col("stage") == CLAIM)
-        owners = claims.groupBy("owner").agg(
-            F.min("at").alias("since"), F.max("at").alias("seen"), F.max_by("state", "at").alias("state")
-        )
-        held = owners.where((F.col("state") == CLAIMED) & (F.col("seen") > self.clock() - self.lease))
-        first = held.orderBy("since", "owner").limit(1).collect()
-        return first[0]["owner"] if first else None
+        since: dict[str, float] = {}
+        last: dict[str, Row] = {}
+        for event in self._ordered(F.col("stage") == CLAIM):
+            since.setdefault(event["owner"], event["at"])
+            last[event["owner"]] = event
+        void = self.clock() - self.lease
+        held = [o for o, event in last.items() if event["state"] == CLAIMED and event["at"] > void]
+        return min(held, key=lambda o: (since[o], o), default=None)
+
+    def _ordered(self, where: Column) -> list[Row]:
+        """Events of the date in order: a few for every stage that was tried."""
+        return sorted(self.events().where(where).collect(), key=lambda event: event["at"])
 
     def claim(self) -> None:
         """Take the date, or fail. Of two that claim at once, the later one gives way."""
@@ -85,10 +92,8 @@ class Ledger:
 
     def finished(self) -> dict[str, dict]:
         """Counts of the stages that were finished, by any owner, and not begun again since."""
-        events = self.events().where(F.col("stage") != CLAIM)
-        last = events.groupBy("stage").agg(F.max_by(F.struct("state", "detail"), "at").alias("last"))
-        rows = last.where(F.col("last.state") == DONE).select("stage", "last.detail").collect()
-        return {r["stage"]: json.loads(r["detail"]) for r in rows}
+        last = {event["stage"]: event for event in self._ordered(F.col("stage") != CLAIM)}
+        return {s: json.loads(event["detail"]) for s, event in last.items() if event["state"] == DONE}
 
     def run(self, stage: str, work: Callable[[], dict], attempts: int = ATTEMPTS) -> dict:
         """The counts of `work`, tried again once after a failure; every attempt is noted."""
@@ -111,22 +116,28 @@ def run_stages(
     attempts: int = ATTEMPTS,
     again: bool = False,
 ) -> dict:
-    """Run stages `name: (needed stages, work)` in their order; returns the counts of all.
+    """Run stages `name: (needed stages, work)`; returns the counts of all, in the order given.
 
-    A stage that is finished is not run again unless one that it needs was, or with `again`.
-    The date is held meanwhile, so that two runs of a date cannot mix.
+    Stages that need nothing unfinished run at the same time. A stage that is finished is not run
+    again unless one that it needs was, or with `again`. The date is held meanwhile, so that two
+    runs of a date cannot mix.
     """
     ledger.claim()
     try:
         finished = {} if again else ledger.finished()
         ran: set[str] = set()
-        report: dict = {}
-        for name, (needed, work) in stages.items():
-            if name in finished and not ran.intersection(needed):
-                report |= finished[name]
-            else:
-                report |= ledger.run(name, work, attempts)
-                ran.add(name)
-        return report
+        counts: dict[str, dict] = {}
+        while len(counts) < len(stages):
+            ready = [n for n, (needed, _) in stages.items() if n not in counts and counts.keys() >= set(needed)]
+            if not ready:
+                raise ValueError("stages need each other, or one that is not there")
+            kept = [n for n in ready if n in finished and not ran.intersection(stages[n][0])]
+            counts |= {n: finished[n] for n in kept}
+            fresh = [n for n in ready if n not in counts]
+            with ThreadPoolExecutor(max_workers=max(1, len(fresh))) as pool:
+                made = {n: pool.submit(ledger.run, n, stages[n][1], attempts) for n in fresh}
+            counts |= {n: job.result() for n, job in made.items()}
+            ran.update(fresh)
+        return {k: v for name in stages for k, v in counts[name].items()}
     finally:
         ledger.release()

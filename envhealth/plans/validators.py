@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..constants import YEAR
 from ..functions import as_date, coerce_double
 from ..operators import validate, year_bounds
+from ..sinks.versions import current
 from ..sources import footprint, read_documents, read_table
 from .daily_run import Lake
 
@@ -81,17 +82,16 @@ def validate_combined(spark: SparkSession, lake: Lake, run_date: dt.date | str)
 
 
 def validate_published(
-    spark: SparkSession, lake: Lake, run_date: dt.date | str, form: str = "parquet"
+    spark: SparkSession, lake: Lake, run_date: dt.date | str
 ) -> DataFrame:
     """Documents in all and by year, their bytes, and those that come from another run date."""
-    try:
-        table = read_documents(spark, lake.documents, form)
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
+    now = current(spark, lake.documents)
+    if now is None:
         return _exists(spark, False)
+    folder = f"{lake.documents}/{now['folder']}"
+    table = read_documents(spark, folder, now["form"])
     foreign = F.count_if(~F.col("processing_date").eqNullSafe(F.lit(as_date(run_date))))
-    size = footprint(spark, lake.documents).select(
+    size = footprint(spark, folder).select(
         F.lit("bytes").alias("check_name"),
         (F.col("bytes") > 0).alias("passed"),
         F.col("bytes").alias("value"),

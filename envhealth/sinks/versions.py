@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ VERSION = "number BIGINT, folder STRING, form STRING, documents BIGINT, replaced
 def versions(spark: SparkSession, path: str) -> DataFrame:
     """The complete versions below `path`, newest first."""
     try:
-        table = spark.read.schema(VERSION).parquet(f"{path}/_versions")
+        table = spark.read.schema(VERSION).parquet(f"{path}/versions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -43,11 +44,14 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return read_documents(spark, f"{path}/{now['folder']}", now["form"])
 
 
-def refresh(documents: DataFrame, path: str, form: str = "parquet") -> dict[str, int]:
+def refresh(
+    documents: DataFrame, path: str, form: str = "parquet", expected: Callable[[], int] | None = None
+) -> dict[str, int]:
     """Publish `documents` in place of the set before; returns both numbers of documents.
 
     Until the last step readers get the old set, and a refresh that fails leaves it. Counts are
-    those of the files that were written.
+    those of the files that were written; `expected` is asked after the write, and a set of
+    another size is not published.
     """
     spark = documents.sparkSession
     before = current(spark, path)
@@ -55,9 +59,11 @@ def refresh(documents: DataFrame, path: str, form: str = "parquet") -> dict[str,
     folder = f"v{number:06d}-{uuid.uuid4().hex}"
     write_documents(documents, f"{path}/{folder}", form)
     count = read_documents(spark, f"{path}/{folder}", form).count()
+    if expected is not None and count != (wanted := expected()):
+        raise ValueError(f"{path}: expected {wanted} documents, found {count}")
     replaced = before["documents"] if before else 0
     row = [(number, folder, form, count, replaced, time.time())]
-    spark.createDataFrame(row, VERSION).coalesce(1).write.mode("append").parquet(f"{path}/_versions")
+    spark.createDataFrame(row, VERSION).coalesce(1).write.parquet(f"{path}/versions/refresh={uuid.uuid4().hex}")
     return {"replaced": replaced, "documents": count}
 
 

@@ -6,10 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from envhealth import operators as op
-from envhealth import sources
+from envhealth import sinks
 from envhealth.plans import (
+    Busy,
     Lake,
+    Ledger,
     combine_job,
+    daily_run,
+    history_profile,
     indicators_job,
     readings_job,
     run_daily,
@@ -46,7 +50,7 @@ def lake(tmp_path):
 
 
 def published(spark, root):
-    return sources.read_documents(spark, Lake(str(root)).documents)
+    return sinks.read_current(spark, Lake(str(root)).documents)
 
 
 def test_two_dates_and_a_rerun(spark, lake, rows):
@@ -224,3 +228,42 @@ def test_empty_tables_are_told_apart(spark, lake):
         with pytest.raises(ValueError, match=f"no rows: {what}"):
             combine_job(spark, paths, "2024-06-01", scope="day")
         run_daily(spark, str(lake), "2024-06-01")
+
+
+def test_history_gives_the_figures_of_all_rows(spark, lake, rows):
+    land(lake, "2024-06-02", [30.0], time="2024-05-31")
+    land(lake, "2024-06-03", [7.0], time="2023-05-31")
+    root = str(lake)
+    for day in ("2024-06-01", "2024-06-02", "2024-06-03", "2024-06-04"):
+        run_daily(spark, root, day, scope="history")
+    found = rows(published(spark, lake))
+    assert len(found) == 3
+    run_daily(spark, root, "2024-06-04", scope="all")
+    assert rows(published(spark, lake)) == found
+    combined = spark.read.parquet(Lake(root).combined).drop("run_date")
+    profile = {r["column_name"]: r["count"] for r in history_profile(spark, Lake(root).moments).collect()}
+    assert profile["pm25_avg_yearly"] == combined.count()
+
+
+def test_a_crashed_run_is_resumed(spark, lake, monkeypatch):
+    calls = []
+    real = daily_run.publish_job
+
+    def lost(*args):
+        calls.append("publish")
+        if len(calls) < 3:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(daily_run, "publish_job", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_daily(spark, str(lake), "2024-06-01")
+    monkeypatch.setattr(daily_run, "readings_job", lambda *args: calls.append("readings"))
+    report = run_daily(spark, str(lake), "2024-06-01", resume=True)
+    assert calls == ["publish"] * 3 and report["readings"] == 2 and report["documents"] == 2
+    ledger = Ledger(spark, Lake(str(lake)).ledger, "2024-06-01")
+    assert ledger.holder() is None and set(ledger.finished()) == {"readings", "indicators", "combine", "publish"}
+    other = Ledger(spark, Lake(str(lake)).ledger, "2024-06-01")
+    other.claim()
+    with pytest.raises(Busy):
+        run_daily(spark, str(lake), "2024-06-01")
