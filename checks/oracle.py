@@ -165,6 +165,37 @@ RUN_COLUMNS = [
 ]
 
 
+_RATE = "CAST(percentage AS DOUBLE)"
+_INDICATOR_COLUMNS = ("year", "percentage", '"group"', "outcome_or_indicator", "confidence_interval")
+_MEASURED = (
+    "pm25_avg_yearly", "pm25_min_yearly", "pm25_max_yearly", "pm25_measurements_count", "daily_measurements_avg",
+)
+#: Table, check, whether it passes, figure.
+REPORTED = [
+    *[(t, "rows", "count(*) > 0", "count(*)") for t in ("indicators", "combined")],
+    *[
+        (t, "nulls_" + c.strip('"'), "true", f"count(*) - count({c})")
+        for t, columns in (("indicators", ()), ("combined", _MEASURED))
+        for c in (*_INDICATOR_COLUMNS, *columns)
+    ],
+    ("indicators", "numeric_rates", "true", f"count({_RATE})"),
+    ("indicators", "rate_min", f"min({_RATE}) >= 0", f"min({_RATE})"),
+    ("indicators", "rate_max", "true", f"max({_RATE})"),
+    ("indicators", "rate_avg", "true", f"avg({_RATE})"),
+    ("indicators", "min_year", "true", "min(year)"),
+    ("indicators", "max_year", "true", "max(year)"),
+    ("combined", "min_year", "min(year) >= 2000", "min(year)"),
+    ("combined", "max_year", "max(year) <= 2027", "max(year)"),
+    *[
+        ("combined", f"{figure}_{c}", "true", f"{function}({c})")
+        for c in _MEASURED
+        for figure, function in (
+            ("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"),
+        )
+    ],
+]
+
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
     "source_footprint": "SELECT CAST(sum(strlen(text)) + count(*) AS BIGINT) AS bytes FROM documents",
@@ -183,7 +214,8 @@ SELECT utc_datetime, city, pm25_raw FROM parsed WHERE utc_datetime IS NOT NULL""
     # A list element is a record of its own, so only the truncated payloads are broken.
     "json_landing_report": f"""WITH {PAYLOADS}
 SELECT count(*) AS records, count(*) FILTER (WHERE NOT json_valid(payload)) AS corrupt,
-       count(*) FILTER (WHERE event_type = 'view') AS with_data, CAST(0 AS BIGINT) AS accepted
+       count(*) FILTER (WHERE event_type = 'view') AS with_data,
+       count(*) FILTER (WHERE event_type = 'purchase') AS accepted
 FROM payloads""",
     "roundtrip_parquet": "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
     "readings_rejects": """SELECT CASE WHEN event_type = 'error' THEN 'status'
@@ -352,7 +384,10 @@ FROM hashed""",
 SELECT year, percentage, "group", outcome_or_indicator, confidence_interval,
        row_number() OVER (ORDER BY year, "group", h) - 1 AS _position
 FROM hashed""",
-    "document_ndjson": f"{COMBINED}SELECT '2026-01-01' AS id_date, {DOCUMENT_COLUMNS} FROM combined",
+    # A document's copies are numbered in its identifier.
+    "document_ndjson": f"""{COMBINED}SELECT '2026-01-01_hash_'
+       || CAST(row_number() OVER (PARTITION BY year, percentage, "group", outcome_or_indicator, confidence_interval) - 1 AS VARCHAR)
+       AS id_form, CAST(1 AS BIGINT) AS id_rows, {DOCUMENT_COLUMNS} FROM combined""",
     "bulk_delivery": f"""{COMBINED}SELECT count(*) FILTER (WHERE "group" <> '5-LOW') AS indexed,
        count(*) FILTER (WHERE "group" = '5-LOW') AS failed FROM combined""",
     "search_documents": f"""{COMBINED}SELECT {COMBINED_COLUMNS} FROM combined
@@ -371,7 +406,7 @@ ORDER BY year, percentage, "group", outcome_or_indicator, confidence_interval LI
     "daily_run_documents": COMBINED.replace(
         "WHERE l_shipdate IS NOT NULL AND", "WHERE l_returnflag <> 'R' AND"
     )
-    + f"SELECT {DOCUMENT_COLUMNS} FROM combined",
+    + f"SELECT '2026-01-01' AS id_date, true AS id_inside, CAST(1 AS BIGINT) AS id_rows, {DOCUMENT_COLUMNS} FROM combined",
     "stream_landing_outcomes": """SELECT CASE WHEN event_type = 'error' THEN 'status'
             WHEN event_type = 'click' THEN 'malformed'
             WHEN event_type IN ('signup', 'view') THEN 'value'
@@ -421,4 +456,21 @@ ORDER BY rank LIMIT 10""",
 SELECT 'readings' AS stage, CAST(1 AS INTEGER) AS attempt, 'done' AS state, count(*) AS count FROM readings
 UNION ALL SELECT 'indicators', 1, 'failed', NULL
 UNION ALL SELECT 'indicators', 2, 'done', count(*) FROM indicators""",
+    "report_lake": f"""{COMBINED}SELECT 'daily' AS table_name, 'exists' AS check_name, false AS passed, CAST(0 AS DOUBLE) AS figure
+UNION ALL SELECT 'indicators', 'exists', true, 1
+UNION ALL SELECT 'combined', 'exists', true, 1
+UNION ALL """
+    + _union(
+        [
+            f"SELECT '{table}', '{name}', {passed}, {_narrow(figure)} FROM {table}"
+            for table, name, passed, figure in REPORTED
+        ]
+    ),
+    "report_documents": f"""{COMBINED}, floats AS (SELECT year, CAST(CAST(pm25_avg_yearly AS FLOAT) AS DOUBLE) AS v FROM combined)
+SELECT 'exists' AS check_name, true AS passed, CAST(1 AS DOUBLE) AS figure
+UNION ALL SELECT 'documents', count(*) > 0, count(*) FROM floats
+UNION ALL SELECT 'documents_noted', true, count(*) FROM floats
+UNION ALL SELECT 'other_dates', true, 0
+UNION ALL SELECT 'mean_pm25_avg_yearly', true, {_narrow("avg(v)")} FROM floats
+UNION ALL SELECT 'documents_' || year, true, count(*) FROM floats GROUP BY year""",
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,7 +18,19 @@ from envhealth import functions as fn
 from envhealth import operators as op
 from envhealth import sinks, sources
 from envhealth.checkpoints import scratch_path
-from envhealth.plans import Lake, Ledger, history_corr, history_profile, history_years, run_daily, run_stages
+from envhealth.plans import (
+    Lake,
+    Ledger,
+    history_corr,
+    history_profile,
+    history_years,
+    report_combined,
+    report_daily,
+    report_indicators,
+    report_published,
+    run_daily,
+    run_stages,
+)
 from envhealth.plans.history import day_moments
 from envhealth.schemas import DOCUMENT, ENVELOPE, READING
 from envhealth.streaming import clean_landing, land_readings, landed_readings, landed_rejects
@@ -106,7 +118,9 @@ def scan_csv_landing(spark, sf_dir):
 @query
 def json_landing_report(spark, sf_dir):
     path = scratch_path(spark, "payloads")
-    b.payloads(spark, sf_dir).select(F.col("payload").alias("value")).write.text(path)
+    accepted = F.concat(F.lit('{"status": "ok", '), F.expr("substring(payload, 2)"))
+    landed = F.when(F.col("event_type") == "purchase", accepted).otherwise(F.col("payload"))
+    b.payloads(spark, sf_dir).select(landed.alias("value")).write.text(path)
     return sources.landing_report(sources.read_envelopes(spark, path, multi_line=False))
 
 
@@ -438,13 +452,20 @@ def document_positions(spark, sf_dir):
     return op.ordered_positions(b.indicators(spark, sf_dir), "year", "group")
 
 
+def _id_figures(documents):
+    """Whole identifiers hold a hash of numbers that engines print in their own ways: their form, and
+    how many of a document's there are."""
+    forms = F.regexp_replace("_id", "[0-9a-f]{64}", "hash")
+    same = F.count(F.lit(1)).over(Window.partitionBy("_id"))
+    return documents.withColumns({"id_form": forms, "id_rows": same}).drop("_id")
+
+
 @query
 def document_ndjson(spark, sf_dir):
     documents = op.to_documents(b.combined(spark, sf_dir), b.RUN_DATE, b.INDEXED_AT)
     schema = StructType([StructField("_id", StringType()), *DOCUMENT.fields])
     back = op.from_ndjson(op.to_ndjson(documents), schema)
-    dated = _widen(_text(back, "indexed_at", "processing_date"))
-    return dated.withColumn("_id", F.substring("_id", 1, 10)).withColumnRenamed("_id", "id_date")
+    return _id_figures(_widen(_text(back, "indexed_at", "processing_date")))
 
 
 @query
@@ -488,7 +509,13 @@ def daily_run_documents(spark, sf_dir):
     b.raw_indicators(spark, sf_dir).write.json(lake.raw_indicators(b.RUN_DATE.year))
     run_daily(spark, root, b.RUN_DATE, b.INDEXED_AT, multi_line=False)
     documents = sinks.read_current(spark, lake.documents)
-    return _widen(_text(documents.drop("_id"), "indexed_at", "processing_date"))
+    shown = _widen(_text(documents, "indexed_at", "processing_date"))
+    # Positions follow the files that the combine job wrote: 0 to the number of rows, each once.
+    place = F.split_part("_id", F.lit("_"), F.lit(2)).cast("bigint")
+    inside = place.between(0, documents.count() - 1).alias("id_inside")
+    once = F.count(F.lit(1)).over(Window.partitionBy("_id")).alias("id_rows")
+    date = F.split_part("_id", F.lit("_"), F.lit(1)).alias("id_date")
+    return shown.select(date, inside, once, *[c for c in shown.columns if c != "_id"])
 
 
 # Outcomes, arrays, history, refreshes, pages, runs
@@ -641,3 +668,33 @@ def run_ledger(spark, sf_dir):
     events = Ledger(spark, path, b.RUN_DATE).events().where("stage <> 'claim'")
     count = F.get_json_object(F.when(F.col("state") == "done", F.col("detail")), "$.count")
     return events.select("stage", "attempt", "state", count.cast("bigint").alias("count"))
+
+
+def _lake(spark, sf_dir):
+    """A lake with the indicators, combined rows and documents of a run, and no daily rows."""
+    lake = Lake(scratch_path(spark, "lake"))
+    sinks.write_table(b.indicators(spark, sf_dir), lake.indicators, b.RUN_DATE.year, "ingest_year")
+    combined = b.combined(spark, sf_dir)
+    sinks.write_table(combined, lake.combined, b.RUN_DATE)
+    sinks.refresh(op.to_documents(combined, b.RUN_DATE, b.INDEXED_AT), lake.documents)
+    return lake
+
+
+@query
+def report_lake(spark, sf_dir):
+    """Checks and figures of the tables of a lake: an absent one, indicators, combined rows."""
+    lake = _lake(spark, sf_dir)
+    parts = {
+        "daily": report_daily(spark, lake, b.RUN_DATE),
+        "indicators": report_indicators(spark, lake, b.RUN_DATE.year),
+        "combined": report_combined(spark, lake, b.RUN_DATE),
+    }
+    named = [part.select(F.lit(name).alias("table_name"), "*") for name, part in parts.items()]
+    return _narrow(named[0].union(named[1]).union(named[2]), "figure")
+
+
+@query
+def report_documents(spark, sf_dir):
+    """Checks and figures of the published documents, in all and by year."""
+    lake = _lake(spark, sf_dir)
+    return _narrow(report_published(spark, lake, b.RUN_DATE), "figure")
