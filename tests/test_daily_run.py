@@ -267,3 +267,39 @@ def test_a_crashed_run_is_resumed(spark, lake, monkeypatch):
     other.claim()
     with pytest.raises(Busy):
         run_daily(spark, str(lake), "2024-06-01")
+
+
+def test_counts_of_a_job_whose_task_died_once(lake):
+    """In a session whose tasks may fail: the report counts every record once."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import os, sys
+sys.path.insert(0, {str(Path(__file__).parent.parent)!r})
+os.environ["PYTHONPATH"] = sys.path[0]
+from pyspark.sql import SparkSession
+from envhealth.plans import Lake, daily_run
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+real = daily_run.judge_readings
+
+def dying(envelopes):
+    judged = real(envelopes)
+    def run(batches):
+        for batch in batches:
+            yield batch
+        try:
+            os.close(os.open({str(lake)!r} + "/died", os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return
+        os._exit(1)
+    return judged.mapInArrow(run, judged.schema)
+
+daily_run.judge_readings = dying
+print(daily_run.readings_job(spark, Lake({str(lake)!r}), "2024-06-02"))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=180)
+    expected = {"readings": 3, "rejected_readings": 2, "valid_readings": 1, "days": 1}
+    assert done.stdout.strip() == str(expected), done.stderr[-2000:]
+    assert (lake / "died").exists()
