@@ -77,10 +77,9 @@ def op4_quality(spark, sf_dir):
 @query
 def op5_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    held_out = (language.fold("doc_id", 3) == 1).alias("held_out")
-    model = language.train(docs.where(~F.coalesce(language.fold("doc_id", 3) == 1, F.lit(False))))
-    found = language.identify(docs, model)
-    return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
+    held_out = F.coalesce(language.fold("doc_id", 3) == 1, F.lit(False))
+    found = language.identify(docs, language.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
 @query

@@ -79,6 +79,13 @@ def test_stages_of_no_documents(spark, folder):
     assert docs.count() == 0
 
 
+@pytest.mark.parametrize("name", ["op5_language", "op12_toxicity"])
+def test_a_null_id_is_not_held_out(spark, folder, name):
+    rows = QUERIES[name](spark, folder).collect()
+    assert {r.held_out for r in rows if r.doc_id is None} == {False}
+    assert {r.held_out for r in rows} == {True, False}
+
+
 def test_everything_is_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
