@@ -138,7 +138,7 @@ def supplier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "}",
     ]
     text = F.format_string("\n".join(lines), F.col("s_name"), F.col("s_suppkey").cast("string"))
-    return table(spark, sf_dir, "supplier").select(text.alias("value"))
+    return table(spark, sf_dir, "supplier").select(text.alias("value"), F.col("s_nationkey").alias("nation"))
 
 
 def array_lines(records: DataFrame, files: int) -> DataFrame:

@@ -585,11 +585,28 @@ def scan_json_array(spark, sf_dir):
 def scan_envelope_files(spark, sf_dir):
     """Envelopes landed as one object over several lines per file."""
     path = scratch_path(spark, "files")
-    b.supplier_envelopes(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(path)
+    b.supplier_envelopes(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1).text(path)
     landed = sources.read_envelopes(spark, path, multi_line=True)
     return op.extract_readings(op.accept_status(landed))
 
 
+@query
+def landing_manifest(spark, sf_dir):
+    """Files by folder of a landing that was listed twice, the second time for new folders only; and
+    what the listed files hold."""
+    path, manifest = scratch_path(spark, "files"), scratch_path(spark, "manifest")
+    envelopes = b.supplier_envelopes(spark, sf_dir)
+    envelopes.write.partitionBy("nation").option("maxRecordsPerFile", 1).text(path)
+    folders = [f"nation={n}" for n in range(25)]
+    sources.extend_manifest(spark, path, folders[:12], manifest, files="*.txt")
+    sources.extend_manifest(spark, path, folders, manifest, files="*.txt")
+    listed = sources.read_manifest(spark, manifest)
+    readings = op.extract_readings(op.accept_status(sources.read_listed(spark, listed)))
+    held = readings.agg(F.count("city").alias("readings"), F.sum(F.col("pm25_raw").cast("bigint")).alias("total"))
+    files = listed.groupBy("folder").agg(F.count(F.lit(1)).alias("files"))
+    return files.join(F.broadcast(held))
+
+
 def _stored_moments(spark, parts):
     path = scratch_path(spark, "moments")
     parts.write.partitionBy("run_date").parquet(path)

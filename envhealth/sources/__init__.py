@@ -10,18 +10,23 @@ from .landing import (
     read_records,
     split_corrupt,
 )
+from .manifest import extend_manifest, packed, read_listed, read_manifest
 from .tables import partition_path, read_documents, read_positioned, read_table
 
 __all__ = [
     "footprint",
+    "extend_manifest",
     "landing_query",
     "landing_report",
+    "packed",
     "partition_path",
     "read_array_records",
     "read_array_texts",
     "read_csv_drop",
     "read_documents",
     "read_envelopes",
+    "read_listed",
+    "read_manifest",
     "read_positioned",
     "read_records",
     "read_table",
