@@ -473,7 +473,7 @@ UNION ALL SELECT 'documents_noted', true, count(*) FROM floats
 UNION ALL SELECT 'other_dates', true, 0
 UNION ALL SELECT 'mean_pm25_avg_yearly', true, {_narrow("avg(v)")} FROM floats
 UNION ALL SELECT 'documents_' || year, true, count(*) FROM floats GROUP BY year""",
-    "landing_manifest": """SELECT 'nation=' || s_nationkey AS folder, count(*) AS files,
-       (SELECT count(*) FROM supplier) AS readings, (SELECT CAST(sum(s_suppkey) AS BIGINT) FROM supplier) AS total
-FROM supplier GROUP BY 1""",
+    "landing_manifest": """SELECT 'nation=' || s_nationkey AS what, count(*) AS figure FROM supplier GROUP BY 1
+UNION ALL SELECT 'readings', count(*) FROM supplier
+UNION ALL SELECT 'total', CAST(sum(s_suppkey) AS BIGINT) FROM supplier""",
 }

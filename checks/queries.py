@@ -602,9 +602,10 @@ def landing_manifest(spark, sf_dir):
     sources.extend_manifest(spark, path, folders, manifest, files="*.txt")
     listed = sources.read_manifest(spark, manifest)
     readings = op.extract_readings(op.accept_status(sources.read_listed(spark, listed)))
-    held = readings.agg(F.count("city").alias("readings"), F.sum(F.col("pm25_raw").cast("bigint")).alias("total"))
-    files = listed.groupBy("folder").agg(F.count(F.lit(1)).alias("files"))
-    return files.join(F.broadcast(held))
+    held = readings.agg(F.lit("readings").alias("what"), F.count("city").alias("figure"))
+    total = readings.agg(F.lit("total").alias("what"), F.sum(F.col("pm25_raw").cast("bigint")).alias("figure"))
+    files = listed.groupBy(F.col("folder").alias("what")).agg(F.count(F.lit(1)).alias("figure"))
+    return files.union(held).union(total)
 
 
 def _stored_moments(spark, parts):
