@@ -7,6 +7,7 @@ every switch, labels its spans; the language with the most letters is the text's
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,17 +18,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import small_batches
+from .scratch import saved, small_batches
 from .words import mixed
 
 GRAM, TABLE_BITS, SMOOTHING = 3, 16, 0.3
-#: The fit takes about so many texts of a language, and so many languages, the most frequent ones.
-TEXTS_EACH, MOST_LANGUAGES = 3000, 256
+#: The fit takes about so many texts of each language.
+TEXTS_EACH = 3000
 SWITCH_PENALTY = 8.0
 #: Share of a language's letters from which a script counts as one of its scripts.
 SCRIPT_SHARE = 0.01
-#: Characters of text that are labelled together.
-PIECE_CHARS = 4 << 20
+#: Characters of text that are split together, and scores (words x languages) that are held together.
+PIECE_CHARS, CELLS = 1 << 20, 4 << 20
+#: Longer texts are cut after these. None is a letter, nor bears on how a letter is lower-cased.
+_CUT = re.compile(r"[\s,;!?，。、！？]")
 UNKNOWN = "und"
 #: First code points of ranges with a script number each; fixed values of the Unicode blocks.
 #: 0 other, 1 Latin, 2 Greek, 3 Cyrillic, 4 Armenian, 5 Hebrew, 6 Arabic, 7 Devanagari, 8 Bengali,
@@ -95,67 +98,102 @@ def split_words(texts: list[str]) -> Piece:
 
 @dataclass
 class Model:
+    """Log-likelihoods of the slots that a language was seen with, end to end; `rest` is that of any other."""
+
     languages: list[str]
-    logs: np.ndarray  # language x slot
+    slots: np.ndarray
+    logs: np.ndarray
+    bounds: np.ndarray  # language i has slots[bounds[i]:bounds[i + 1]]
+    rest: np.ndarray
     allowed: np.ndarray  # script x language
 
+    def table(self, language: int) -> np.ndarray:
+        mine = slice(self.bounds[language], self.bounds[language + 1])
+        out = np.full(1 << TABLE_BITS, self.rest[language], np.float32)
+        out[self.slots[mine]] = self.logs[mine]
+        return out
+
+
+def piece_chars(languages: int) -> int:
+    """Characters whose words, one in two characters at most, have no more than CELLS scores."""
+    return max(1 << 12, min(PIECE_CHARS, 2 * CELLS // max(1, languages)))
+
 
-def _text_pieces(column: pa.Array) -> Iterator[list[str]]:
-    held, size = [], 0
-    for text in column:
-        held.append(text.as_py() or "")
-        size += len(held[-1])
-        if size >= PIECE_CHARS:
+def _text_pieces(column: pa.Array, size: int) -> Iterator[list[str]]:
+    """Runs of texts of about `size` characters; a longer text is a run of its own."""
+    held, total = [], 0
+    for value in column:
+        text = value.as_py() or ""
+        if held and total + len(text) > size:
             yield held
-            held, size = [], 0
+            held, total = [], 0
+        held.append(text)
+        total += len(text)
     if held:
         yield held
 
 
+def _runs(text: str, size: int) -> Iterator[str]:
+    """Parts of about `size` characters that split no word; only a longer word makes a longer part."""
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + size - 1)
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
-    """A task's letter counts by language and slot; slots from the table's end on count scripts."""
+    """Letter counts by language and slot; slots from the table's end on count scripts."""
     number = {name: i for i, name in enumerate(languages)}
-    counts = np.zeros((len(languages), (1 << TABLE_BITS) + SCRIPTS), np.int64)
+    width = (1 << TABLE_BITS) + SCRIPTS
     for batch in batches:
-        names = np.array([number[n] for n in batch.column(1).to_pylist()], np.int64)
+        names = [number[n] for n in batch.column(1).to_pylist()]
         done = 0
-        for texts in _text_pieces(batch.column(0)):
-            piece = split_words(texts)
-            owner = np.repeat(names[done : done + len(texts)], np.diff(piece.bounds))
+        for texts in _text_pieces(batch.column(0), PIECE_CHARS):
+            mine = np.array(names[done : done + len(texts)], np.int64)
             done += len(texts)
-            np.add.at(counts, (np.repeat(owner, piece.sizes), piece.slots), 1)
-            np.add.at(counts, (owner, (1 << TABLE_BITS) + piece.scripts), piece.sizes)
-    lang, slot = np.nonzero(counts)
-    columns = [pa.array(lang.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(counts[lang, slot])]
-    yield pa.RecordBatch.from_arrays(columns, names=["lang", "slot", "n"])
+            parts = [[t] for t in _runs(texts[0], PIECE_CHARS)] if len(texts) == 1 else [texts]
+            for part in parts:
+                piece = split_words(part)
+                owner = np.repeat(mine, np.diff(piece.bounds)) * width
+                grams, n = np.unique(np.repeat(owner, piece.sizes) + piece.slots, return_counts=True)
+                scripts, back = np.unique(owner + (1 << TABLE_BITS) + piece.scripts, return_inverse=True)
+                letters = np.bincount(back, piece.sizes, len(scripts)).astype(np.int64)
+                cell, n = np.concatenate([grams, scripts]), np.concatenate([n, letters])
+                columns = [pa.array((cell // width).astype(np.int32)), pa.array((cell % width).astype(np.int32)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "slot", "n"])
 
 
 def train(labelled: DataFrame) -> Model:
     """A model from `labelled(doc_id, text, lang)`, on about TEXTS_EACH texts of each language.
 
-    The texts are chosen by a hash of doc_id; rows without a lang are left out. Its size is that
-    of one table per language.
+    Every lang value is learned; rows without one are left out. The texts are chosen by a hash of
+    doc_id. The model holds what these texts show: 6 bytes for each slot that a language was seen
+    with, at most TABLE_BITS of them, so it grows with the languages and not with the rows.
     """
     small_batches(labelled.sparkSession)
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
-    # Any number of spellings may occur; only the most frequent ones come to the driver.
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    sizes = sorted((r[0], r[1]) for r in sizes)
-    languages = [name for name, _ in sizes]
-    if not languages:
-        return Model([], np.zeros((0, 1 << TABLE_BITS), np.float32), np.zeros((SCRIPTS, 0), bool))
-    share = F.create_map(*[F.lit(x) for name, n in sizes for x in (name, min(1.0, TEXTS_EACH / n))])
+    sizes = saved(labelled.groupBy("lang").agg(F.count("*").alias("texts")), "languages")
+    languages = sorted(r[0] for r in sizes.select("lang").toLocalIterator())
+    width = 1 << TABLE_BITS
     draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.where(F.col("lang").isin(languages)).where(draw < F.try_element_at(share, F.col("lang")))
+    sample = labelled.join(sizes, "lang").where(draw < TEXTS_EACH / F.col("texts"))
     made = sample.select("text", "lang").mapInArrow(partial(_counted, languages=languages), "lang int, slot int, n long")
     found = made.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((len(languages), (1 << TABLE_BITS) + SCRIPTS))
-    if found.num_rows:
-        counts[found.column(0).to_numpy(), found.column(1).to_numpy()] = found.column(2).to_numpy()
-    grams, scripts = counts[:, : 1 << TABLE_BITS] + SMOOTHING, counts[:, 1 << TABLE_BITS :]
-    logs = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
+    lang, slot, n = (found.column(i).to_numpy() for i in range(3))
+    order = np.lexsort((slot, lang))
+    lang, slot, n = lang[order], slot[order], n[order].astype(np.float64)
+    k, gram = len(languages), slot < width
+    scripts = np.zeros((k, SCRIPTS))
+    scripts[lang[~gram], slot[~gram] - width] = n[~gram]
     shares = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True))
-    return Model(languages, logs, shares.T >= SCRIPT_SHARE)
+    lang, slot, n = lang[gram], slot[gram], n[gram] + SMOOTHING
+    total = np.bincount(lang, n - SMOOTHING, k) + SMOOTHING * width
+    logs = np.log(n / total[lang]).astype(np.float32)
+    rest = np.log(SMOOTHING / total).astype(np.float32)
+    bounds = np.searchsorted(lang, np.arange(k + 1))
+    return Model(languages, slot.astype(np.uint16), logs, bounds, rest, shares.T >= SCRIPT_SHARE)
 
 
 def word_scores(piece: Piece, model: Model) -> np.ndarray:
@@ -167,8 +205,8 @@ def word_scores(piece: Piece, model: Model) -> np.ndarray:
     scores = np.zeros((n, len(model.languages)), np.float32)
     if not n:
         return scores
-    for i in range(len(model.languages)):
-        scores[:, i] = np.add.reduceat(model.logs[i][piece.slots], piece.firsts)
+    for i in range(len(model.languages)):  # one table is laid out at a time
+        scores[:, i] = np.add.reduceat(model.table(i)[piece.slots], piece.firsts)
     scores -= scores.max(axis=1, keepdims=True)
     allowed = model.allowed[piece.scripts]
     some = allowed.any(axis=1, keepdims=True)
@@ -183,7 +221,7 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENA
     firsts, sizes = bounds[:-1][order], sizes[order]
     active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right") if len(sizes) else []
     stays = np.ones((n, k), bool)  # whether the best path into a state comes from the same state
-    from_best = np.zeros(n, np.int16)
+    from_best = np.zeros(n, np.int32)
     best = np.zeros((len(sizes), k), np.float32)
     for t, m in enumerate(active):
         at = firsts[:m] + t
@@ -195,48 +233,102 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENA
             best[:m] = np.where(stay, best[:m], switch[:, None]) + scores[at]
         else:
             best[:m] = scores[at]
-    path = np.zeros(n, np.int16)
-    state = np.zeros(len(sizes), np.int16)
+    path = np.zeros(n, np.int32)
+    state = np.zeros(len(sizes), np.int32)
     for t in range(len(active) - 1, -1, -1):
         m = active[t]
         at = firsts[:m] + t
         ends = sizes[:m] == t + 1
-        now = np.where(ends, best[:m].argmax(axis=1), state[:m]).astype(np.int16)
+        now = np.where(ends, best[:m].argmax(axis=1), state[:m]).astype(np.int32)
         path[at] = now
         state[:m] = np.where(stays[at, now], now, from_best[at])
     return path
 
 
+def viterbi_in_runs(runs: Iterator[np.ndarray], k: int, penalty: float = SWITCH_PENALTY) -> np.ndarray:
+    """The path of `viterbi` for one text whose scores come in runs of words, and are not held.
+
+    Back pointers stay: a bit for each word and language, and the best language before each word.
+    """
+    best: np.ndarray | None = None
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    for scores in runs:
+        stays, from_best = np.ones(scores.shape, bool), np.zeros(len(scores), np.int32)
+        for t, score in enumerate(scores):
+            if best is None:
+                best = score.copy()
+                continue
+            top = best.argmax()
+            switch = best[top] - np.float32(penalty)
+            np.greater_equal(best, switch, out=stays[t])
+            from_best[t] = top
+            best = np.maximum(best, switch) + score
+        kept.append((np.packbits(stays, axis=1), from_best))
+    paths, state = [], int(best.argmax()) if best is not None else 0
+    while kept:
+        packed, from_best = kept.pop()
+        stays = np.unpackbits(packed, axis=1, count=k)
+        path = np.empty(len(from_best), np.int32)
+        for t in range(len(path) - 1, -1, -1):
+            path[t] = state
+            if not stays[t, state]:
+                state = int(from_best[t])
+        paths.append(path)
+    return np.concatenate(paths[::-1]) if paths else np.zeros(0, np.int32)
+
+
+def _spans(path: np.ndarray, languages: list[str]) -> list[dict]:
+    edge = np.flatnonzero(np.diff(path, prepend=-1, append=-1)) if len(path) else np.zeros(1, np.int64)
+    runs = zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
+    return [{"lang": languages[path[a]], "first": a, "words": b - a} for a, b in runs]
+
+
+def label_text(text: str, model: Model, size: int) -> tuple[str, float, list[dict]]:
+    """`label` of one text in runs of about `size` characters; what is held of all is a few bytes a word."""
+    k = len(model.languages)
+    sizes: list[np.ndarray] = []
+
+    def scored() -> Iterator[np.ndarray]:
+        for part in _runs(text, size):
+            piece = split_words([part])
+            sizes.append(piece.sizes.astype(np.int32))
+            yield word_scores(piece, model)
+
+    path = viterbi_in_runs(scored(), k)
+    letters = np.bincount(path, np.concatenate(sizes), k) if len(path) else np.zeros(k)
+    total = letters.sum()
+    name = model.languages[int(letters.argmax())] if total else UNKNOWN
+    return name, float(letters.max() / max(1, total)), _spans(path, model.languages)
+
+
 def label(piece: Piece, model: Model) -> tuple[list[str], list[float], list[list[dict]]]:
     """Language, its share of the letters, and spans of words in one language, of each text."""
     texts = len(piece.bounds) - 1
     k = len(model.languages)
-    if not k:
-        return [UNKNOWN] * texts, [0.0] * texts, [[] for _ in range(texts)]
     path = viterbi(word_scores(piece, model), piece.bounds)
     owner = np.repeat(np.arange(texts), np.diff(piece.bounds))
-    letters = np.zeros((texts, k))
-    np.add.at(letters, (owner, path), piece.sizes)
+    letters = np.bincount(owner * k + path, piece.sizes, texts * k).reshape(texts, k)
     top, total = letters.argmax(axis=1), letters.sum(axis=1)
     share = letters.max(axis=1) / np.maximum(1, total)
     names = [model.languages[i] if total[t] else UNKNOWN for t, i in enumerate(top)]
-    new = np.ones(len(path) + 1, bool)
-    new[1:-1] = (path[1:] != path[:-1]) | (owner[1:] != owner[:-1])
-    edge = np.flatnonzero(new) if len(path) else np.zeros(1, np.int64)
-    spans: list[list[dict]] = [[] for _ in range(texts)]
-    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        t = owner[a]
-        spans[t].append({"lang": model.languages[path[a]], "first": a - int(piece.bounds[t]), "words": b - a})
-    return names, share.tolist(), spans
+    cuts = zip(piece.bounds[:-1].tolist(), piece.bounds[1:].tolist(), strict=True)
+    return names, share.tolist(), [_spans(path[a:b], model.languages) for a, b in cuts]
 
 
 def _labelled(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
+    known, size = model.value, piece_chars(len(model.value.languages))
     for batch in batches:
         names, shares, spans = [], [], []
-        for texts in _text_pieces(batch.column(1)):
-            for held, found in zip((names, shares, spans), label(split_words(texts), model.value), strict=True):
-                held += found
+        for texts in _text_pieces(batch.column(1), size):
+            if not known.languages:
+                found = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+            elif len(texts) == 1 and len(texts[0]) > size:
+                found = tuple([x] for x in label_text(texts[0], known, size))
+            else:
+                found = label(split_words(texts), known)
+            for held, more in zip((names, shares, spans), found, strict=True):
+                held += more
         columns = [batch.column(0), pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, span)]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "spans"])
 
@@ -247,7 +339,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     `spans` are runs of words (runs of letters, counted from 0) in one language, `score` is the
     predicted language's share of the letters. A null text, an empty one, and one without a
     letter is `und` with score 0 and no span; so is every text if nothing was learned. Languages
-    that tie go in alphabetical order. Other columns are ignored; no rows, no result rows.
+    that tie go in alphabetical order. A very long text is scored in runs of words with its path
+    carried over; memory follows the longest word, not the text. Other columns are ignored; no
+    rows, no result rows.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, lang_pred string, score double, spans array<struct<lang:string,first:int,words:int>>"

@@ -6,6 +6,8 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -29,7 +31,7 @@ from envhealth.llm import (
     words,
 )
 
-from .conftest import ODD, documents, prose
+from .conftest import ODD, WORDS, documents, prose
 
 
 def split(text):
@@ -340,6 +342,118 @@ def test_viterbi_finds_the_best_path():
         assert value(list(path[a:b]), range(a, b)) == pytest.approx(best, abs=1e-4)
 
 
+def plain_letters(text):
+    """Words of a text as (slots of their letters, first letter), one letter at a time."""
+    mask, step = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    words, word = [], ""
+    for c in text.lower() + " ":
+        if unicodedata.category(c)[0] == "L":
+            word += c
+        elif word:
+            slots = []
+            for i in range(len(word)):
+                code = 0
+                for k in range(3):
+                    code = (code * step + (ord(word[i - k]) if i >= k else 0)) & mask
+                h = (code + (i == len(word) - 1)) & mask
+                h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & mask
+                h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & mask
+                slots.append((h ^ (h >> 31)) >> 48)
+            words.append((slots, word[0]))
+            word = ""
+    return words
+
+
+def plain_script(c):
+    return [number for first, number in language.SCRIPT_RANGES if first <= ord(c)][-1]
+
+
+def plain_language(train, texts):
+    """Language and share of letters of texts; counts, scores and paths in plain Python."""
+    names = sorted({lang for _, lang in train})
+    counts, scripts = {n: Counter() for n in names}, {n: Counter() for n in names}
+    for text, lang in train:
+        for slots, first in plain_letters(text or ""):
+            counts[lang].update(slots)
+            scripts[lang][plain_script(first)] += len(slots)
+    total = {n: sum(counts[n].values()) + 0.3 * 65536 for n in names}
+    out = []
+    for text in texts:
+        words, best, back = plain_letters(text or ""), {}, []
+        for slots, first in words:
+            score = {n: sum(math.log((counts[n][s] + 0.3) / total[n]) for s in slots) for n in names}
+            top = max(score.values())
+            fits = {n: scripts[n][plain_script(first)] >= 0.01 * max(1, sum(scripts[n].values())) for n in names}
+            score = {n: (v - top - 50 * (not fits[n])) * any(fits.values()) for n, v in score.items()}
+            if best:
+                lead = max(names, key=lambda n: best[n])
+                back.append({n: n if best[n] >= best[lead] - 8 else lead for n in names})
+                best = {n: max(best[n], best[lead] - 8) + score[n] for n in names}
+            else:
+                best = score
+        letters = Counter()
+        state = max(names, key=lambda n: best[n]) if best else None
+        for i in range(len(words) - 1, -1, -1):
+            letters[state] += len(words[i][0])
+            state = back[i - 1][state] if i else None
+        lang = max(names, key=lambda n: letters[n]) if words else "und"
+        out.append((lang, letters[lang] / max(1, sum(letters.values()))))
+    return out
+
+
+def mixed_texts():
+    rng = random.Random(5)
+    kinds = {"en": None, "fr": FRENCH, "el": GREEK}
+    rows = []
+    for i in range(60):
+        lang = rng.choice(list(kinds))
+        parts = [prose(i, 25, kinds[lang] or WORDS), prose(100 + i, rng.randrange(1, 12), kinds[rng.choice(list(kinds))] or WORDS)]
+        rows.append((i, rng.choice([" ", ", ", "\u00a0", " 12 "]).join(parts), lang, "s"))
+    return rows + [(60, None, "fr", "s"), (61, "", "en", "s"), (62, "12 -- 日本", "el", "s"), (63, "ΣΑΣ ΟΔΟΣ, ΦΩΣ", "el", "s")]
+
+
+def test_language_equals_plain_scores(spark):
+    rows = mixed_texts()
+    model = language.train(documents(spark, rows))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(documents(spark, rows), model).collect()}
+    expected = plain_language([(r[1], r[2]) for r in rows], [r[1] for r in rows])
+    for r, (lang, share) in zip(rows, expected, strict=True):
+        assert got[r[0]] == (lang, pytest.approx(share)), r
+
+
+def test_every_language_is_learned(spark):
+    spell = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrstvwxz"][:300]
+    rows = [(i, " ".join([f"{w}{w}{w}", f"{w}{w}"] * 10), w, "s") for i, w in enumerate(spell)]
+    model = language.train(documents(spark, rows))
+    assert model.languages == sorted(spell)
+    assert len(model.logs) < 300 * 30
+    got = {r.doc_id: r.lang_pred for r in language.identify(documents(spark, rows), model).collect()}
+    assert sum(got[i] == w for i, w in enumerate(spell)) > 290
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 4000])
+def test_long_texts_in_runs_equal_whole_ones(spark, size):
+    rows = mixed_texts()
+    model = language.train(documents(spark, rows))
+    for text in [r[1] for r in rows if r[1]] + [" ".join(r[1] or "" for r in rows)]:
+        assert "".join(language._runs(text, size)) == text
+        name, share, spans = language.label_text(text, model, size)
+        whole = language.label(language.split_words([text]), model)
+        assert (name, spans) == (whole[0][0], whole[2][0])
+        assert share == pytest.approx(whole[1][0])
+
+
+def test_memory_of_a_very_long_text_is_bounded(spark):
+    model = language.train(documents(spark, mixed_texts()))
+    text = (prose(1, 30_000) + " " + prose(2, 30_000, FRENCH) + " ") * 3
+    tracemalloc.start()
+    name, _, spans = language.label_text(text, model, 1 << 14)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert name in ("en", "fr") and len(spans) == 6
+    assert peak < 8 * len(text)
+
+
 def test_language_of_odd_rows(odd, none):
     model = language.train(odd)
     got = language.identify(odd, model).collect()
