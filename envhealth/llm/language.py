@@ -27,8 +27,9 @@ TEXTS_EACH = 3000
 SWITCH_PENALTY = 8.0
 #: Share of a language's letters from which a script counts as one of its scripts.
 SCRIPT_SHARE = 0.01
-#: Characters of text that are split together, and scores (words x languages) that are held together.
-PIECE_CHARS, CELLS = 1 << 20, 4 << 20
+#: Characters of text that are split together, of a run of a longer text, and scores (words x languages)
+#: that are held together. Texts that are labelled together share the steps of the longest one.
+PIECE_CHARS, RUN_CHARS, CELLS = 4 << 20, 1 << 20, 8 << 20
 #: Longer texts are cut after these. None is a letter, nor bears on how a letter is lower-cased.
 _CUT = re.compile(r"[\s,;!?，。、！？]")
 UNKNOWN = "und"
@@ -153,7 +154,7 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterato
         for texts in _text_pieces(batch.column(0), PIECE_CHARS):
             mine = np.array(names[done : done + len(texts)], np.int64)
             done += len(texts)
-            parts = [[t] for t in _runs(texts[0], PIECE_CHARS)] if len(texts) == 1 else [texts]
+            parts = [[t] for t in _runs(texts[0], RUN_CHARS)] if len(texts) == 1 else [texts]
             for part in parts:
                 piece = split_words(part)
                 owner = np.repeat(mine, np.diff(piece.bounds)) * width
@@ -324,7 +325,7 @@ def _labelled(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBat
             if not known.languages:
                 found = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
             elif len(texts) == 1 and len(texts[0]) > size:
-                found = tuple([x] for x in label_text(texts[0], known, size))
+                found = tuple([x] for x in label_text(texts[0], known, min(size, RUN_CHARS)))
             else:
                 found = label(split_words(texts), known)
             for held, more in zip((names, shares, spans), found, strict=True):
