@@ -124,11 +124,11 @@ def _filter(hashes: DataFrame) -> bytes:
 
 
 def _extended(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    """Rows `(row, item_id, lo, hi)`: document words that are shared with the item around a hit."""
+    """Rows `(row, passage, lo, hi)`: document words that are shared with the passage around a hit."""
     for batch in batches:
-        row, pos, n, before, words, item, item_before, item_words = (c.to_pylist() for c in batch.columns)
+        row, pos, n, before, words, passage, item_before, item_words = (c.to_pylist() for c in batch.columns)
         out: list[tuple] = []
-        for r, p, short, i, text, it, j, other in zip(row, pos, n, before, words, item, item_before, item_words, strict=True):
+        for r, p, short, i, text, it, j, other in zip(row, pos, n, before, words, passage, item_before, item_words, strict=True):
             # Words hold no ASCII space, but may hold any other kind.
             x, y = ([w for w in t.split(" ") if w] for t in (text, other))
             size = short or GRAM
@@ -144,11 +144,26 @@ def _extended(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
                 if left + size + right < span:
                     continue
             out.append((r, it, p - left, p + size + right))
-        names, at = ["row", "item_id", "lo", "hi"], list(zip(*out, strict=True)) or [[]] * 4
-        types = [pa.int64(), batch.schema.field("item_id").type, pa.int32(), pa.int32()]
+        names, at = ["row", "passage", "lo", "hi"], list(zip(*out, strict=True)) or [[]] * 4
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(at, types, strict=True)], names=names)
 
 
+def _lists(per_doc: DataFrame, items: DataFrame, passages: DataFrame) -> DataFrame:
+    """`(passages, n_items, list)`: the items of each distinct set of passages that some document hit.
+
+    Documents with the same set share its list, however many items hold its passages.
+    """
+    named = items.where("item_id is not null").select("hash", "n", "before", "words", F.col("item_id").cast("string").alias("item"))
+    holders = named.join(passages, ["hash", "n", "before", "words"]).select("passage", "item").distinct()
+    numbered = per_doc.select("passages").distinct().withColumn("set", F.monotonically_increasing_id())
+    sets = saved(numbered, "sets")
+    each = sets.select("set", F.explode("passages").alias("passage")).join(holders, "passage")
+    listed = each.groupBy("set").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    listed = listed.select("set", F.size("items").cast("long").alias("n_items"), F.concat_ws(",", "items").alias("list"))
+    return sets.join(listed, "set").drop("set")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Benchmark words in `docs(doc_id, text)` by items of `benchmark(item_id, text)`.
 
@@ -172,14 +187,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     each = partial(_grams, key="doc_id", short=short, bitmap=bitmap, span=span, gram=gram)
     found = docs.select("doc_id", "text").mapInArrow(each, f"doc_id {doc_type}, n_words long, grams {GRAM_TYPE}")
     found = saved(found.withColumn("row", F.monotonically_increasing_id()), "grams")
+    # Items that share a passage (a hash and the words around it) are extended once, as one.
+    where = ["hash", "n", "before", "words"]
+    passages = items.groupBy(*where).agg(F.count("*").alias("items"))
+    passages = saved(passages.select(*where, F.monotonically_increasing_id().alias("passage")), "passages")
     hits = found.select("row", F.inline("grams")).join(
-        items.select("item_id", "hash", F.col("before").alias("item_before"), F.col("words").alias("item_words")), "hash"
+        passages.select("hash", "passage", F.col("before").alias("item_before"), F.col("words").alias("item_words")), "hash"
     )
-    columns = ["row", "pos", "n", "before", "words", "item_id", "item_before", "item_words"]
-    spans = hits.select(*columns).mapInArrow(partial(_extended, span=span), f"row long, item_id {item_type}, lo int, hi int")
+    columns = ["row", "pos", "n", "before", "words", "passage", "item_before", "item_words"]
+    spans = hits.select(*columns).mapInArrow(partial(_extended, span=span), "row long, passage long, lo int, hi int")
     per_doc = spans.groupBy("row").agg(
         F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
+        F.array_sort(F.collect_set("passage")).alias("passages"),
     )
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate(
@@ -191,9 +210,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
         ),
         lambda s: s["n"].cast("long"),
     )
-    per_doc = per_doc.select(
-        "row", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.concat_ws(",", "items").alias("list")
-    )
+    per_doc = saved(per_doc.select("row", covered.alias("n_hit"), "passages"), "hits")
+    lists = _lists(per_doc, items, passages)
+    per_doc = per_doc.join(lists, "passages", "left").drop("passages")
     joined = found.select("row", "doc_id", "n_words").join(per_doc, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.select(

@@ -611,6 +611,36 @@ def test_contamination_equals_brute_force(spark, odd, none):
     assert {r.n_hit for r in decontaminate.contamination(odd, bench.where("false")).collect()} == {0}
 
 
+def test_items_of_one_text_are_extended_once(spark, monkeypatch):
+    texts = ["the", prose(900, 20), prose(901, 40)]
+    items = [(i, texts[i % 3]) for i in range(900)]
+    rows = [(d, f"{prose(d, 30)} the {texts[1 + d % 2]}", "en", "s") for d in range(60)]
+    rows += [(100 + d, f"{prose(d, 9)} the end", "en", "s") for d in range(60)]
+    seen, plain = spark.sparkContext.accumulator(0), decontaminate._extended
+
+    def counted(batches, span):
+        def count():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        yield from plain(count(), span)
+
+    def extended(n_items):
+        bench = spark.createDataFrame(items[:n_items], "item_id long, text string")
+        before = seen.value
+        got = decontaminate.contamination(documents(spark, rows), bench).collect()
+        if n_items == 9:  # brute force reads every item for every document
+            expected = [(r[0], *contaminated(r[1], items[:n_items])) for r in rows]
+            assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+        assert {r.n_items for r in got if r.doc_id >= 100} == {n_items // 3}
+        assert {r.n_items for r in got if r.doc_id < 60} == {n_items // 3 * 2}
+        return seen.value - before
+
+    monkeypatch.setattr(decontaminate, "_extended", counted)
+    assert extended(9) == extended(900)
+
+
 def test_contamination_with_spaces_beyond_ascii(spark):
     rng = random.Random(10)
     spaces = ["\u0085", "\u00a0", "\u1680", "\u2003", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
