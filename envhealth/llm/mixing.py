@@ -1,8 +1,8 @@
 """Mixing sources to target weights by dependent rounding of copy counts.
 
 A source whose target is r times its size wants r copies of each of its documents. The whole
-part is taken at once; the fraction is rounded by pivotal sampling: two fractions of a source
-meet, and mass moves at random from one to the other until one is 0 or 1. The one left over
+part is taken at once, and so is what the fractions of rows that are alike add up to in whole
+copies. What is left is rounded by pivotal sampling: two fractions of a source meet, and mass moves at random from one to the other until one is 0 or 1. The one left over
 meets the next. Small blocks of a source do this in parallel, and what each leaves over meets
 again along a tree until one fraction per source remains.
 """
@@ -26,6 +26,8 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 #: Documents that meet in one block, on average at most, and blocks that meet in the next level.
 BLOCK, FAN_IN = 1024, 32
+#: Rows that are alike and written out again together.
+RUN = 1 << 18
 ROUND_OFF = 1e-9
 
 
@@ -122,11 +124,22 @@ def _level(seed: str):
     return run
 
 
+def _each_row(groups: DataFrame, run: int) -> DataFrame:
+    """`n` rows for each group, numbered by `_i`; a large group is cut into runs over all tasks."""
+    n, step, zero = F.col("n"), F.lit(run).cast("long"), F.lit(0).cast("long")
+    few = groups.where(n <= step).withColumn("_first", zero)
+    many = groups.where(n > step).withColumn("_first", F.explode(F.sequence(zero, n - 1, step)))
+    many = many.repartition(shuffle_tasks(groups.sparkSession), "doc_id", "size", "_first")
+    numbers = F.sequence("_first", F.least(F.col("_first") + step, n) - 1)
+    return few.unionByName(many).withColumn("_i", F.explode(numbers)).drop("_first")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
     most: int = MOST_COPIES,
     seed: int = 1,
+    run: int = RUN,
 ) -> DataFrame:
     """`(doc_id, source, size, source_size, target, copies)`, one row per document.
 
@@ -134,21 +147,26 @@ def mix(
     stops at `most` times the source's size. `copies` is 0 to `most`; a source's taken words miss its
     target by at most half of one of its documents.
     The draw depends on `seed`, sources, sizes and ids only, so that reruns agree; of repeated
-    rows that are alike it is not said which is taken. A null or empty text has size 0 and is
+    rows that are alike it is not said which is taken; they cost what one row does until they are
+    written out again, `run` rows at a time. A null or empty text has size 0 and is
     never taken; if all texts are empty every target is 0. A null doc_id is a value like any other.
     Other columns are ignored; no rows, no result rows.
     """
     spark = docs.sparkSession
-    sized = saved(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
-    targets = source_targets(sized, weights, most)
+    sized = docs.select("doc_id", "source", word_count("text").alias("size"))
+    alike = saved(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")), "sizes")
+    targets = source_targets(alike.select("source", (F.col("size") * F.col("n")).alias("size")), weights, most)
     wants = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     info = targets.withColumnRenamed("source", "_source")
-    full = sized.join(info, sized["source"].eqNullSafe(info["_source"])).drop("_source")
+    full = alike.join(info, alike["source"].eqNullSafe(info["_source"])).drop("_source")
     full = full.withColumn("_wants", wants).withColumn("whole", F.floor(F.col("_wants") + ROUND_OFF))
-    chance = F.greatest(F.col("_wants") - F.col("whole"), F.lit(0.0))
-    blocks = 1 << max(0, ceil(log2(max(1, sized.count() / BLOCK))))
-    spread = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(blocks))
-    columns = ["doc_id", "source", "size", "source_size", "target", "whole"]
+    full = full.withColumn("_mass", F.greatest(F.col("_wants") - F.col("whole"), F.lit(0.0)) * F.col("n"))
+    # Of n alike rows `more` get one copy above `whole`; the rest of their mass is one row's chance.
+    full = full.withColumn("more", F.floor(F.col("_mass") + ROUND_OFF))
+    chance = F.greatest(F.col("_mass") - F.col("more"), F.lit(0.0))
+    blocks = 1 << max(0, ceil(log2(max(1, alike.count() / BLOCK))))
+    spread = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(blocks))
+    columns = ["doc_id", "source", "size", "n", "source_size", "target", "whole", "more"]
     rows = saved(full.select(*columns, chance.alias("chance"), spread.alias("block")), "chances")
     is_open = (F.col("chance") > 0) & (F.col("chance") < 1)
     done, left, level = [rows.where(~is_open)], rows.where(is_open), 0
@@ -165,6 +183,6 @@ def mix(
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("chance")).cast("int").alias("copies")
-    )
+    chosen = F.col("_i") < F.col("more") + F.col("chance")
+    copies = (F.col("whole") + chosen.cast("int")).cast("int").alias("copies")
+    return _each_row(out, run).select("doc_id", "source", "size", "source_size", "target", copies)

@@ -110,6 +110,31 @@ def test_pivot_keeps_the_sum_and_the_chances():
     assert np.allclose(hits / 4000, 0.3, atol=0.03)
 
 
+@pytest.mark.parametrize("run", [7, 1 << 18])
+def test_mixing_with_one_id_in_a_third_of_the_rows(spark, monkeypatch, run):
+    rows = [(7, prose(1, 11), "en", f"s{i % 2}") for i in range(1500)]
+    rows += [(7, prose(i, 5 + i % 60), "en", "s1") for i in range(1500)]
+    rows += [(100 + i, prose(i, 5 + i % 60), "en", f"s{i % 3}") for i in range(1500)]
+    docs, blocks = documents(spark, rows), spark.sparkContext.accumulator(0)
+    plain = mixing.pivot
+
+    def counted(sizes, chances, rand):
+        blocks.add(len(sizes))
+        return plain(sizes, chances, rand)
+
+    monkeypatch.setattr(mixing, "pivot", counted)
+    got = mixing.mix(docs, run=run).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in got) == Counter((r[0], r[3], len(split(r[1]))) for r in rows)
+    assert 0 < blocks.value < 2400  # alike rows meet as one
+    assert sorted(got) == sorted(mixing.mix(docs.repartition(3), run=run).collect())
+    for source in ("s0", "s1", "s2"):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.copies * r.size for r in mine) - mine[0].target) <= 64
+        assert {r.copies for r in mine} <= {0, 1, 2, 3}
+        alike = [r.copies for r in mine if (r.doc_id, r.size) == (7, 11)]
+        assert not alike or max(alike) - min(alike) <= 1
+
+
 def test_mixing_of_odd_rows(odd, none):
     got = mixing.mix(odd).collect()
     assert len(got) == len(ODD)
