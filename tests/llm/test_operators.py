@@ -299,6 +299,36 @@ def test_recall_of_fingerprints_by_edited_words(spark):
 # 4 quality
 
 
+def test_gradient_of_grades_equals_differences_of_a_plain_loss():
+    rng = random.Random(4)
+    rows = [(rng.randrange(3), rng.sample(range(6), rng.randrange(1, 5))) for _ in range(40)]
+    rows = [(g, at, [rng.choice([0.5, 1.0, 2.0]) for _ in at]) for g, at in rows]
+    weights, thresholds = [rng.uniform(-1, 1) for _ in range(6)], [-0.7, 0.9]
+
+    def loss(w, t):
+        out = 0.0
+        for g, at, values in rows:
+            score = sum(w[i] * v for i, v in zip(at, values, strict=True))
+            below = [0.0, *(1 / (1 + math.exp(score - x)) for x in t), 1.0]
+            out -= math.log(below[g + 1] - below[g])
+        return out
+
+    def slopes(x, of):
+        moved = [[[y + d * (i == j) for j, y in enumerate(x)] for d in (-1e-5, 1e-5)] for i in range(len(x))]
+        return [(of(low) - of(high)) / 2e-5 for low, high in moved]  # of the likelihood
+
+    types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float32())]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    whole = pa.RecordBatch.from_arrays(columns, names=["grade", "slots", "values"])
+    model = quality.Model(np.arange(6), np.array(weights, np.float32), np.array(thresholds))
+    shared = type("Shared", (), {"value": model})
+    [made] = quality._gradient(iter([whole.slice(0, 15), whole.slice(15)]), shared)
+    grad, bends, found, n = (c[0].as_py() for c in made.columns)
+    assert n == 40 and found == pytest.approx(loss(weights, thresholds), rel=1e-4)
+    assert np.frombuffer(grad, np.float32) == pytest.approx(slopes(weights, lambda w: loss(w, thresholds)), abs=1e-3)
+    assert bends == pytest.approx(slopes(thresholds, lambda t: loss(weights, t)), abs=1e-3)
+
+
 def test_quality_by_held_out_accuracy(spark, none):
     rng = random.Random(1)
     rows, grades = [], []
