@@ -747,6 +747,38 @@ def test_url_rules_and_models(spark):
 # 10 language model
 
 
+def plain_url_score(url, counts, backoff=4.0, order=5):
+    """Log-likelihood difference per byte from counts of (kind, context, next byte)."""
+    data, out = url.encode(), 0.0
+    for i, byte in enumerate(data):
+        for kind, sign in ((True, 1), (False, -1)):
+            p = 1 / 256
+            for k in range(order):
+                before = tuple(data[j] if j >= 0 else None for j in range(i - k, i))
+                n, total = counts[kind, before, byte], counts[kind, before]
+                p = (n + backoff * p) / (total + backoff)
+            out += sign * math.log(p)
+    return out / max(1, len(data))
+
+
+def test_url_scores_equal_plain_counts(spark):
+    rng = random.Random(3)
+    kinds = {True: "maison forêt papier".split(), False: "casino spin win".split()}
+    labelled = [(f"http://a.{rng.choice('xyz')}/{rng.choice(kinds[k])}{rng.randrange(9)}", k) for k in (True, False) * 12]
+    counts = Counter()
+    for url, kind in labelled:
+        data = url.encode()
+        for i, byte in enumerate(data):
+            for k in range(5):
+                before = tuple(data[j] if j >= 0 else None for j in range(i - k, i))
+                counts[kind, before, byte] += 1
+                counts[kind, before] += 1
+    tables, _ = url_filter.train(spark, spark.createDataFrame([*labelled, (None, True)], "url string, accepted boolean"))
+    urls = [labelled[0][0], "http://a.x/casino", "http://b.org/été", "q", "", None]
+    got = url_filter.url_scores(pa.array(urls), tables)
+    assert got == pytest.approx([plain_url_score(u or "", counts) for u in urls], abs=1e-5)
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(3)
     for universe in (1, 50, 10**4, 2**50):
