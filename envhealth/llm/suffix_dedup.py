@@ -7,6 +7,10 @@ neighbour, so two comparisons bound how far its matches may extend right. Where
 words to the left reach MATCH words, matches are extended left and right: every window of MATCH
 words around the gram within the bound is looked up among the others, and all but its first
 occurrence, in the order of documents and positions, are repeats.
+
+Tasks hold ranges of that order, so that a gram of any size is split. Each finds the first
+occurrences among its own suffixes; for the two grams that a range may share with others, those
+are then compared among all ranges.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import winnowed
+from .hot_keys import join_counted
 from .scratch import free_name, saved, shuffle_tasks, small_batches
 from .words import NOT_SPACE, find_words, mixed, pieces, powers
 
@@ -88,7 +93,11 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _bounded(side: str, name: str):
-    """Adds `name`: the longest match on `side` of each sorted suffix with a neighbour of its gram."""
+    """Adds `name`: the longest match on `side` of each sorted suffix with a neighbour of its gram.
+
+    The neighbours of a task's first and last suffix may be in other tasks, so they may match as
+    far as their words go.
+    """
 
     def lengths(rows: pa.Table) -> np.ndarray:
         m = _matrix(rows.column(side))
@@ -100,7 +109,7 @@ def _bounded(side: str, name: str):
         return np.where(gram[1:] == gram[:-1], match, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before = None, -1  # the last row so far, and its match with the row before it
+        held, before = None, SIDE  # the last row so far, and its match with the row before it
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -108,24 +117,62 @@ def _bounded(side: str, name: str):
             rows = rows if held is None else pa.concat_tables([held, rows])
             match = lengths(rows)
             both = np.maximum(np.concatenate([[before], match]), np.concatenate([match, [-1]]))
+            both = np.minimum(both, rows.column(f"{side}_words").to_numpy())
             out = rows.append_column(name, pa.array(both.astype(np.int32)))
             # The last row waits for its next neighbour.
             yield from out.slice(0, rows.num_rows - 1).combine_chunks().to_batches()
             held, before = rows.slice(rows.num_rows - 1), int(match[-1]) if len(match) else before
         if held is not None:
-            yield from held.append_column(name, pa.array([before], pa.int32())).combine_chunks().to_batches()
+            yield from held.append_column(name, held.column(f"{side}_words")).combine_chunks().to_batches()
 
     return run
 
 
+#: `window` is null for repeats that are settled; else the repeat's last window, still to be compared
+#: with other tasks, or, where `first`, a window that has not occurred before in this task.
+MATCHES = "gram long, key long, pos int, lo int, hi int, first_doc_id {}, window long, first boolean"
+
+
 def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
-    """Repeated words `(key, lo, hi, first_doc_id)` of suffixes sorted by gram, document, position."""
-    seen: dict[str, np.ndarray] | None = None  # windows of the gram that the last chunk ended in
+    """MATCHES of suffixes sorted by gram, document, position.
 
-    def extend(rows: pa.Table) -> pa.RecordBatch:
-        nonlocal seen
+    Only the first and the last gram of a task can have suffixes in other tasks. Their repeats
+    wait for the comparison of first occurrences; all others are settled here.
+    """
+    opening = None  # the task's first gram
+    tail = None  # the gram that the last chunk ended in
+    seen: dict[str, np.ndarray] = {}  # first occurrences of the tail's windows
+    pending: list[pa.RecordBatch] = []  # repeats of the tail
+
+    def matches(gram, key, pos, lo, hi, doc, window, first: bool) -> pa.RecordBatch:
+        columns = [
+            pa.array(gram), pa.array(key), pa.array(pos.astype(np.int32)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
+            pa.array(doc.tolist(), id_type), pa.array(window.view(np.int64)), pa.array(np.full(len(key), first)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def settled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        blank = {"gram": pa.int64(), "pos": pa.int32(), "window": pa.int64()}
+        return pa.RecordBatch.from_arrays([pa.nulls(len(batch), blank[n]) if n in blank else batch.column(n) for n in names], names=names)
+
+    def close(gram: int, repeats: list[pa.RecordBatch], first: dict[str, np.ndarray], shared: bool) -> Iterator[pa.RecordBatch]:
+        if not shared:
+            yield from map(settled, repeats)
+            return
+        yield from repeats
+        for a in range(0, len(first.get("value", ())), chunk):
+            f = {name: x[a : a + chunk] for name, x in first.items()}
+            grams = np.full(len(f["value"]), gram)
+            yield matches(grams, f["key"], f["pos"], f["start"], f["start"] + MATCH, f["doc"], f["value"], True)
+
+    def extend(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        nonlocal opening, tail, seen, pending
         gram, key, pos = (rows.column(c).to_numpy() for c in ("gram", "key", "pos"))
-        doc = rows.column("doc_id").combine_chunks()
+        opening = gram[0] if opening is None else opening
+        if tail is not None and tail != gram[0]:
+            yield from close(tail, pending, seen, tail == opening)
+            seen, pending = {}, []
+        docs = np.array(rows.column("doc_id").to_pylist(), object)
         left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in ("left_words", "right_most"))
         sums = []
         for side, step in (("left", _LEFT), ("right", _RIGHT)):
@@ -137,41 +184,71 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
         value = mixed(windows[row, l] ^ gram.view(np.uint64)[row])
         start = pos[row] - l
         one, at, back = np.unique(value, return_index=True, return_inverse=True)
-        first = {"value": one, "key": key[row[at]], "start": start[at], "doc": np.array(doc.to_pylist(), object)[row[at]]}
-        if seen is not None and len(one):
+        owner = row[at]
+        first = {"value": one, "gram": gram[owner], "key": key[owner], "pos": pos[owner], "start": start[at], "doc": docs[owner]}
+        if seen:
             place = np.minimum(np.searchsorted(seen["value"], one), len(seen["value"]) - 1)
             old = seen["value"][place] == one
-            for name in ("key", "start", "doc"):
-                first[name][old] = seen[name][place[old]]
+            first = {name: np.where(old, seen[name][place], x) for name, x in first.items()}
         again = (first["key"][back] != key[row]) | (first["start"][back] != start)
-        last = gram[row[at]] == gram[-1] if len(row) else np.zeros(0, bool)
-        tail = {name: x[last] for name, x in first.items()}
-        if seen is not None and len(gram) and gram[0] == gram[-1]:
-            more = ~np.isin(seen["value"], tail["value"])
-            order = np.argsort(np.concatenate([tail["value"], seen["value"][more]]))
-            tail = {name: np.concatenate([x, seen[name][more]])[order] for name, x in tail.items()}
-        seen = tail if len(tail["value"]) else None
         hit = np.flatnonzero(again)
         edge = np.flatnonzero(np.diff(row[hit], prepend=-1)) if len(hit) else np.zeros(0, np.int64)
         # All windows of a suffix hold its gram, so their union is one run of words.
         lo = np.minimum.reduceat(start[hit], edge) if len(hit) else hit
         hi = np.maximum.reduceat(start[hit], edge) + MATCH if len(hit) else hit
-        source = first["doc"][back[hit[edge]]].tolist() if len(hit) else []
-        mine = row[hit[edge]] if len(hit) else hit
-        columns = [pa.array(key[mine]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(source, doc.type)]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "lo", "hi", "first_doc_id"])
-
+        # Windows of a row are in order of the words to their left, so its first is the rightmost.
+        end = hit[edge]
+        mine = row[end]
+        found = matches(gram[mine], key[mine], pos[mine], lo, hi, first["doc"][back[end]], value[end], False)
+        if seen:
+            more = ~np.isin(seen["value"], one)
+            order = np.argsort(np.concatenate([one, seen["value"][more]]))
+            first = {name: np.concatenate([x, seen[name][more]])[order] for name, x in first.items()}
+
+        def of(g: int) -> dict[str, np.ndarray]:
+            own = first["gram"] == g
+            return {name: x[own] for name, x in first.items()}
+
+        ends = np.searchsorted(gram[mine], [gram[0], gram[-1]], "right"), np.searchsorted(gram[mine], gram[-1])
+        if gram[0] != gram[-1]:
+            head, last = int(ends[0][0]), int(ends[1])
+            yield from close(gram[0], [*pending, found.slice(0, head)], of(gram[0]), gram[0] == opening)
+            yield settled(found.slice(head, last - head))
+            pending, found = [], found.slice(last)
+        pending.append(found)
+        tail, seen = gram[-1], of(gram[-1])
+        seen = seen if len(seen["value"]) else {}
+
+    names = [c.split()[0] for c in MATCHES.split(", ")]
+    id_type = None
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
         if batch.num_rows:
+            id_type = batch.schema.field("doc_id").type
             held.append(pa.Table.from_batches([batch]))
             size += batch.num_rows
             if size >= chunk:
-                yield extend(pa.concat_tables(held))
+                yield from extend(pa.concat_tables(held))
                 held, size = [], 0
     if held:
-        yield extend(pa.concat_tables(held))
+        yield from extend(pa.concat_tables(held))
+    if tail is not None:
+        yield from close(tail, pending, seen, True)
+
+
+def _settled(matches: DataFrame) -> DataFrame:
+    """Repeats `(key, lo, hi, first_doc_id)`, with windows that several tasks hold compared among all of them."""
+    open_ = matches.where("window is not null")
+    occurrence = F.struct(F.col("first_doc_id").isNull().alias("none"), "first_doc_id", "key", "lo")
+    firsts = open_.groupBy("window").agg(F.min(F.when(F.col("first"), occurrence)).alias("least"), F.count("*").alias("n"))
+    compared = join_counted(open_, saved(firsts, "firsts"), "window", F.struct("key", "pos"))
+    # A task's own repeats remain repeats; its first occurrences are, unless they are the first of all.
+    repeats = compared.where(~F.col("first") | (F.col("key") != F.col("least.key")) | (F.col("lo") != F.col("least.lo")))
+    last = F.max_by("least.first_doc_id", "hi").alias("first_doc_id")
+    runs = repeats.groupBy("key", "gram", "pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), last)
+    columns = ("key", "lo", "hi", "first_doc_id")
+    return matches.where("window is null").select(*columns).unionByName(runs.select(*columns))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,22 +275,27 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     before in the text; `first_doc_ids` are the documents of such first occurrences. Null, empty
     and shorter texts have no repeats. Rows that agree in doc_id and text are one document and
     do not repeat each other. Other columns are ignored; no rows, no result rows.
+
+    Words are compared by 32 bits of their hashes and windows by 64. A task holds the windows of
+    its own part of one gram; Spark's sample for the ranges, about 200 bytes for each of 100
+    suffixes a task and a million at most, is on the driver.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     grams = rows.select("key", "text").mapInArrow(_grams, "gram long, key long")
-    again = grams.groupBy("gram").count().where("count > 1").select("gram")
-    wanted = grams.join(again, "gram").groupBy("key").agg(F.collect_set("gram").alias("wanted"))
+    again = saved(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    wanted = join_counted(grams, again, "gram", F.col("key")).groupBy("key").agg(F.collect_set("gram").alias("wanted"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     suffix = SUFFIX.format(id_type)
     found = rows.join(wanted, "key").select("key", "doc_id", "text", "wanted").mapInArrow(_suffixes, suffix)
-    dealt = found.repartition(shuffle_tasks(spark), "gram")
-    # One gram's suffixes stay in one task for two sorts, which spill; none is held as a whole.
+    # Ranges split a gram by what follows it, and equal suffixes by their documents.
+    dealt = found.repartitionByRange(shuffle_tasks(spark), "gram", "right", "key", "pos")
+    # The two sorts spill; no task holds its range as a whole.
     right = dealt.sortWithinPartitions("gram", "right").mapInArrow(_bounded("right", "right_most"), f"{suffix}, right_most int")
     able = right.where((F.col("right_most") >= 0) & (F.col("left_words") + F.col("right_most") >= SIDE))
     ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
-    spans = ordered.mapInArrow(partial(_extended, chunk=chunk), f"key long, lo int, hi int, first_doc_id {id_type}")
+    spans = _settled(saved(ordered.mapInArrow(partial(_extended, chunk=chunk), MATCHES.format(id_type)), "matches"))
     per_doc = spans.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"),
         F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),

@@ -30,6 +30,7 @@ from envhealth.llm import (
     url_filter,
     words,
 )
+from envhealth.llm.hot_keys import join_counted
 
 from .conftest import ODD, WORDS, documents, prose
 
@@ -564,6 +565,42 @@ def test_repeats_equal_brute_force(spark, chunk):
     }
 
 
+@pytest.mark.parametrize("n", [150, 450])
+def test_a_passage_in_every_row_is_split(spark, monkeypatch, n):
+    passage = prose(77, 60).split()
+    rows = [(d, " ".join(prose(5000 + d, d % 7 * 10).split() + passage + prose(9000 + d % 40, 45).split()), "en", "s") for d in range(n)]
+    rows += [(n + d, " ".join(passage * 2), "en", "s") for d in range(10)]
+    shares = []
+    whole = suffix_dedup.saved
+
+    def kept(df, name):
+        out = whole(df, name)
+        if name == "matches":
+            sizes = [r["count"] for r in out.where("pos is not null or not first").groupBy(F.input_file_name()).count().collect()]
+            shares.append(max(sizes) / sum(sizes))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "saved", kept)
+    docs = documents(spark, rows)
+    assert spans_by_id(docs, 100) == repeats([r[:2] for r in rows])
+    assert shares[0] < 0.5  # no task finds most of the repeats
+    sources = {r.key: r.first_doc_ids for r in suffix_dedup.repeated_spans(docs).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert {r.key: r.first_doc_ids for r in suffix_dedup.repeated_spans(docs, 50).collect()} == sources
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_counted_joins_of_hot_keys_lose_no_row(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
+    counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most")).where("k < 40")
+    found = join_counted(rows.union(spark.sql("select null, 1")), counted, "k", F.col("id"))
+    plain = rows.join(counted.drop("n"), "k")
+    assert found.columns == plain.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_repeats_of_odd_rows(odd, none):
     assert spans_by_id(odd) == repeats([r[:2] for r in ODD])
     cut = suffix_dedup.without_repeats(odd)
