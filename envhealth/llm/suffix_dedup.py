@@ -128,9 +128,11 @@ def _bounded(side: str, name: str):
     return run
 
 
-#: `window` is null for repeats that are settled; else the repeat's last window, still to be compared
-#: with other tasks, or, where `first`, a window that has not occurred before in this task.
-MATCHES = "gram long, key long, pos int, lo int, hi int, first_doc_id {}, window long, first boolean"
+#: Repeats of suffixes, those with one last window in one row. `window` is null where they are settled; else
+#: it is still to be compared with other tasks. With `key` and `start`, the row is no repeat of its task
+#: but the window's first occurrence there.
+REPEATS = "array<struct<key:long,pos:int,lo:int,hi:int>>"
+MATCHES = "gram long, window long, first_doc_id {}, key long, start int, repeats " + REPEATS
 
 
 def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
@@ -139,21 +141,24 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
     Only the first and the last gram of a task can have suffixes in other tasks. Their repeats
     wait for the comparison of first occurrences; all others are settled here.
     """
+    names = [c.split()[0] for c in MATCHES.split(", ")]
+    id_type = None
     opening = None  # the task's first gram
     tail = None  # the gram that the last chunk ended in
     seen: dict[str, np.ndarray] = {}  # first occurrences of the tail's windows
     pending: list[pa.RecordBatch] = []  # repeats of the tail
 
-    def matches(gram, key, pos, lo, hi, doc, window, first: bool) -> pa.RecordBatch:
+    def matches(gram, window, doc, key, start, bounds, repeats) -> pa.RecordBatch:
+        fields = [pa.array(x.astype(t)) for x, t in zip(repeats, (np.int64, np.int32, np.int32, np.int32), strict=True)]
+        rows = pa.StructArray.from_arrays(fields, names=["key", "pos", "lo", "hi"])
         columns = [
-            pa.array(gram), pa.array(key), pa.array(pos.astype(np.int32)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
-            pa.array(doc.tolist(), id_type), pa.array(window.view(np.int64)), pa.array(np.full(len(key), first)),
+            pa.array(gram), pa.array(window.view(np.int64)), pa.array(doc.tolist(), id_type), key, start,
+            pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), rows),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def settled(batch: pa.RecordBatch) -> pa.RecordBatch:
-        blank = {"gram": pa.int64(), "pos": pa.int32(), "window": pa.int64()}
-        return pa.RecordBatch.from_arrays([pa.nulls(len(batch), blank[n]) if n in blank else batch.column(n) for n in names], names=names)
+        return batch.set_column(1, "window", pa.nulls(len(batch), pa.int64()))
 
     def close(gram: int, repeats: list[pa.RecordBatch], first: dict[str, np.ndarray], shared: bool) -> Iterator[pa.RecordBatch]:
         if not shared:
@@ -162,8 +167,9 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
         yield from repeats
         for a in range(0, len(first.get("value", ())), chunk):
             f = {name: x[a : a + chunk] for name, x in first.items()}
-            grams = np.full(len(f["value"]), gram)
-            yield matches(grams, f["key"], f["pos"], f["start"], f["start"] + MATCH, f["doc"], f["value"], True)
+            n, start = len(f["value"]), f["start"]
+            own = (f["key"], f["pos"], start, start + MATCH)
+            yield matches(np.full(n, gram), f["value"], f["doc"], pa.array(f["key"]), pa.array(start.astype(np.int32)), np.arange(n + 1), own)
 
     def extend(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         nonlocal opening, tail, seen, pending
@@ -190,16 +196,21 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
             place = np.minimum(np.searchsorted(seen["value"], one), len(seen["value"]) - 1)
             old = seen["value"][place] == one
             first = {name: np.where(old, seen[name][place], x) for name, x in first.items()}
-        again = (first["key"][back] != key[row]) | (first["start"][back] != start)
-        hit = np.flatnonzero(again)
+        hit = np.flatnonzero((first["key"][back] != key[row]) | (first["start"][back] != start))
         edge = np.flatnonzero(np.diff(row[hit], prepend=-1)) if len(hit) else np.zeros(0, np.int64)
         # All windows of a suffix hold its gram, so their union is one run of words.
         lo = np.minimum.reduceat(start[hit], edge) if len(hit) else hit
         hi = np.maximum.reduceat(start[hit], edge) + MATCH if len(hit) else hit
         # Windows of a row are in order of the words to their left, so its first is the rightmost.
         end = hit[edge]
-        mine = row[end]
-        found = matches(gram[mine], key[mine], pos[mine], lo, hi, first["doc"][back[end]], value[end], False)
+        order = np.lexsort((back[end], gram[row[end]]))
+        end, lo, hi = end[order], lo[order], hi[order]
+        mine, window = row[end], back[end]
+        group = np.flatnonzero(np.diff(window, prepend=-1))
+        like = window[group]
+        none = [pa.nulls(len(group), t) for t in (pa.int64(), pa.int32())]
+        found_gram = gram[mine[group]]
+        found = matches(found_gram, one[like], first["doc"][like], *none, np.append(group, len(end)), (key[mine], pos[mine], lo, hi))
         if seen:
             more = ~np.isin(seen["value"], one)
             order = np.argsort(np.concatenate([one, seen["value"][more]]))
@@ -207,20 +218,16 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
 
         def of(g: int) -> dict[str, np.ndarray]:
             own = first["gram"] == g
-            return {name: x[own] for name, x in first.items()}
+            return {name: x[own] for name, x in first.items()} if own.any() else {}
 
-        ends = np.searchsorted(gram[mine], [gram[0], gram[-1]], "right"), np.searchsorted(gram[mine], gram[-1])
         if gram[0] != gram[-1]:
-            head, last = int(ends[0][0]), int(ends[1])
+            head, last = int(np.searchsorted(found_gram, gram[0], "right")), int(np.searchsorted(found_gram, gram[-1]))
             yield from close(gram[0], [*pending, found.slice(0, head)], of(gram[0]), gram[0] == opening)
             yield settled(found.slice(head, last - head))
             pending, found = [], found.slice(last)
         pending.append(found)
         tail, seen = gram[-1], of(gram[-1])
-        seen = seen if len(seen["value"]) else {}
 
-    names = [c.split()[0] for c in MATCHES.split(", ")]
-    id_type = None
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
@@ -237,33 +244,38 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
         yield from close(tail, pending, seen, True)
 
 
-def _settled(matches: DataFrame) -> DataFrame:
-    """Repeats `(key, lo, hi, first_doc_id)`, with windows that several tasks hold compared among all of them."""
+def _compared(matches: DataFrame) -> DataFrame:
+    """`(first_doc_id, repeats)`: windows that several tasks may hold are compared among all of them."""
     open_ = matches.where("window is not null")
-    occurrence = F.struct(F.col("first_doc_id").isNull().alias("none"), "first_doc_id", "key", "lo")
-    firsts = open_.groupBy("window").agg(F.min(F.when(F.col("first"), occurrence)).alias("least"), F.count("*").alias("n"))
-    compared = join_counted(open_, saved(firsts, "firsts"), "window", F.struct("key", "pos"))
+    here = F.when(F.col("key").isNotNull(), F.struct(F.col("first_doc_id").isNull().alias("none"), "first_doc_id", "key", "start"))
+    # A window of one row is its own first occurrence, and nothing repeats it.
+    firsts = open_.groupBy("window").agg(F.min(here).alias("least"), F.count("*").alias("n")).where("n > 1")
+    compared = join_counted(open_, saved(firsts, "firsts"), "window", F.col("repeats")[0])
     # A task's own repeats remain repeats; its first occurrences are, unless they are the first of all.
-    repeats = compared.where(~F.col("first") | (F.col("key") != F.col("least.key")) | (F.col("lo") != F.col("least.lo")))
-    last = F.max_by("least.first_doc_id", "hi").alias("first_doc_id")
-    runs = repeats.groupBy("key", "gram", "pos").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), last)
-    columns = ("key", "lo", "hi", "first_doc_id")
-    return matches.where("window is null").select(*columns).unionByName(runs.select(*columns))
+    repeats = compared.where("key is null or key != least.key or start != least.start")
+    columns = (F.col("least.first_doc_id").alias("first_doc_id"), "repeats")
+    return matches.where("window is null").select("first_doc_id", "repeats").unionByName(repeats.select(*columns))
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Spans that meet as one, and for each suffix the first document of its last window."""
     for batch in batches:
-        out = []
-        for spans in batch.column(1).to_pylist():
+        out, firsts = [], []
+        for found in batch.column(1).to_pylist():
+            last: dict[int, tuple] = {}
             runs: list[list[int]] = []
-            for s in spans:
+            for s in found:  # in order of `lo`
+                if s["pos"] not in last or s["hi"] > last[s["pos"]][0]:
+                    last[s["pos"]] = s["hi"], s["first_doc_id"]
                 if runs and s["lo"] <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], s["hi"])
                 else:
                     runs.append([s["lo"], s["hi"]])
             out.append([{"lo": a, "hi": b} for a, b in runs])
-        columns = [batch.column(0), pa.array(out, batch.schema.field("spans").type), batch.column(2)]
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            firsts.append(sorted({d for _, d in last.values() if d is not None}))
+        span = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        columns = [batch.column(0), pa.array(out, span), pa.array(firsts, pa.list_(id_type))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "spans", "first_doc_ids"])
 
 
 def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -295,13 +307,14 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     right = dealt.sortWithinPartitions("gram", "right").mapInArrow(_bounded("right", "right_most"), f"{suffix}, right_most int")
     able = right.where((F.col("right_most") >= 0) & (F.col("left_words") + F.col("right_most") >= SIDE))
     ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
-    spans = _settled(saved(ordered.mapInArrow(partial(_extended, chunk=chunk), MATCHES.format(id_type)), "matches"))
-    per_doc = spans.groupBy("key").agg(
-        F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"),
-        F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),
+    matches = saved(ordered.mapInArrow(partial(_extended, chunk=chunk), MATCHES.format(id_type)), "matches")
+    spans = _compared(matches).select("first_doc_id", F.explode("repeats").alias("r"))
+    per_doc = spans.groupBy("r.key").agg(
+        F.array_sort(F.collect_set(F.struct("r.lo", "r.hi", "r.pos", "first_doc_id"))).alias("found")
     )
     schema = f"key long, spans array<struct<lo:int,hi:int>>, first_doc_ids array<{id_type}>"
-    return saved(per_doc.mapInArrow(_merged, schema), "spans")
+    arrow_id = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
+    return saved(per_doc.mapInArrow(partial(_merged, id_type=arrow_id), schema), "spans")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int, keep_emptied: bool) -> Iterator[pa.RecordBatch]:
