@@ -295,8 +295,8 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    grams = rows.select("key", "text").mapInArrow(_grams, "gram long, key long")
-    again = saved(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    grams = saved(rows.select("key", "text").mapInArrow(_grams, "gram long, key long"), "grams")
+    again = saved(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "again")
     wanted = join_counted(grams, again, "gram", F.col("key")).groupBy("key").agg(F.collect_set("gram").alias("wanted"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     suffix = SUFFIX.format(id_type)
