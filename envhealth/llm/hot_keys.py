@@ -11,6 +11,12 @@ from .scratch import shuffle_tasks
 SHARE = 4
 
 
+def hot_share(counted: DataFrame) -> float:
+    """Rows from which a key of `counted(n)` is spread: a SHAREth part of a task's even share."""
+    total = counted.agg(F.sum("n")).first()[0] or 1
+    return max(1.0, total / (SHARE * shuffle_tasks(counted.sparkSession)))
+
+
 def join_counted(rows: DataFrame, counted: DataFrame, key: str, spread: Column) -> DataFrame:
     """`rows` inner-joined on `key` with `counted(key, n, ...)`, one row a key, which is read three times.
 
@@ -19,8 +25,7 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str, spread: Column)
     rows are dealt by `spread`, and their one row of `counted` is sent to each part. A null key joins nothing.
     """
     parts, part = f"_{key}_parts", f"_{key}_part"
-    total = counted.agg(F.sum("n")).first()[0] or 1
-    share = max(1.0, total / (SHARE * shuffle_tasks(rows.sparkSession)))
+    share = hot_share(counted)
     hot = F.broadcast(counted.where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias(parts)))
     one = F.coalesce(F.col(parts), F.lit(1))
     dealt = rows.join(hot, key, "left").withColumn(part, F.pmod(F.xxhash64(spread), one).cast("int")).drop(parts)

@@ -10,7 +10,9 @@ occurrence, in the order of documents and positions, are repeats.
 
 Tasks hold ranges of that order, so that a gram of any size is split. Each finds the first
 occurrences among its own suffixes; for the two grams that a range may share with others, those
-are then compared among all ranges.
+are then compared among all ranges. Of a gram that may fill several ranges, matches are bounded to the left
+too before, by neighbours in the order of what precedes it: else every occurrence of a common line, with what
+stands before it, would have windows to compare that no other has.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import winnowed
-from .hot_keys import join_counted
+from .hot_keys import hot_share, join_counted
 from .scratch import free_name, saved, shuffle_tasks, small_batches
 from .words import NOT_SPACE, find_words, mixed, pieces, powers
 
@@ -92,11 +94,12 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIDE)
 
 
-def _bounded(side: str, name: str):
+def _bounded(side: str, name: str, other: str):
     """Adds `name`: the longest match on `side` of each sorted suffix with a neighbour of its gram.
 
     The neighbours of a task's first and last suffix may be in other tasks, so they may match as
-    far as their words go.
+    far as their words go. Suffixes that do not reach SIDE words with `other`, the words that they may
+    match on the other side, are left out.
     """
 
     def lengths(rows: pa.Table) -> np.ndarray:
@@ -108,6 +111,10 @@ def _bounded(side: str, name: str):
         match = np.minimum(match, np.minimum(n[1:], n[:-1]))
         return np.where(gram[1:] == gram[:-1], match, -1)
 
+    def reaching(rows: pa.Table) -> list[pa.RecordBatch]:
+        n = rows.column(name).to_numpy()
+        return rows.filter(pa.array((n >= 0) & (n + rows.column(other).to_numpy() >= SIDE))).combine_chunks().to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, SIDE  # the last row so far, and its match with the row before it
         for batch in batches:
@@ -120,10 +127,10 @@ def _bounded(side: str, name: str):
             both = np.minimum(both, rows.column(f"{side}_words").to_numpy())
             out = rows.append_column(name, pa.array(both.astype(np.int32)))
             # The last row waits for its next neighbour.
-            yield from out.slice(0, rows.num_rows - 1).combine_chunks().to_batches()
+            yield from reaching(out.slice(0, rows.num_rows - 1))
             held, before = rows.slice(rows.num_rows - 1), int(match[-1]) if len(match) else before
         if held is not None:
-            yield from held.append_column(name, held.column(f"{side}_words")).combine_chunks().to_batches()
+            yield from reaching(held.append_column(name, held.column(f"{side}_words")))
 
     return run
 
@@ -135,8 +142,8 @@ REPEATS = "array<struct<key:long,pos:int,lo:int,hi:int>>"
 MATCHES = "gram long, window long, first_doc_id {}, key long, start int, repeats " + REPEATS
 
 
-def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
-    """MATCHES of suffixes sorted by gram, document, position.
+def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_words") -> Iterator[pa.RecordBatch]:
+    """MATCHES of suffixes sorted by gram, document, position, that may extend by `left` and `right_most` words.
 
     Only the first and the last gram of a task can have suffixes in other tasks. Their repeats
     wait for the comparison of first occurrences; all others are settled here.
@@ -179,7 +186,7 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Reco
             yield from close(tail, pending, seen, tail == opening)
             seen, pending = {}, []
         docs = np.array(rows.column("doc_id").to_pylist(), object)
-        left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in ("left_words", "right_most"))
+        left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in (left, "right_most"))
         sums = []
         for side, step in (("left", _LEFT), ("right", _RIGHT)):
             terms = _matrix(rows.column(side)).astype(np.uint64) * powers(step, SIDE)
@@ -278,6 +285,27 @@ def _merged(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator
         yield pa.RecordBatch.from_arrays(columns, names=["key", "spans", "first_doc_ids"])
 
 
+def _matches(rows: DataFrame, grams: DataFrame, again: DataFrame, chunk: int, hot: bool) -> DataFrame:
+    """MATCHES of `rows(key, doc_id, text)` at the grams of `again`; those of `hot` ones are bounded to the left too."""
+    wanted = join_counted(grams, again, "gram", F.col("key")).groupBy("key").agg(F.collect_set("gram").alias("wanted"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    suffix = SUFFIX.format(id_type)
+    found = rows.join(wanted, "key").select("key", "doc_id", "text", "wanted").mapInArrow(_suffixes, suffix)
+    # Ranges split a gram by what follows it, and equal suffixes by their documents.
+    n, left = shuffle_tasks(rows.sparkSession), "left_words"
+    dealt = found.repartitionByRange(n, "gram", "right", "key", "pos")
+    # The sorts spill; no task holds its range as a whole.
+    bounded, schema = _bounded("right", "right_most", "left_words"), f"{suffix}, right_most int"
+    able = dealt.sortWithinPartitions("gram", "right").mapInArrow(bounded, schema)
+    if hot:
+        bounded, schema, left = _bounded("left", "left_most", "right_most"), f"{schema}, left_most int", "left_most"
+        dealt = able.repartitionByRange(n, "gram", "left", "key", "pos")
+        able = dealt.sortWithinPartitions("gram", "left").mapInArrow(bounded, schema)
+    ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
+    run = partial(_extended, chunk=chunk, left=left)
+    return ordered.mapInArrow(run, MATCHES.format(id_type))
+
+
 def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """`(key, spans, first_doc_ids)` of the `docs(doc_id, text)` that hold repeats.
 
@@ -297,21 +325,18 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     grams = saved(rows.select("key", "text").mapInArrow(_grams, "gram long, key long"), "grams")
     again = saved(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "again")
-    wanted = join_counted(grams, again, "gram", F.col("key")).groupBy("key").agg(F.collect_set("gram").alias("wanted"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    suffix = SUFFIX.format(id_type)
-    found = rows.join(wanted, "key").select("key", "doc_id", "text", "wanted").mapInArrow(_suffixes, suffix)
-    # Ranges split a gram by what follows it, and equal suffixes by their documents.
-    dealt = found.repartitionByRange(shuffle_tasks(spark), "gram", "right", "key", "pos")
-    # The two sorts spill; no task holds its range as a whole.
-    right = dealt.sortWithinPartitions("gram", "right").mapInArrow(_bounded("right", "right_most"), f"{suffix}, right_most int")
-    able = right.where((F.col("right_most") >= 0) & (F.col("left_words") + F.col("right_most") >= SIDE))
-    ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
-    matches = saved(ordered.mapInArrow(partial(_extended, chunk=chunk), MATCHES.format(id_type)), "matches")
+    # A gram of more rows may fill a good part of a range, or several.
+    share = hot_share(again)
+    hot, others = again.where(F.col("n") > share), again.where(F.col("n") <= share)
+    matches = _matches(rows, grams, others, chunk, False)
+    if not hot.isEmpty():
+        matches = matches.unionByName(_matches(rows, grams, hot, chunk, True))
+    matches = saved(matches, "matches")
     spans = _compared(matches).select("first_doc_id", F.explode("repeats").alias("r"))
     per_doc = spans.groupBy("r.key").agg(
         F.array_sort(F.collect_set(F.struct("r.lo", "r.hi", "r.pos", "first_doc_id"))).alias("found")
     )
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"key long, spans array<struct<lo:int,hi:int>>, first_doc_ids array<{id_type}>"
     arrow_id = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
     return saved(per_doc.mapInArrow(partial(_merged, id_type=arrow_id), schema), "spans")

@@ -592,6 +592,26 @@ def test_a_passage_in_every_row_is_split(spark, monkeypatch, n):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_windows_around_a_common_line_are_not_compared(spark, monkeypatch):
+    """Texts that share 30 words, with others before and after, and two that share 60 around those."""
+    line, n = prose(78, 30).split(), 400
+    alone = [" ".join([*(f"a{d}x{i}" for i in range(45)), *line, *(f"b{d}x{i}" for i in range(45))]) for d in range(n)]
+    around = [" ".join([f"c{d}", *prose(79, 15).split(), *line, *prose(80, 15).split(), f"d{d}"]) for d in range(2)]
+    rows = [(d, t, "en", "s") for d, t in enumerate([*alone, *around])]
+    whole, made = suffix_dedup.saved, []
+
+    def kept(df, name):
+        out = whole(df, name)
+        if name == "matches":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "saved", kept)
+    found = spans_by_id(documents(spark, rows))
+    assert found == repeats([r[:2] for r in rows]) == {n + 1: set(range(1, 61))}
+    assert made[0] < 2 * n  # before, each of these had some twenty windows
+
+
 def test_counted_joins_of_hot_keys_lose_no_row(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
     counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most")).where("k < 40")
