@@ -147,11 +147,13 @@ def array_lines(records: DataFrame, files: int) -> DataFrame:
     def run(batches):
         before = None
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                line = ("[" if before is None else "") + value
-                if before is not None:
-                    yield pa.RecordBatch.from_pydict({"value": [before + ","]})
-                before = line
+            lines = batch.column(0).to_pylist()
+            if lines:
+                lines[0] = ("[" if before is None else "") + lines[0]
+                ended = [] if before is None else [before + ","]
+                ended += [line + "," for line in lines[:-1]]
+                before = lines[-1]
+                yield pa.RecordBatch.from_pydict({"value": pa.array(ended, pa.string())})
         if before is not None:
             yield pa.RecordBatch.from_pydict({"value": [before + "]"]})
 

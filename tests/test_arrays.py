@@ -111,3 +111,21 @@ def test_structure_sees_what_a_parser_sees(value):
         got = list(zip((places + start).tolist(), kinds.tolist(), (depths + depth).tolist()))
         assert got == [s for s in seen if s[0] >= start]
     assert np.all(depths >= -len(data)) if len(depths) else True
+
+
+def test_array_lines_are_landed_in_batches(spark, monkeypatch):
+    """One batch from each batch of records, and one for the last line; before, one a record."""
+    import json
+
+    import pyarrow as pa
+
+    from checks import bindings
+
+    runs = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, run, schema: runs.append(run))
+    bindings.array_lines(spark.range(5), 1)
+    batches = [pa.RecordBatch.from_pydict({"value": v}) for v in (["1", "2", "3"], [], ["4"], ["5", "6"])]
+    found = list(runs[0](iter(batches)))
+    assert len(found) == 4
+    assert json.loads("".join(x for b in found for x in b.to_pydict()["value"])) == [1, 2, 3, 4, 5, 6]
+    assert list(runs[0](iter([]))) == []
