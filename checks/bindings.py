@@ -138,7 +138,9 @@ def supplier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "}",
     ]
     text = F.format_string("\n".join(lines), F.col("s_name"), F.col("s_suppkey").cast("string"))
-    return table(spark, sf_dir, "supplier").select(text.alias("value"), F.col("s_nationkey").alias("nation"))
+    envelopes = table(spark, sf_dir, "supplier").select(text.alias("value"), F.col("s_nationkey").alias("nation"))
+    # Each becomes a file; the input's few splits would write them one after another.
+    return envelopes.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def array_lines(records: DataFrame, files: int) -> DataFrame:

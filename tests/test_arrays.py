@@ -129,3 +129,13 @@ def test_array_lines_are_landed_in_batches(spark, monkeypatch):
     assert len(found) == 4
     assert json.loads("".join(x for b in found for x in b.to_pydict()["value"])) == [1, 2, 3, 4, 5, 6]
     assert list(runs[0](iter([]))) == []
+
+
+def test_files_of_one_envelope_are_written_by_all_tasks(spark, tmp_path):
+    from checks import bindings
+
+    path = str(tmp_path / "supplier.parquet")
+    spark.createDataFrame([(i, f"s{i}", i % 3) for i in range(100)], "s_suppkey long, s_name string, s_nationkey int").coalesce(1).write.parquet(path)
+    found = bindings.supplier_envelopes(spark, str(tmp_path))
+    counts = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(counts) == 100 and max(counts) < 30
