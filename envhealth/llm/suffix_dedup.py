@@ -8,11 +8,12 @@ words to the left reach MATCH words, matches are extended left and right: every
 words around the gram within the bound is looked up among the others, and all but its first
 occurrence, in the order of documents and positions, are repeats.
 
-Tasks hold ranges of that order, so that a gram of any size is split. Each finds the first
-occurrences among its own suffixes; for the two grams that a range may share with others, those
-are then compared among all ranges. Of a gram that may fill several ranges, matches are bounded to the left
-too before, by neighbours in the order of what precedes it: else every occurrence of a common line, with what
-stands before it, would have windows to compare that no other has.
+A task holds all suffixes of its grams, so what it finds is final. Grams that would fill a good part of
+a task are dealt by ranges instead, and matches are bounded to the left too before, by neighbours in the order of what
+precedes them: else every occurrence of a common line, with what stands before it, would have windows to compare
+that no other has. Tasks hold ranges of that order and find the first occurrences among their own suffixes. Suffixes
+with the same words before the gram are neighbours, so other tasks can only hold windows whose words before the
+gram are those of the range's first or last suffix; these are then compared among all ranges.
 """
 
 from __future__ import annotations
@@ -94,12 +95,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIDE)
 
 
-def _bounded(side: str, name: str, other: str):
+def _bounded(side: str, name: str, other: str, edges: bool = False):
     """Adds `name`: the longest match on `side` of each sorted suffix with a neighbour of its gram.
 
     The neighbours of a task's first and last suffix may be in other tasks, so they may match as
     far as their words go. Suffixes that do not reach SIDE words with `other`, the words that they may
-    match on the other side, are left out.
+    match on the other side, are left out. With `edges`, a column says which rows are not suffixes but copies of
+    the task's first and last one.
     """
 
     def lengths(rows: pa.Table) -> np.ndarray:
@@ -111,9 +113,13 @@ def _bounded(side: str, name: str, other: str):
         match = np.minimum(match, np.minimum(n[1:], n[:-1]))
         return np.where(gram[1:] == gram[:-1], match, -1)
 
+    def marked(rows: pa.Table, edge: bool) -> list[pa.RecordBatch]:
+        rows = rows.append_column("edge", pa.array(np.full(len(rows), edge))) if edges else rows
+        return rows.combine_chunks().to_batches()
+
     def reaching(rows: pa.Table) -> list[pa.RecordBatch]:
         n = rows.column(name).to_numpy()
-        return rows.filter(pa.array((n >= 0) & (n + rows.column(other).to_numpy() >= SIDE))).combine_chunks().to_batches()
+        return marked(rows.filter(pa.array((n >= 0) & (n + rows.column(other).to_numpy() >= SIDE))), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, SIDE  # the last row so far, and its match with the row before it
@@ -121,6 +127,8 @@ def _bounded(side: str, name: str, other: str):
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch])
+            if held is None and edges:
+                yield from marked(rows.slice(0, 1).append_column(name, rows.column(f"{side}_words").slice(0, 1)), True)
             rows = rows if held is None else pa.concat_tables([held, rows])
             match = lengths(rows)
             both = np.maximum(np.concatenate([[before], match]), np.concatenate([match, [-1]]))
@@ -130,7 +138,10 @@ def _bounded(side: str, name: str, other: str):
             yield from reaching(out.slice(0, rows.num_rows - 1))
             held, before = rows.slice(rows.num_rows - 1), int(match[-1]) if len(match) else before
         if held is not None:
-            yield from reaching(held.append_column(name, held.column(f"{side}_words")))
+            last = held.append_column(name, held.column(f"{side}_words"))
+            yield from reaching(last)
+            if edges:
+                yield from marked(last, True)
 
     return run
 
@@ -142,51 +153,48 @@ REPEATS = "array<struct<key:long,pos:int,lo:int,hi:int>>"
 MATCHES = "gram long, window long, first_doc_id {}, key long, start int, repeats " + REPEATS
 
 
-def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_words") -> Iterator[pa.RecordBatch]:
-    """MATCHES of suffixes sorted by gram, document, position, that may extend by `left` and `right_most` words.
+def _extended(batches: Iterator[pa.RecordBatch], chunk: int, split: bool) -> Iterator[pa.RecordBatch]:
+    """MATCHES of suffixes sorted by gram, document, position, that may extend by `right_most` words and as far left.
 
-    Only the first and the last gram of a task can have suffixes in other tasks. Their repeats
-    wait for the comparison of first occurrences; all others are settled here.
+    If grams are `split`, edges come first, and windows with the words before the gram that an edge has may be
+    in other tasks. Their repeats wait for the comparison of first occurrences; all others are settled here.
     """
+    left = "left_most" if split else "left_words"
     names = [c.split()[0] for c in MATCHES.split(", ")]
     id_type = None
-    opening = None  # the task's first gram
+    edges: list[tuple[int, np.ndarray]] = []  # their gram and the words before it
     tail = None  # the gram that the last chunk ended in
     seen: dict[str, np.ndarray] = {}  # first occurrences of the tail's windows
-    pending: list[pa.RecordBatch] = []  # repeats of the tail
 
-    def matches(gram, window, doc, key, start, bounds, repeats) -> pa.RecordBatch:
+    def matches(gram, window, settled, doc, key, start, bounds, repeats) -> pa.RecordBatch:
         fields = [pa.array(x.astype(t)) for x, t in zip(repeats, (np.int64, np.int32, np.int32, np.int32), strict=True)]
         rows = pa.StructArray.from_arrays(fields, names=["key", "pos", "lo", "hi"])
         columns = [
-            pa.array(gram), pa.array(window.view(np.int64)), pa.array(doc.tolist(), id_type), key, start,
+            pa.array(gram), pa.array(window.view(np.int64), mask=settled), pa.array(doc.tolist(), id_type), key, start,
             pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), rows),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    def settled(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.set_column(1, "window", pa.nulls(len(batch), pa.int64()))
-
-    def close(gram: int, repeats: list[pa.RecordBatch], first: dict[str, np.ndarray], shared: bool) -> Iterator[pa.RecordBatch]:
-        if not shared:
-            yield from map(settled, repeats)
-            return
-        yield from repeats
+    def close(gram: int, first: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        first = {name: x[first["open"]] for name, x in first.items()}
         for a in range(0, len(first.get("value", ())), chunk):
             f = {name: x[a : a + chunk] for name, x in first.items()}
             n, start = len(f["value"]), f["start"]
             own = (f["key"], f["pos"], start, start + MATCH)
-            yield matches(np.full(n, gram), f["value"], f["doc"], pa.array(f["key"]), pa.array(start.astype(np.int32)), np.arange(n + 1), own)
+            yield matches(np.full(n, gram), f["value"], ~f["open"], f["doc"], pa.array(f["key"]), pa.array(start.astype(np.int32)), np.arange(n + 1), own)
 
     def extend(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        nonlocal opening, tail, seen, pending
+        nonlocal tail, seen
         gram, key, pos = (rows.column(c).to_numpy() for c in ("gram", "key", "pos"))
-        opening = gram[0] if opening is None else opening
         if tail is not None and tail != gram[0]:
-            yield from close(tail, pending, seen, tail == opening)
-            seen, pending = {}, []
+            yield from close(tail, seen)
+            seen = {}
         docs = np.array(rows.column("doc_id").to_pylist(), object)
         left_most, right_most = (rows.column(c).to_numpy()[:, None] for c in (left, "right_most"))
+        shared = np.full(len(gram), -1)  # words before the gram that an edge has too
+        for edge, words in edges:
+            same = _matrix(rows.column("left")) == words
+            shared = np.where(gram == edge, np.maximum(shared, np.where(same.all(axis=1), SIDE, (~same).argmax(axis=1))), shared)
         sums = []
         for side, step in (("left", _LEFT), ("right", _RIGHT)):
             terms = _matrix(rows.column(side)).astype(np.uint64) * powers(step, SIDE)
@@ -198,7 +206,7 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_w
         start = pos[row] - l
         one, at, back = np.unique(value, return_index=True, return_inverse=True)
         owner = row[at]
-        first = {"value": one, "gram": gram[owner], "key": key[owner], "pos": pos[owner], "start": start[at], "doc": docs[owner]}
+        first = {"value": one, "gram": gram[owner], "key": key[owner], "pos": pos[owner], "start": start[at], "doc": docs[owner], "open": l[at] <= shared[owner]}
         if seen:
             place = np.minimum(np.searchsorted(seen["value"], one), len(seen["value"]) - 1)
             old = seen["value"][place] == one
@@ -217,7 +225,7 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_w
         like = window[group]
         none = [pa.nulls(len(group), t) for t in (pa.int64(), pa.int32())]
         found_gram = gram[mine[group]]
-        found = matches(found_gram, one[like], first["doc"][like], *none, np.append(group, len(end)), (key[mine], pos[mine], lo, hi))
+        yield matches(found_gram, one[like], ~first["open"][like], first["doc"][like], *none, np.append(group, len(end)), (key[mine], pos[mine], lo, hi))
         if seen:
             more = ~np.isin(seen["value"], one)
             order = np.argsort(np.concatenate([one, seen["value"][more]]))
@@ -227,17 +235,19 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_w
             own = first["gram"] == g
             return {name: x[own] for name, x in first.items()} if own.any() else {}
 
-        if gram[0] != gram[-1]:
-            head, last = int(np.searchsorted(found_gram, gram[0], "right")), int(np.searchsorted(found_gram, gram[-1]))
-            yield from close(gram[0], [*pending, found.slice(0, head)], of(gram[0]), gram[0] == opening)
-            yield settled(found.slice(head, last - head))
-            pending, found = [], found.slice(last)
-        pending.append(found)
+        for g in np.unique(gram[gram != gram[-1]]):
+            if any(g == edge for edge, _ in edges):
+                yield from close(g, of(g))
         tail, seen = gram[-1], of(gram[-1])
 
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
+        if split and batch.num_rows:
+            suffix = pa.array(~batch.column("edge").to_numpy(zero_copy_only=False))
+            ends = batch.filter(pa.array(batch.column("edge").to_numpy(zero_copy_only=False)))
+            edges += zip(ends.column("gram").to_pylist(), _matrix(ends.column("left")), strict=True)
+            batch = batch.filter(suffix)
         if batch.num_rows:
             id_type = batch.schema.field("doc_id").type
             held.append(pa.Table.from_batches([batch]))
@@ -248,7 +258,7 @@ def _extended(batches: Iterator[pa.RecordBatch], chunk: int, left: str = "left_w
     if held:
         yield from extend(pa.concat_tables(held))
     if tail is not None:
-        yield from close(tail, pending, seen, True)
+        yield from close(tail, seen)
 
 
 def _compared(matches: DataFrame) -> DataFrame:
@@ -285,24 +295,25 @@ def _merged(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator
         yield pa.RecordBatch.from_arrays(columns, names=["key", "spans", "first_doc_ids"])
 
 
-def _matches(rows: DataFrame, grams: DataFrame, again: DataFrame, chunk: int, hot: bool) -> DataFrame:
-    """MATCHES of `rows(key, doc_id, text)` at the grams of `again`; those of `hot` ones are bounded to the left too."""
+def _matches(rows: DataFrame, grams: DataFrame, again: DataFrame, chunk: int, split: bool) -> DataFrame:
+    """MATCHES of `rows(key, doc_id, text)` at the grams of `again`, each in one task or, if `split`, in several."""
     wanted = join_counted(grams, again, "gram", F.col("key")).groupBy("key").agg(F.collect_set("gram").alias("wanted"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     suffix = SUFFIX.format(id_type)
     found = rows.join(wanted, "key").select("key", "doc_id", "text", "wanted").mapInArrow(_suffixes, suffix)
+    n, order = shuffle_tasks(rows.sparkSession), ["gram", F.col("doc_id").asc_nulls_last(), "key", "pos"]
     # Ranges split a gram by what follows it, and equal suffixes by their documents.
-    n, left = shuffle_tasks(rows.sparkSession), "left_words"
-    dealt = found.repartitionByRange(n, "gram", "right", "key", "pos")
-    # The sorts spill; no task holds its range as a whole.
+    dealt = found.repartitionByRange(n, "gram", "right", "key", "pos") if split else found.repartition(n, "gram")
+    # The sorts spill; no task holds its suffixes as a whole.
     bounded, schema = _bounded("right", "right_most", "left_words"), f"{suffix}, right_most int"
     able = dealt.sortWithinPartitions("gram", "right").mapInArrow(bounded, schema)
-    if hot:
-        bounded, schema, left = _bounded("left", "left_most", "right_most"), f"{schema}, left_most int", "left_most"
+    if split:
+        bounded, schema = _bounded("left", "left_most", "right_most", True), f"{schema}, left_most int, edge boolean"
         dealt = able.repartitionByRange(n, "gram", "left", "key", "pos")
         able = dealt.sortWithinPartitions("gram", "left").mapInArrow(bounded, schema)
-    ordered = able.sortWithinPartitions("gram", F.col("doc_id").asc_nulls_last(), "key", "pos")
-    run = partial(_extended, chunk=chunk, left=left)
+        order = [F.col("edge").desc(), *order]
+    ordered = able.sortWithinPartitions(*order)
+    run = partial(_extended, chunk=chunk, split=split)
     return ordered.mapInArrow(run, MATCHES.format(id_type))
 
 
@@ -317,7 +328,7 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     do not repeat each other. Other columns are ignored; no rows, no result rows.
 
     Words are compared by 32 bits of their hashes and windows by 64. A task holds the windows of
-    its own part of one gram; Spark's sample for the ranges, about 200 bytes for each of 100
+    one gram, or of its own part of one; where there are ranges, Spark's sample for them, about 200 bytes for each of 100
     suffixes a task and a million at most, is on the driver.
     """
     spark = docs.sparkSession
@@ -325,7 +336,7 @@ def repeated_spans(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
     grams = saved(rows.select("key", "text").mapInArrow(_grams, "gram long, key long"), "grams")
     again = saved(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "again")
-    # A gram of more rows may fill a good part of a range, or several.
+    # A gram of more rows would be a good part of a task.
     share = hot_share(again)
     hot, others = again.where(F.col("n") > share), again.where(F.col("n") <= share)
     matches = _matches(rows, grams, others, chunk, False)

@@ -612,6 +612,24 @@ def test_windows_around_a_common_line_are_not_compared(spark, monkeypatch):
     assert made[0] < 2 * n  # before, each of these had some twenty windows
 
 
+def test_windows_of_copies_are_settled_by_their_tasks(spark, monkeypatch):
+    """Pairs of copies: before, tasks left the windows of their first and last gram open for others to compare."""
+    n, made = 200, []
+    whole = suffix_dedup.saved
+
+    def kept(df, name):
+        out = whole(df, name)
+        if name == "matches":
+            made.append(out.where("window is not null").count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "saved", kept)
+    texts = [" ".join(f"a{d}x{i}" for i in range(90)) for d in range(n)]
+    rows = [(d + n * copy, t, "en", "s") for d, t in enumerate(texts) for copy in (0, 1)]
+    assert spans_by_id(documents(spark, rows)) == repeats([r[:2] for r in rows]) == {n + d: set(range(90)) for d in range(n)}
+    assert made == [0]
+
+
 def test_counted_joins_of_hot_keys_lose_no_row(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
     counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most")).where("k < 40")
